@@ -26,7 +26,7 @@ from . import common
 BLANK = "▁"
 MODEL = os.environ.get("BISQUE_SENTENCEPIECE_MODEL", "/opt/tokenizers/piece_bpe_32k.model")
 #: Segments (and pairs) remembered by a worker at most; the tables are emptied when full.
-REMEMBERED = 300_000
+REMEMBERED = 500_000
 
 
 class Pieces:
@@ -45,16 +45,18 @@ class Pieces:
         self.bytes = {int(self.pieces[i][3:5], 16): i for i in range(n) if sp.is_byte(i)}
         self.control = {i for i in range(n) if sp.is_control(i)}
         self.longest = max(map(len, self.ids))
-        # all paths converge where no piece has the two characters side by side: before a run of blanks, and before those ASCII
-        # marks that no piece has after a character other than a blank or mark
-        marks = [chr(c) for c in range(33, 127) if not chr(c).isalnum()]
+        # all paths converge where no piece has the two characters side by side: before a run of blanks, and on the sides of a run of
+        # ASCII marks, but for the few characters that some piece has beside a mark
+        marks = {chr(c) for c in range(33, 127) if not chr(c).isalnum()}
         beside = {(a, b) for p in self.ids for a, b in zip(p, p[1:], strict=False)}
-        inner = any(b == BLANK and a != BLANK for a, b in beside)
-        kept = set(marks)
-        while bad := {b for a, b in beside if b in kept and a not in kept and a != BLANK}:
-            kept -= bad
-        own = "" if inner else re.escape("".join(sorted(kept)))
-        self.segment = re.compile("(?s).+" if inner else f"{BLANK}*[^{BLANK}{own}]+|{BLANK}*[{own}]+[^{BLANK}{own}]*|{BLANK}+" if own else f"{BLANK}+[^{BLANK}]*|[^{BLANK}]+")
+        if any(b == BLANK and a != BLANK for a, b in beside):
+            self.segment = re.compile("(?s).+")
+        else:
+            m, blank = re.escape("".join(sorted(marks))), BLANK
+            before = re.escape("".join(sorted({a for a, b in beside if b in marks and a not in marks and a != BLANK})))
+            plain = f"(?:[^{blank}{m}]|(?<=[{before}])[{m}]+)" if before else f"[^{blank}{m}]"
+            tail = f"{plain}*" if any(a in marks and b not in marks and b != BLANK for a, b in beside) else ""
+            self.segment = re.compile(f"{blank}*{plain}+|{blank}*[{m}]+{tail}|{blank}+")
         # the model's own library tells the kinds apart: only a merge model gives negative ranks that are whole numbers
         self.merges = all(float(s).is_integer() for s in list(self.score.values())[:2000])
 
@@ -109,7 +111,7 @@ class Encoder:
 
     def fits(self, a: str, b: str) -> bool:
         """Whether piece b may follow piece a (or start the segment, if a is empty)."""
-        if len(self.pairs) > 4 * REMEMBERED:
+        if len(self.pairs) > REMEMBERED:
             self.pairs.clear()
         left, right = (self.spine(a, True), self.spine(b, False)) if a else (None, None)
         if left is None or right is None:
