@@ -19,11 +19,16 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def shared_folder(spark: SparkSession) -> str:
+    """The folder that ``spark.checkpoint.dir`` names; one of our own only where it is unset."""
+    return spark.conf.get("spark.checkpoint.dir", None) or os.path.join(tempfile.gettempdir(), "bisque-checkpoints")
+
+
 def checkpointed(df: DataFrame) -> DataFrame:
-    """``df`` with its lineage cut in the folder that ``spark.checkpoint.dir`` names; a folder of our own only where it is unset."""
+    """``df`` with its lineage cut in the shared folder."""
     sc = df.sparkSession.sparkContext
     if sc.getCheckpointDir() is None:
-        sc.setCheckpointDir(df.sparkSession.conf.get("spark.checkpoint.dir", None) or os.path.join(tempfile.gettempdir(), "bisque-checkpoints"))
+        sc.setCheckpointDir(shared_folder(df.sparkSession))
     return df.checkpoint(eager=True)
 
 
