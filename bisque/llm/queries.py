@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import op01_pii, op02_fingerprints, op03_mixing, op04_sentencepiece, op05_html, op06_licenses, op07_chat, op08_toxicity, op09_quality
+from . import op01_pii, op02_fingerprints, op03_mixing, op04_sentencepiece, op05_html, op06_licenses, op07_chat, op08_toxicity, op09_quality, op10_jaccard
 
 QUERIES = {
     "op1_pii": op01_pii.query,
@@ -14,6 +14,7 @@ QUERIES = {
     "op7_chat": op07_chat.query,
     "op8_toxicity": op08_toxicity.query,
     "op9_quality": op09_quality.query,
+    "op10_jaccard": op10_jaccard.query,
 }
 
 ORACLES: dict[str, str] = {}

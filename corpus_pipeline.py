@@ -6,16 +6,17 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
-from bisque.llm import common, op01_pii, op03_mixing, op04_sentencepiece, op09_quality
+from bisque.llm import common, op01_pii, op03_mixing, op04_sentencepiece, op09_quality, op10_jaccard
 
 STAGES = [
     ("quality", op09_quality.stage),
+    ("near_copies", op10_jaccard.stage),
     ("pii", op01_pii.stage),
     ("mixing", op03_mixing.stage),
     ("sentencepiece", op04_sentencepiece.stage),
 ]
 
-#: Pseudonyms, rounding and piece ids cannot be written in SQL; tests/llm holds the stages against brute force.
+#: Near copies, pseudonyms, rounding and piece ids cannot be written in SQL; tests/llm holds the stages against brute force.
 ORACLE_SQL = None
 
 
