@@ -232,7 +232,10 @@ def pseudonymize(df: DataFrame, column: str = "text", key: bytes = b"bisque-defa
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = common.table(spark, sf_dir, "documents").select("doc_id", "text")
-    counts = [F.size(F.filter("found", lambda x, k=k: x["kind"] == k)).alias(f"n_{k}") for k in KINDS]
+    def count(kind: str):
+        return F.size(F.filter("found", lambda x: x["kind"] == kind)).alias(f"n_{kind}")
+
+    counts = [count(k) for k in KINDS]
     return pseudonymize(docs).select("doc_id", "n_found", *counts, F.length("text").cast("long").alias("n_chars"), "text")
 
 
