@@ -36,6 +36,8 @@ SKETCH_BITS = 18
 KEYS = 6
 #: Longer lists are handled by pivots; members of a pivot that one task compares at once.
 LONG, BLOCK = 48, 1024
+#: So many ids (8 bytes each) are broadcast at most.
+SENT = 2_000_000
 #: Odd multipliers for mixing hashes.
 ODD = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F, 0xE7037ED1A0B428DB], np.uint64)
 
@@ -54,7 +56,7 @@ class Sets:
         self.n, self.known = n, {}
 
     def __call__(self, text: str | None) -> np.ndarray:
-        words = WORD.findall((text or "").translate(LOWER))
+        words = WORD.findall(text or "")
         if not words:
             return np.empty(0, np.uint64)
         known = self.known
@@ -64,7 +66,7 @@ class Sets:
         for w in words:
             h = known.get(w)
             if h is None:
-                h = known[w] = xxhash.xxh3_64_intdigest(w)
+                h = known[w] = xxhash.xxh3_64_intdigest(w.translate(LOWER))
             hashes.append(h)
         a = np.array(hashes, np.uint64)
         k = min(self.n, len(a))
@@ -85,6 +87,19 @@ def enough(na, nb, p: int, q: int):
     return -(-p * (na + nb) // (p + q))
 
 
+def rarest(s: np.ndarray, level: np.ndarray, k: int) -> np.ndarray:
+    """The first k grams by (level, hash)."""
+    if k >= len(s):
+        k = len(s)
+    if k == 0:
+        return s[:0]
+    of = level[(s & np.uint64((1 << SKETCH_BITS) - 1)).astype(np.int64)]
+    most = np.partition(of, k - 1)[k - 1]
+    some = np.nonzero(of <= most)[0]
+    # the set is sorted, so a stable sort by level is one by (level, hash)
+    return s[some[np.argsort(of[some], kind="stable")[:k]]]
+
+
 def list_pairs(n: np.ndarray, pos: np.ndarray, p: int, q: int, block: int = 16) -> list[tuple[int, int]]:
     """Pairs of a list's entries, sorted by size, that may be linked; blocks that cannot hold any are skipped."""
     m, out = len(n), []
@@ -125,14 +140,21 @@ class Forest:
         return a != b
 
 
-def _arrow_sets(df: DataFrame, n: int) -> DataFrame:
-    """(doc_id, grams) of (doc_id, text)."""
+def _arrow_sets(df: DataFrame, n: int, keys: int = 0) -> DataFrame:
+    """(doc_id, grams, keys) of (doc_id, text): keys are the minima of so many independent hashes."""
 
     def make():
         sets = Sets(n)
-        return lambda texts: {"grams": [sets(t).view(np.int64) for t in texts]}
 
-    return common.map_text(df, "text", "grams array<bigint>", make).select("doc_id", "grams")
+        def run(texts):
+            found = [sets(t) for t in texts]
+            with np.errstate(over="ignore"):
+                least = [[int(mixed(s * ODD[i]).min().view(np.int64)) for i in range(keys)] if len(s) else [] for s in found]
+            return {"grams": [s.view(np.int64) for s in found], "keys": least}
+
+        return run
+
+    return common.map_text(df, "text", "grams array<bigint>, keys array<bigint>", make).select("doc_id", "grams", "keys")
 
 
 def _sketch(docs: DataFrame, n: int) -> np.ndarray:
@@ -144,10 +166,8 @@ def _sketch(docs: DataFrame, n: int) -> np.ndarray:
         sets, counts = Sets(n), np.zeros(1 << SKETCH_BITS, np.int64)
         for whole in batches:
             for b in common._slices(whole, "text"):
-                for t in b.column("text").to_pylist():
-                    s = sets(t)
-                    if len(s):
-                        np.add.at(counts, (s & np.uint64((1 << SKETCH_BITS) - 1)).astype(np.int64), 1)
+                found = [sets(t) for t in b.column("text").to_pylist()]
+                counts += np.bincount((np.concatenate(found) & np.uint64((1 << SKETCH_BITS) - 1)).astype(np.int64), minlength=1 << SKETCH_BITS)
         at = np.nonzero(counts)[0]
         yield pa.RecordBatch.from_arrays([pa.array(at, pa.int64()), pa.array(counts[at], pa.int64())], names=["slot", "n"])
 
@@ -161,27 +181,24 @@ def _sketch(docs: DataFrame, n: int) -> np.ndarray:
 
 
 def _profiles(docs: DataFrame, n: int, level: np.ndarray, p: int, q: int) -> DataFrame:
-    """(doc_id, n_shingles, sig, keys, prefix): what is known of a document besides its set."""
+    """(doc_id, n_shingles, sig, prefix): what is known of a document besides its set."""
 
     def make():
         sets = Sets(n)
 
         def run(texts):
-            out = {"n_shingles": [], "sig": [], "keys": [], "prefix": []}
+            out = {"n_shingles": [], "sig": [], "prefix": []}
             for t in texts:
                 s = sets(t)
                 out["n_shingles"].append(len(s))
                 out["sig"].append(xxhash.xxh3_128_digest(s.tobytes()) if len(s) else None)
                 k = prefix_length(len(s), p, q)
-                order = np.lexsort((s, level[(s & np.uint64((1 << SKETCH_BITS) - 1)).astype(np.int64)]))[:k]
-                out["prefix"].append(s[order].view(np.int64))
-                with np.errstate(over="ignore"):
-                    out["keys"].append([int(mixed(s * ODD[i]).min().view(np.int64)) for i in range(KEYS)] if len(s) else [])
+                out["prefix"].append(rarest(s, level, k).view(np.int64))
             return out
 
         return run
 
-    return common.map_text(docs, "text", "n_shingles long, sig binary, keys array<bigint>, prefix array<bigint>", make)
+    return common.map_text(docs, "text", "n_shingles long, sig binary, prefix array<bigint>", make)
 
 
 def _lists(entries: DataFrame, p: int, q: int) -> DataFrame:
@@ -311,21 +328,22 @@ def join_components(docs: DataFrame, n: int = 3, p: int = 9, q: int = 10) -> Dat
     docs = docs.select("doc_id", F.col("text").cast("string").alias("text"))
     level = _sketch(docs, n)
     prof = common.checkpointed(_profiles(docs, n, level, p, q))
-    classes = prof.where("n_shingles > 0 and doc_id is not null").groupBy("sig").agg(F.min("doc_id").alias("rep"), F.first("n_shingles").alias("n"), F.first("keys").alias("keys"), F.first("prefix").alias("prefix"))
+    classes = prof.where("n_shingles > 0 and doc_id is not null").groupBy("sig").agg(F.min("doc_id").alias("rep"), F.first("n_shingles").alias("n"))
     classes = common.checkpointed(classes)
-    entries = classes.select("rep", "n", F.posexplode("prefix").alias("pos", "token")).select("token", F.col("rep").alias("a"), "n", F.col("pos").cast("long").alias("pos"))
+    listed_of = prof.select("doc_id", F.col("sig").alias("sig2"), "prefix").join(classes, (F.col("doc_id") == F.col("rep")) & (F.col("sig2") == F.col("sig")))
+    entries = listed_of.select("rep", "n", F.posexplode("prefix").alias("pos", "token")).select("token", F.col("rep").alias("a"), "n", F.col("pos").cast("long").alias("pos"))
     listed = common.checkpointed(_lists(entries, p, q).groupBy("token", "a", "b").agg(F.max("n").alias("n"), F.max("pos").alias("pos")))
     pairs = listed.where("b is not null").select("a", "b").distinct()
     long_ = listed.where("b is null").select("token", "a", "n", "pos")
     edges = None
     if not long_.isEmpty():
         hot = long_.select("a").distinct()
-        keyed = classes.join(hot, F.col("rep") == F.col("a"), "left_semi").select("rep", "n", F.posexplode("keys").alias("i", "key"))
+        sizes = long_.groupBy("a").agg(F.max("n").alias("n")).withColumnRenamed("a", "rep")
+        sets = common.checkpointed(_sets_of(docs, hot.withColumnRenamed("a", "id"), n, KEYS))
+        keyed = sets.join(sizes, F.col("doc_id") == F.col("rep")).select("rep", "n", F.posexplode("keys").alias("i", "key"))
         least = keyed.groupBy("i", "key").agg(F.min("rep").alias("m")).withColumnRenamed("i", "i2").withColumnRenamed("key", "key2")
         pivots = keyed.join(least, (F.col("i") == F.col("i2")) & (F.col("key") == F.col("key2"))).groupBy("rep", "n").agg(F.min("m").alias("pivot"))
-        sets = _sets_of(docs, hot.withColumnRenamed("a", "id"), n)
-        sets = common.checkpointed(sets)
-        mine = pivots.join(sets.withColumnRenamed("doc_id", "d"), F.col("rep") == F.col("d")).drop("d")
+        mine = pivots.join(sets.select(F.col("doc_id").alias("d"), "grams"), F.col("rep") == F.col("d")).drop("d")
         theirs = sets.select(F.col("doc_id").alias("d"), F.col("grams").alias("pivot_grams"))
         diff = F.array_union(F.array_except("grams", "pivot_grams"), F.array_except("pivot_grams", "grams"))
         near = mine.join(theirs, F.col("pivot") == F.col("d")).select("rep", "n", "pivot", F.size("pivot_grams").cast("long").alias("pn"), diff.alias("diff"))
@@ -346,7 +364,7 @@ def join_components(docs: DataFrame, n: int = 3, p: int = 9, q: int = 10) -> Dat
         pairs = pairs.unionByName(cross.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))).distinct()
     pairs = common.checkpointed(pairs)
     ids = pairs.select(F.col("a").alias("id")).unionByName(pairs.select(F.col("b").alias("id"))).distinct()
-    sets = common.checkpointed(_sets_of(docs, ids, n))
+    sets = _sets_of(docs, ids, n)
     left = pairs.join(sets.select(F.col("doc_id").alias("d"), F.col("grams").alias("ga")), F.col("a") == F.col("d")).drop("d")
     both = left.join(sets.select(F.col("doc_id").alias("d"), F.col("grams").alias("gb")), F.col("b") == F.col("d")).drop("d")
     common_ = F.size(F.array_intersect("ga", "gb"))
@@ -358,10 +376,14 @@ def join_components(docs: DataFrame, n: int = 3, p: int = 9, q: int = 10) -> Dat
     return out.select("doc_id", "n_shingles", F.coalesce("component", "doc_id").alias("component_id"))
 
 
-def _sets_of(docs: DataFrame, ids: DataFrame, n: int) -> DataFrame:
-    """(doc_id, grams) of the given ids, one row an id; their sets are made anew from the texts."""
-    some = docs.join(ids, F.col("doc_id") == F.col("id"), "left_semi")
-    return _arrow_sets(some, n).dropDuplicates(["doc_id"])
+def _sets_of(docs: DataFrame, ids: DataFrame, n: int, keys: int = 0) -> DataFrame:
+    """(doc_id, grams, keys) of the given ids; their sets are made anew from the texts.
+
+    Ids are counted: up to SENT of them go to the tasks as a table of fixed size at most, more are joined by a shuffle.
+    """
+    ids = common.checkpointed(ids)
+    few = ids.count() <= SENT
+    return _arrow_sets(docs.join(F.broadcast(ids) if few else ids, F.col("doc_id") == F.col("id"), "left_semi"), n, keys)
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
