@@ -132,11 +132,14 @@ def fingerprint(docs: DataFrame, bits: Column | None = None) -> DataFrame:
 
 def edited_neighbours(docs: DataFrame) -> DataFrame:
     bits = common.checkpointed(lexicon(docs)).scalar()
-    base = fingerprint(docs, bits)
+    # both joins below read the same shuffle of the texts by id: it is the same plan, so Spark runs it once
+    base = fingerprint(docs.where(F.col("doc_id").isNotNull()), bits)
     pairs = next_ids(base.select("doc_id", "text"))
     heads = base.join(pairs, F.col("doc_id") == F.col("next_id")).select("id", F.struct(F.expr("left(text, need)").alias("head"), F.col("fp").alias("next_fp")).alias("h"))
     heads = heads.groupBy("id").agg(F.min("h").alias("h"))
-    both = base.join(heads, F.col("doc_id") == F.col("id"), "left").withColumn("n", F.length("text"))
+    both = base.join(heads, F.col("doc_id") == F.col("id")).drop("id")
+    alone = fingerprint(docs.where(F.col("doc_id").isNull()), bits)
+    both = both.unionByName(alone.withColumn("h", F.lit(None).cast(both.schema["h"].dataType))).withColumn("n", F.length("text"))
     quarter = F.floor(F.col("n") / 4).cast("int")
     both = both.withColumn("edited", F.concat(F.left("text", F.col("n") - quarter), F.coalesce(F.left(F.col("h.head"), quarter), F.lit(""))))
     both = both.select("doc_id", "n", "fp", F.col("h.next_fp").alias("next_fp"), "edited")
