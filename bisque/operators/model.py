@@ -13,7 +13,7 @@ UNDER, OVER, BIAS = 0.01, 0.05, 2.0
 #: Term of a channel for a genotype. X all, H half, K error; other letters are the methylation terms in ``_terms``.
 TERMS = (
     "XHHHKKKKKK", "KHKKXHHKKK", "KKHKKHKXHK", "KKKHKKHKHX",
-    "XHaHKbKcbK", "KdKKedfKKK", "KKgKKhKihK", "KjKHkjlKHX",
+    "XHaHKbKcbK", "KdKKedfKKK", "KKgKKhKihK", "KjKHmjlKHX",
 )
 
 
@@ -58,7 +58,7 @@ def _terms(letter: str, i: int) -> Column:
         "a": lambda: 1 - z1(1) * 0.5 + k, "b": lambda: (1 - z1(2)) * 0.5 + k, "c": lambda: 1 - z1(0) + k,
         "d": lambda: z0(2) * 0.5 + k, "e": lambda: z0(0) + k, "f": lambda: z0(1) * 0.5 + k,
         "g": lambda: z1(1) * 0.5 + k, "h": lambda: z1(2) * 0.5 + k, "i": lambda: z1(0) + k,
-        "j": lambda: (1 - z0(2)) * 0.5 + k, "k": lambda: 1 - z0(0) + k, "l": lambda: 1 - z0(1) * 0.5 + k,
+        "j": lambda: (1 - z0(2)) * 0.5 + k, "m": lambda: 1 - z0(0) + k, "l": lambda: 1 - z0(1) * 0.5 + k,
     }[letter]()
     return F.when(F.col(f"c{i}") > 0, F.col(f"c{i}") * F.ln(inner)).otherwise(0.0)
 
@@ -69,11 +69,11 @@ def likelihoods(sites: DataFrame, under: float = UNDER, over: float = OVER, bias
     The distinct logarithms are columns of one projection, so a row computes each once.
     """
     m = with_model(sites, under, over)
-    names = {f"t{i}{x}": _terms(x, i) for i in range(8) for x in dict.fromkeys(TERMS[i])}
+    names = {f"t{i}_{ord(x)}": _terms(x, i) for i in range(8) for x in dict.fromkeys(TERMS[i])}
     m = m.withColumns(names)
     raw = []
     for g, genotype in enumerate(codes.GENOTYPES):
-        v = sum((F.col(f"t{i}{TERMS[i][g]}") for i in range(8)), F.lit(0.0))
+        v = sum((F.col(f"t{i}_{ord(TERMS[i][g])}") for i in range(8)), F.lit(0.0))
         ref = F.substring(F.lit(codes.BASES), F.col("ref").cast("int") + 1, F.lit(1))
         if genotype[0] == genotype[1]:
             v = v + F.when(ref == genotype[0], math.log(bias)).otherwise(0.0)
@@ -93,7 +93,7 @@ def estimate(z: Column, under: float = UNDER, over: float = OVER) -> Column:
     """Methylation of a z: null without data or below zero, at most 1."""
     lam, theta = 1.0 - under, over
     m = (z - 1 + lam) / (lam - theta)
-    return F.when(z < 0, F.lit(None)).when(m < 0, F.lit(None)).otherwise(F.least(F.lit(1.0), m))
+    return F.when(z.isNull() | (z < 0), F.lit(None)).when(m < 0, F.lit(None)).otherwise(F.least(F.lit(1.0), m))
 
 
 def meth(genotype: Column) -> tuple[Column, Column]:
