@@ -65,6 +65,7 @@ class Encoder:
     def __init__(self, vocabulary: Pieces):
         self.v = vocabulary
         self.known: dict[str, tuple[int, ...]] = {}
+        self.older: dict[str, tuple[int, ...]] = {}
         self.pairs: dict[tuple[str, str], bool] = {}
         self.spines: dict[tuple[str, bool], list | None] = {}
         self.window = 0  # the most backpointers held at once, for tests
@@ -202,15 +203,18 @@ class Encoder:
         if not text:
             return []
         out: list[int] = []
-        known = self.known
+        known, older = self.known, self.older
         for s in self.v.segment.findall(BLANK + text.replace(" ", BLANK)):
             got = known.get(s)
             if got is None:
-                self.before = ""
-                got = tuple(self.walk(s))
+                got = older.get(s)
+                if got is None:
+                    self.before = ""
+                    got = tuple(self.walk(s))
                 if len(s) <= 64:
-                    if len(known) > REMEMBERED:
-                        known.clear()
+                    if len(known) > REMEMBERED // 2:  # what was not asked for in this generation is forgotten with the next
+                        self.older = older = known
+                        self.known = known = {}
                     known[s] = got
             out += got
         return out
@@ -221,15 +225,17 @@ class Encoder:
         names = self.names
         try:
             blob = b"".join([names[i] for i in ids])
-        except KeyError:
+        except (IndexError, TypeError):
             raise ValueError("an id outside the vocabulary") from None
         s = blob.decode("utf-8", "replace").replace(BLANK, " ")
         return s[1:] if s[:1] == " " else s
 
     @property
-    def names(self) -> dict[int, bytes]:
+    def names(self) -> list[bytes | None]:
+        """Bytes of every id, None for ids that stand for nothing."""
         if not hasattr(self, "_names"):
-            self._names = {i: p.encode() for p, i in self.v.ids.items()} | {i: bytes([b]) for b, i in self.v.bytes.items()} | dict.fromkeys(self.v.control, b"") | {self.v.unk: " ⁇ ".encode()}
+            known = {i: p.encode() for p, i in self.v.ids.items()} | {i: bytes([b]) for b, i in self.v.bytes.items()} | dict.fromkeys(self.v.control, b"") | {self.v.unk: " ⁇ ".encode()}
+            self._names = [known.get(i) for i in range(len(self.v.pieces))]
         return self._names
 
 
