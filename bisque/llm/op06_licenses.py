@@ -26,7 +26,9 @@ IN_RAW_WORD = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]"
 BETWEEN = r"[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
 #: Phrases that always count, and their labels.
 BASE = (("under the mit license", "mit"), ("apache license version 2", "apache-2"), ("cc by nc", "cc-by-nc"))
-GATE = rf"(?i)licen[cs]|copyright|copyleft|spdx|public{BETWEEN}domain|rights{BETWEEN}reserved|unlicense|wtfpl|gpl|cc0|cc{BETWEEN}(?:by|0|zero)|permission{BETWEEN}is{BETWEEN}hereby|as{BETWEEN}is|redistribution"
+#: A text without any of these words, in lower case, has no license; "cc" needs more.
+GATE = ("licen", "copyright", "copyleft", "spdx", "domain", "reserved", "wtfpl", "gpl", "gfdl", "mpl", "cddl", "eupl", "cc0", "hereby", "warrant", "redistribut", "confidential", "unauthorized", "perl itself", "commons", "endorse", "openrail", "ofl", "not evil", "cecill", "mulan", "misrepresented")
+GATE_CC = rf"cc{BETWEEN}(?:by|0|zero)"
 
 VERSION = r"(?:v|version )?"
 #: Fixed values, written by hand: label, the keyword of the rule, the license's name as a regex over lower-case words.
@@ -121,14 +123,18 @@ def _hits(table: str) -> str:
 
 def scan(df: DataFrame, column: str = "text") -> DataFrame:
     """``df`` with n_words, n_base, first_word, last_word, base_labels, labels, score and ``detections`` (label, score, first and last word)."""
-    new = ["n_words", "n_base", "first_word", "last_word", "base_labels", "labels", "score", "detections", "norm__", "hits__", "base__", "kept__", "text__"]
+    new = ["n_words", "n_base", "first_word", "last_word", "base_labels", "labels", "score", "detections", "norm__", "hits__", "base__", "kept__", "low__", "text__"]
     src = df.withColumn("text__", F.coalesce(F.col(f"`{column}`").cast("string"), F.lit("")))
     df = common.without(src, new[:-1])
     keep = [c for c in df.columns if c != "text__"]
     base = [Rule(label, p.split()[-1], f"(?<= ){p}(?= )", 0, 1.0) for p, label in BASE]
     df = df.withColumn("n_words", F.when(F.col("text__") == "", 0).otherwise(F.regexp_count("text__", F.lit(f"{IN_RAW_WORD}+"))).cast("long"))
     words = F.concat(F.lit(" "), F.array_join(F.regexp_extract_all(common.lower_az(F.col("text__")), F.lit(f"({IN_WORD}+)"), F.lit(1)), " "), F.lit(" "))
-    df = df.withColumn("norm__", F.when(F.col("text__").rlike(GATE), words)).drop("text__")
+    low = F.col("low__")
+    gate = low.contains("cc") & low.rlike(GATE_CC)
+    for k in GATE:
+        gate = gate | low.contains(k)
+    df = df.withColumn("low__", F.lower("text__")).withColumn("norm__", F.when(gate, words)).drop("text__", "low__")
     none = "cast(array() as array<struct<no:int,label:string,prio:int,score:double,s:int,e:int>>)"
     df = df.withColumn("base__", F.expr(f"case when norm__ is null then {none} else {_hits(_table(base))} end"))
     df = df.withColumn("hits__", F.expr(f"case when norm__ is null then {none} else {_hits(_table(rules()))} end"))
