@@ -60,7 +60,7 @@ class Sets:
         if not words:
             return np.empty(0, np.uint64)
         known = self.known
-        if len(known) > 300_000:
+        if len(known) > 150_000:
             known.clear()
         hashes = []
         for w in words:
@@ -320,7 +320,8 @@ def components(edges: DataFrame, rounds: int = 60) -> DataFrame:
         sign = new
     else:
         raise RuntimeError("components did not settle")
-    return now.groupBy("u").agg(F.min("v").alias("component")).withColumnRenamed("u", "id")
+    whole = now.unionByName(now.select(F.col("v").alias("u"), "v"))
+    return whole.groupBy("u").agg(F.min("v").alias("component")).withColumnRenamed("u", "id")
 
 
 def join_components(docs: DataFrame, n: int = 3, p: int = 9, q: int = 10) -> DataFrame:
