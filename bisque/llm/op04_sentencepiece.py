@@ -18,6 +18,7 @@ from __future__ import annotations
 import os
 import re
 
+import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -26,7 +27,7 @@ from . import common
 BLANK = "▁"
 MODEL = os.environ.get("BISQUE_SENTENCEPIECE_MODEL", "/opt/tokenizers/piece_bpe_32k.model")
 #: Segments (and pairs) remembered by a worker at most; the tables are emptied when full.
-REMEMBERED = 500_000
+REMEMBERED = 400_000
 
 
 class Pieces:
@@ -64,8 +65,8 @@ class Pieces:
 class Encoder:
     def __init__(self, vocabulary: Pieces):
         self.v = vocabulary
-        self.known: dict[str, tuple[int, ...]] = {}
-        self.older: dict[str, tuple[int, ...]] = {}
+        self.known: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
         self.pairs: dict[tuple[str, str], bool] = {}
         self.spines: dict[tuple[str, bool], list | None] = {}
         self.window = 0  # the most backpointers held at once, for tests
@@ -198,11 +199,16 @@ class Encoder:
         return [t for a, b in reversed(cuts) for t in self.tokens(s[a:b])]
 
     def encode(self, text: str | None) -> list[int] | None:
+        packed = self.packed(text)
+        return None if packed is None else np.frombuffer(packed, np.int32).tolist()
+
+    def packed(self, text: str | None) -> bytes | None:
+        """The ids as 32-bit numbers, in the compact form in which segments are remembered."""
         if text is None:
             return None
         if not text:
-            return []
-        out: list[int] = []
+            return b""
+        out: list[bytes] = []
         known, older = self.known, self.older
         for s in self.v.segment.findall(BLANK + text.replace(" ", BLANK)):
             got = known.get(s)
@@ -210,14 +216,14 @@ class Encoder:
                 got = older.get(s)
                 if got is None:
                     self.before = ""
-                    got = tuple(self.walk(s))
+                    got = np.array(self.walk(s), np.int32).tobytes()
                 if len(s) <= 64:
                     if len(known) > REMEMBERED // 2:  # what was not asked for in this generation is forgotten with the next
                         self.older = older = known
                         self.known = known = {}
                     known[s] = got
-            out += got
-        return out
+            out.append(got)
+        return b"".join(out)
 
     def decode(self, ids: list[int] | None) -> str | None:
         if ids is None:
@@ -266,8 +272,8 @@ def encode(df: DataFrame, column: str = "text", model: str = MODEL) -> DataFrame
         e = encoder(blob)
 
         def run(texts):
-            ids = [e.encode(t) for t in texts]
-            same = [None if t is None else e.decode(i) == t.replace(BLANK, " ") for t, i in zip(texts, ids, strict=True)]
+            ids = [None if (b := e.packed(t)) is None else np.frombuffer(b, np.int32) for t in texts]
+            same = [None if t is None else e.decode(i.tolist()) == t.replace(BLANK, " ") for t, i in zip(texts, ids, strict=True)]
             return {"ids": ids, "n_ids": [None if i is None else len(i) for i in ids], "decodes": same}
 
         return run
