@@ -19,6 +19,8 @@ from dataclasses import dataclass, field
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_schema
 
 from . import common
 
@@ -123,6 +125,8 @@ def format_turns(turns: DataFrame, template: Template = Template(), with_text: b
     )
     rows = rows.repartition("conv_id").sortWithinPartitions("conv_id", "turn", "role", "text")
 
+    schema = to_arrow_schema(T.StructType.fromDDL(kind))
+
     def run(batches):
         f, t = Formatter(template), template
         out: list[dict] = []
@@ -149,10 +153,7 @@ def format_turns(turns: DataFrame, template: Template = Template(), with_text: b
             out.append(row)
 
         def emit():
-            from pyspark.sql import types as T
-            from pyspark.sql.pandas.types import to_arrow_schema
-
-            batch = pa.RecordBatch.from_pylist(out, schema=to_arrow_schema(T.StructType.fromDDL(kind)))
+            batch = pa.RecordBatch.from_pylist(out, schema=schema)
             out.clear()
             return batch
 
@@ -198,4 +199,18 @@ def query(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = common.table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
     said = "</s>[INST] ok [/INST]"
     more = spark.range(2).select(F.lit(-1).cast("long").alias("conv_id"), F.col("id").alias("turn"), F.when(F.col("id") == 0, "user").otherwise("assistant").alias("role"), F.lit(said).alias("text"))
-    return format_turns(rows.unionByName(more), with_text=False)
+    return format_turns(rows.unionByName(more), with_text=False).drop("problem")
+
+
+#: The same in DuckDB: lengths and digests follow from the template, validity from the sequence of roles.
+SQL = r"""
+with c as (select conv_id, turn, role, coalesce(text, '') as text from conversations
+  union all select -1, 0, 'user', '</s>[INST] ok [/INST]' union all select -1, 1, 'assistant', '</s>[INST] ok [/INST]'),
+m as (select *, case role when 'assistant' then text else '' end as said, length(text) + len(regexp_extract_all(text, '[<\[␛]')) as inside,
+  case role when 'system' then 's' when 'user' then 'u' when 'assistant' then 'a' else 'x' end as r,
+  case role when 'system' then 6 + 7 when 'user' then 7 + 8 else 6 + 7 end as marks from c)
+select conv_id, count(*) as n_turns, sha256(string_agg(role || chr(10) || text || chr(10), '' order by turn, role, text)) as turns_sha256,
+  cast(sum(length(said)) as bigint) as loss_chars, sha256(string_agg(said, '' order by turn, role, text)) as loss_sha256,
+  cast(7 + sum(inside + marks) as bigint) as formatted_chars, regexp_full_match(string_agg(r, '' order by turn, role, text), 's?(ua)+') as valid, 2 + 3 * count(*) as n_segments
+from m group by conv_id
+"""

@@ -141,3 +141,31 @@ def stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
     out = clean_lines(docs).where("kept")
     return out.select(*[F.col("cleaned").alias("text") if c == "text" else F.length("cleaned").cast("long").alias(c) if c == "n_chars" else F.col(c) for c in docs.columns])
+
+
+def _sql(r: Rules = Rules()) -> str:
+    """The same in DuckDB, rule by rule."""
+    word = r"[^\x20\x09-\x0D]+"
+    phrases = " or ".join(f"contains(lower(line), '{p}')" for p in BOILERPLATE)
+    return rf"""
+with d as (select doc_id, coalesce(text, '') as text from documents),
+l as (select doc_id, unnest(string_split(text, chr(10))) as line, unnest(range(len(string_split(text, chr(10))))) as k from d),
+lw as (select *, regexp_extract_all(line, '{word}') as w from l),
+lf as (select *, len(w) as n, row_number() over (partition by doc_id, line order by k) > 1 as dup,
+  100 * len(list_filter(w, lambda x: x = '|')) > {r.bar_percent} * len(w)
+  or 100 * len(list_filter(w, lambda x: regexp_matches(x, '[#*$%&|<>]'))) > {r.symbol_percent} * len(w)
+  or len(w) >= {r.capital_words} and 100 * len(list_filter(w, lambda x: length(x) > 1 and upper(x) = x and lower(x) <> x)) > {r.capital_percent} * len(w)
+  or len(w) < {r.fragment_words} and not regexp_matches(line, '[.!?…。！？:]')
+  or len(w) <= 24 and ({phrases}) as fails from lw where len(w) > 0),
+per as (select doc_id, sum(n) as n_words, sum(list_sum(list_transform(w, lambda x: length(x)))) as word_chars, sum(dup::int) as n_dup_lines, sum(case when dup or fails then n else 0 end) as gone from lf group by doc_id),
+ws as (select doc_id, regexp_extract_all(text, '{word}') as w from d),
+g as (select doc_id, i, array_to_string(w[i:i + {r.window - 1}], ' ') as s from (select doc_id, w, unnest(range(1, len(w) - {r.window - 2})) as i from ws where len(w) > {r.window})),
+rep as (select doc_id, count(distinct j) as n from (select doc_id, unnest(range(i, i + {r.window})) as j from (select doc_id, i, count(*) over (partition by doc_id, s) as c from g) where c > 1) group by doc_id),
+f as (select d.doc_id, cast(coalesce(n_words, 0) as bigint) as n_words, cast(coalesce(word_chars, 0) as bigint) as word_chars, cast(len(regexp_extract_all(d.text, '[#*$%&|<>]')) as bigint) as n_symbols,
+  cast(coalesce(n_dup_lines, 0) as bigint) as n_dup_lines, cast(coalesce(rep.n, 0) as bigint) as n_repeat_words, cast(coalesce(gone, 0) as bigint) as n_removed_words
+  from d left join per using (doc_id) left join rep using (doc_id)),
+b as (select *, n_words < {r.min_words} or 100 * n_repeat_words > {r.max_repeat_percent} * n_words as base_failed from f)
+select *, not base_failed and 100 * n_removed_words <= {r.max_removed_percent} * n_words as kept from b"""
+
+
+SQL = _sql()

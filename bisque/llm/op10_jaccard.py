@@ -395,3 +395,16 @@ def stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near copies (five words, likeness 0.8): the one with the least id."""
     found = join_components(docs, 5, 4, 5).where("doc_id = component_id").select(F.col("doc_id").alias("id2")).distinct()
     return docs.join(found, F.col("doc_id") == F.col("id2"), "left_semi").dropDuplicates(["doc_id"])
+
+
+#: The same in DuckDB, by all pairs that share a gram.
+SQL = r"""
+with recursive w as (select doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') as w from documents),
+s as (select distinct doc_id, array_to_string(w[i:i + 2], ' ') as g from (select doc_id, w, unnest(range(1, greatest(len(w) - 1, 2))) as i from w where len(w) > 0)),
+n as (select doc_id, count(*) as n from s group by 1),
+p as (select a.doc_id as a, b.doc_id as b, count(*) as c from s a join s b on a.g = b.g and a.doc_id < b.doc_id group by 1, 2),
+e as (select a, b from p join n x on x.doc_id = a join n y on y.doc_id = b where 100 * c >= 90 * (x.n + y.n - c)),
+u as (select a as u, b as v from e union all select b, a from e),
+r(doc, reach) as (select doc_id, doc_id from documents union select r.doc, u.v from r join u on r.reach = u.u)
+select d.doc_id, coalesce(n.n, 0) as n_shingles, (select min(reach) from r where r.doc = d.doc_id) as component_id from documents d left join n using (doc_id)
+"""

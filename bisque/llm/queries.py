@@ -17,4 +17,4 @@ QUERIES = {
     "op10_jaccard": op10_jaccard.query,
 }
 
-ORACLES: dict[str, str] = {}
+ORACLES = {"op7_chat": op07_chat.SQL, "op9_quality": op09_quality.SQL, "op10_jaccard": op10_jaccard.SQL}
