@@ -85,17 +85,18 @@ def ref_context(s, d):
 
 # ---- reads
 
-FLAGS = {
-    "unmapped": F.col("fc") <= 2, "qcfail": F.col("fc") == 3, "secondary": F.col("fc").between(4, 5), "dup": F.col("fc").between(6, 9), "supplementary": F.col("fc").between(10, 11),
-    "no_pos": F.lit(False), "mate_unmapped": F.col("fc") == 12, "no_mate_pos": F.col("fc") == 13, "mate_other": F.col("fc") == 14, "large_insert": F.col("fc").between(15, 16),
-}
+def _flags() -> dict:
+    return {
+        "unmapped": F.col("fc") <= 2, "qcfail": F.col("fc") == 3, "secondary": F.col("fc").between(4, 5), "dup": F.col("fc").between(6, 9), "supplementary": F.col("fc").between(10, 11),
+        "no_pos": F.lit(False), "mate_unmapped": F.col("fc") == 12, "no_mate_pos": F.col("fc") == 13, "mate_other": F.col("fc") == 14, "large_insert": F.col("fc").between(15, 16),
+    }
 REASON = """case when fc <= 2 then 'Unmapped' when fc = 3 then 'QCFlags' when fc in (4, 5) then 'SecondaryAlignment' when fc between 6 and 9 then 'Duplicate' when mapq < 20 then 'LowMAPQ'
  when fc in (10, 11) then 'SupplementaryAlignment' when fc = 12 then 'MateUnmapped' when fc = 13 then 'NoMatePosition' when fc = 14 then 'MismatchContig' when fc in (15, 16) then 'LargeInsertSize' else 'Passed' end"""
 
 
 @query("read_filter_cascade", f"with {fx.READS} select {REASON} as reason, count(*) as reads, cast(sum(rlen) as bigint) as bases from reads group by 1")
 def read_filter_cascade(s, d):
-    return reads.filter_stats(fx.reads(s, d).withColumns(FLAGS).withColumn("reason", reads.reason()))
+    return reads.filter_stats(fx.reads(s, d).withColumns(_flags()).withColumn("reason", reads.reason()))
 
 
 @query(
