@@ -32,6 +32,7 @@ BLOCK = frozenset(
 FURNITURE = frozenset("head nav aside footer form script style noscript template iframe object embed button select option textarea input label svg canvas audio video map dialog menu title noembed noframes xmp".split())
 ENDS_P = BLOCK - {"br"}
 ITEMS = {"li": ("ul", "ol", "menu", "dir"), "dt": ("dl",), "dd": ("dl",), "tr": ("table", "tbody", "thead", "tfoot"), "td": ("tr", "table"), "th": ("tr", "table"), "option": ("select",)}
+SAME = {"dt": ("dt", "dd"), "dd": ("dt", "dd"), "td": ("td", "th"), "th": ("td", "th")}
 NAMES = re.compile(
     r"(?:^|[\s_\-])(?:ad|ads|advert\w*|adsense|banner|sponsor\w*|promo\w*|cookie\w*|consent|gdpr|notice\w*|popup|modal|overlay|alert|newsletter|subscri\w+|nav\w*|menu\w*|breadcrumb\w*|sidebar|side|widget\w*|related|recommend\w*|share|sharing|social|footer|masthead|topbar|toolbar|comment\w*|disqus|respond|replies|reply|pagination|pager|signup|login|skip|copyright|legal|disclaimer)(?=$|[\s_\-])",
     re.I,
@@ -42,11 +43,12 @@ SPACE = re.compile(r"[ \t\n\r\f\v ]+")
 ROLES = frozenset("navigation banner contentinfo complementary search dialog alert menu menubar form".split())
 
 
-@dataclass(slots=True)
+@dataclass(slots=True, eq=False)
 class Node:
     tag: str
     up: Node | None = None
     furniture: bool = False
+    inside: bool = False  # an article or main element, or in one
     parts: list = field(default_factory=list)  # texts and nodes, in page order
     chars: int = 0
     tags: int = 0
@@ -75,7 +77,17 @@ def is_furniture(tag: str, attributes: str, inside: bool) -> bool:
 def parse(page: str) -> Node:
     root = here = Node("html")
     at, n, body = 0, len(page), None
-    articles = 0
+    opened: dict[str, int] = {}  # open elements by name: stray tags need no walk up a deep tree
+
+    def close(to: Node) -> Node:
+        """Close what is open up to and with ``to``."""
+        node = here
+        while True:
+            opened[node.tag] = opened.get(node.tag, 1) - 1
+            if node is to:
+                return node.up
+            node = node.up
+
     while at < n:
         m = TOKEN.search(page, at)
         stop = m.start() if m else n
@@ -90,37 +102,36 @@ def parse(page: str) -> Node:
         tag = (m[3] or "").lower()
         if not tag:
             continue
-        if m[2]:  # an end tag: closes the nearest open element of its name, if there is one
-            if tag == "p" and here.tag != "p":
-                pass
-            node = here
+        if m[2]:  # an end tag closes the nearest open element of its name, but no formatting tag closes an article
+            node = here if opened.get(tag) else root
             while node is not root and node.tag != tag:
-                if node.tag in ("article", "main", "body") and tag not in ("article", "main", "body", "html"):
+                if node.tag in ("article", "main", "body") and tag not in ("article", "main", "body"):
                     node = root
                     break
                 node = node.up
             if node is not root:
-                here = node.up
+                here = close(node)
             continue
         if tag in ("html", "body"):
             if tag == "body" and body is None:
                 body = here = Node("body", root)
+                opened["body"] = 1
                 root.parts.append(body)
             continue
-        if tag in ENDS_P:  # a block ends an open paragraph, with what is open inside it
+        if tag in ENDS_P and opened.get("p"):  # a block ends an open paragraph, with what is open inside it
             node = here
             while node is not root and node.tag not in ("p", "div", "td", "article", "section", "li", "body"):
                 node = node.up
             if node.tag == "p":
-                here = node.up
-        if tag in ITEMS:
+                here = close(node)
+        if tag in ITEMS and any(opened.get(x) for x in SAME.get(tag, (tag,))):
             node = here
             while node is not root and node.tag not in ITEMS[tag]:
-                if node.tag == tag or tag in ("dt", "dd") and node.tag in ("dt", "dd") or tag in ("td", "th") and node.tag in ("td", "th"):
-                    here = node.up
+                if node.tag in SAME.get(tag, (tag,)):
+                    here = close(node)
                     break
                 node = node.up
-        node = Node(tag, here, here.furniture or is_furniture(tag, m[4], any_up(here, ("article", "main"))))
+        node = Node(tag, here, here.furniture or is_furniture(tag, m[4], here.inside), here.inside or tag in ("article", "main"))
         here.parts.append(node)
         if tag in RAW:
             end = re.compile(rf"</{re.escape(tag)}\s*>", re.I).search(page, at)
@@ -128,17 +139,10 @@ def parse(page: str) -> Node:
             continue
         if not m[5] and tag not in VOID:
             here = node
+            opened[tag] = opened.get(tag, 0) + 1
     return root
 
 
-def any_up(node: Node | None, tags: tuple) -> bool:
-    while node is not None:
-        if node.tag in tags:
-            return True
-        node = node.up
-    return False
-
-
 def order(root: Node) -> list[Node]:
     """Every node, parents first; no recursion, so depth is no limit."""
     out, todo = [], [root]
@@ -196,10 +200,10 @@ def extract(page: str | None) -> str:
     inside = next((x for x in path if x.tag == "article"), whole)
     if inside is not None:
         return text_of(inside)
-    chosen = {id(core)}
+    chosen, on_path = {id(core)}, set(map(id, path))
     for x in path[1:]:
         for y in x.parts:
-            if isinstance(y, Node) and not y.furniture and y.density >= threshold > 0 and y not in path and y.link_chars * 2 < y.chars:
+            if isinstance(y, Node) and not y.furniture and y.density >= threshold > 0 and id(y) not in on_path and y.link_chars * 2 < y.chars:
                 chosen.add(id(y))
     if len(chosen) == 1:
         return text_of(core)

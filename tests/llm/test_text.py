@@ -268,8 +268,7 @@ def test_quality_against_brute_force(spark, odd):
 
 def test_line_rules():
     r = op09_quality.Rules()
-    prose = "A plain sentence of quite ordinary words stands here, and then it ends."
-    good = "\n".join([prose.replace("plain", f"plain{i}") for i in range(6)])
+    good = "\n".join(f"A plain{i} sentence{i} of ordinary{i} words stands{i} here{i}, and then{i} it ends." for i in range(6))
     assert op09_quality.judge(good, r)[7] and op09_quality.judge(good, r)[8] == good
     assert op09_quality.judge(good + "\nHome | About | Contact\nAll rights reserved.", r)[8] == good
     assert not op09_quality.judge("\n".join(f"THIS{i} IS!! LOUD!! TEXT!! AND!! MORE{i}!!" for i in range(9)), r)[7]
