@@ -1,6 +1,6 @@
 """Quality rules: line-first cleaning.
 
-Every line is judged on its own (navigation, symbols, shouting, boilerplate, repeats, missing punctuation); failing lines go,
+Every line is judged on its own (navigation, symbols, shouting, stutter, boilerplate, repeats, missing punctuation); failing lines go,
 and a document that loses too large a share of its words is rejected with the documents that fail the base rules.
 
 Defined results: null and empty texts have no words, fail the base rule and are not kept; rows are judged one by one, so ties and
@@ -38,7 +38,9 @@ class Rules:
     bar_percent: int = 20
     symbol_percent: int = 30
     capital_percent: int = 60
-    #: Lines of at least so many words are tested for capitals; lines below so many words without a sentence end fail.
+    #: Words that say the one before again.
+    stutter_percent: int = 40
+    #: Lines of at least so many words are tested for capitals and stutter; lines below so many words without a sentence end fail.
     capital_words: int = 4
     fragment_words: int = 5
     #: Documents that lose more than this share of their words are rejected.
@@ -53,6 +55,8 @@ def line_fails(line: str, words: list[str], r: Rules) -> bool:
         return True
     if n >= r.capital_words and not line.islower() and 100 * sum(1 for w in words if w.isupper() and len(w) > 1) > r.capital_percent * n:
         return True
+    if n >= r.capital_words and 100 * sum(map(str.__eq__, words, words[1:])) > r.stutter_percent * n:
+        return True
     if n < r.fragment_words and not any(x in line for x in ".!?…。！？:"):
         return True
     if n <= 24:
@@ -155,6 +159,7 @@ lf as (select *, len(w) as n, row_number() over (partition by doc_id, line order
   100 * len(list_filter(w, lambda x: x = '|')) > {r.bar_percent} * len(w)
   or 100 * len(list_filter(w, lambda x: regexp_matches(x, '[#*$%&|<>]'))) > {r.symbol_percent} * len(w)
   or len(w) >= {r.capital_words} and 100 * len(list_filter(w, lambda x: length(x) > 1 and upper(x) = x and lower(x) <> x)) > {r.capital_percent} * len(w)
+  or len(w) >= {r.capital_words} and 100 * len(list_filter(range(2, len(w) + 1), lambda i: w[i] = w[i - 1])) > {r.stutter_percent} * len(w)
   or len(w) < {r.fragment_words} and not regexp_matches(line, '[.!?…。！？:]')
   or len(w) <= 24 and ({phrases}) as fails from lw where len(w) > 0),
 per as (select doc_id, sum(n) as n_words, sum(list_sum(list_transform(w, lambda x: length(x)))) as word_chars, sum(dup::int) as n_dup_lines, sum(case when dup or fails then n else 0 end) as gone from lf group by doc_id),
