@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import fixtures as fx
-from .functions import codes
+from .functions import codes, shapes
 from .operators import extract, intervals, model, pileup, reads, sites, stats
 from .plans import dag
 from .sources import dbsnp, text
@@ -646,3 +646,62 @@ def stream_tumbling(s, d):
 @query("stream_sliding", "select start - k * interval 1 hour as start, count(*) as n from (select time_bucket(interval 1 hour, ts, timestamp '1970-01-01') as start from events), range(2) r(k) group by 1")
 def stream_sliding(s, d):
     return islands.sliding(fx.table(s, d, "events"))
+
+
+# ---- small forms
+
+
+@query("split_alignments", f"with {fx.READS} select tid, 2 as parts, cast(min(pos) as bigint) as first_pos, cast(max(pos + 100) as bigint) as second_pos, '10M30S' as first_cigar, count(*) as n from reads group by tid")
+def split_alignments(s, d):
+    sa = F.concat(F.lit("chr1,"), (F.col("pos") + 101).cast("string"), F.lit(",-,30M10S,60,1;chr1,"), (F.col("pos") + 1).cast("string"), F.lit(",+,10M30S,60,0;"))
+    r = fx.reads(s, d).withColumn("parts", shapes.in_read_order(shapes.split_alignments(sa)))
+    return r.groupBy("tid").agg(F.max(F.size("parts")).alias("parts"), F.min(F.col("parts")[0]["pos"]).alias("first_pos"), F.max(F.col("parts")[1]["pos"]).alias("second_pos"), F.max(F.col("parts")[0]["cigar"]).alias("first_cigar"), F.count("*").alias("n"))
+
+
+@query("trimmed_spans", f"with {fx.READS}, t as (select tid, pos + ln as lo, pos + rlen - 1 - mapq as hi from reads) select tid, count(*) as n, cast(sum(hi - lo + 1) as bigint) as bases from t where lo <= hi group by tid")
+def trimmed_spans(s, d):
+    t = fx.reads(s, d).withColumn("span", shapes.trimmed_span(F.col("pos"), F.col("rlen"), F.col("ln"), F.col("mapq"))).where("span is not null")
+    return t.groupBy("tid").agg(F.count("*").alias("n"), F.sum(F.expr("span.hi - span.lo + 1")).alias("bases"))
+
+
+@query("expand_qualities", f"with {fx.SITES} select tid, p, {', '.join(f'cast(case when c{k} > 0 then {k} + 10 else 0 end as bigint) as bq{k}' for k in range(8))} from sites where p % 7 = 0")
+def expand_qualities(s, d):
+    c = pileup.counts_array()
+    dense = F.filter(F.transform(c, lambda x, i: F.when(x > 0, i + 10)), lambda x: x.isNotNull())
+    full = shapes.expand_qualities(F.col("counts"), F.col("dense"), 20)
+    m = _sites(s, d).where("p % 7 = 0").withColumns({"counts": c, "dense": dense}).withColumn("full", full)
+    return m.select("tid", "p", *[F.col("full")[k].cast("bigint").alias(f"bq{k}") for k in range(8)])
+
+
+@query("human_sizes", "select n_name as name, printf('%.2f Kb', (n_nationkey + 1) * 7.5e0) as size, cast((n_nationkey % 3) * 86400 + n_nationkey * 3600 + 61 as bigint) as seconds, cast((n_nationkey + 1) * 1048576 as bigint) as bytes, '@RG' || chr(9) || 'ID:' || n_nationkey || chr(9) || 'BC:' || n_name as rg, 'out/' || n_name || '.bam' as path from nation")
+def human_sizes(s, d):
+    n, k = fx.table(s, d, "nation"), F.col("n_nationkey")
+    clock = F.concat((k % 3).cast("string"), F.lit("-"), k.cast("string"), F.lit(":1:1"))
+    return n.select(F.col("n_name").alias("name"), shapes.human_size((k + 1) * 7500).alias("size"), shapes.seconds_of(clock).alias("seconds"), shapes.bytes_of(F.concat(k + 1, F.lit("m"))).alias("bytes"), shapes.read_group(ID=k, SM=F.lit(None), BC=F.col("n_name")).alias("rg"), shapes.fill_template(F.lit("out/@BARCODE.bam"), barcode=F.col("n_name")).alias("path"))
+
+
+@query("sort_check", f"with {fx.READS}, x as (select *, lag(pos) over (partition by tid order by k1, k2, k3, ln, qty, sd, pos) as before from reads) select tid, count(*) as unsorted from x where before > pos group by tid")
+def sort_check(s, d):
+    return shapes.out_of_order(fx.reads(s, d), ("k1", "k2", "k3", "ln", "qty", "sd", "pos")).groupBy("tid").agg(F.count("*").alias("unsorted"))
+
+
+@query("filter_table", f"with {fx.SITES}, {SF} select unnest(string_split(filter, ';')) as reason, count(*) as n from flt where filter <> 'PASS' group by 1 union all select 'All', count(*) from flt union all select 'PASS', count(*) from flt where filter = 'PASS'")
+def filter_table(s, d):
+    f = _filtered(s, d)
+    reason = F.concat(F.array(F.lit("All")), F.split("filter", ";"))
+    return f.select(F.explode(reason).alias("reason")).groupBy("reason").agg(F.count("*").alias("n"))
+
+
+@query("stats_json", f"with {fx.READS}, t as (select {REASON} as reason, count(*) as reads, cast(sum(rlen) as bigint) as bases from reads group by 1) select reason, reads, bases from t where reads > 10")
+def stats_json(s, d):
+    """SNK-7, SRC-27: the document as JSON text, read again and opened."""
+    one = read_filter_cascade(s, d).agg(F.to_json(F.struct(F.map_from_entries(F.collect_list(F.struct("reason", F.struct("reads", "bases")))).alias("filterStats"))).alias("value"))
+    back = one.select(F.from_json("value", "filterStats map<string,struct<reads:bigint,bases:bigint>>").alias("j"))
+    return back.select(F.explode("j.filterStats").alias("reason", "v")).select("reason", "v.reads", "v.bases").where("reads > 10")
+
+
+@query("contig_sizes", "select n_name as name, (n_nationkey * 7919000) % 60000000 + 1000 as len, n_name || chr(9) || ((n_nationkey * 7919000) % 60000000 + 1000) as line from nation where (n_nationkey * 7919000) % 60000000 + 1000 >= 20000000 and n_regionkey <> 2")
+def contig_sizes(s, d):
+    """SNK-12, FLT-13."""
+    c = fx.table(s, d, "nation").where("n_regionkey <> 2").select(F.col("n_name").alias("name"), ((F.col("n_nationkey").cast("bigint") * 7919000) % 60000000 + 1000).alias("len")).where("len >= 20000000")
+    return c.withColumn("line", F.concat_ws("\t", "name", F.col("len").cast("string")))
