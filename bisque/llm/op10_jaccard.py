@@ -31,6 +31,8 @@ from pyspark.sql import functions as F
 from . import common
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
+#: What ``str.split`` also takes for a blank.
+OTHER_BLANK = re.compile(r"[\x1c-\x1f\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]")
 LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
 SKETCH_BITS = 18
 KEYS = 6
@@ -38,6 +40,8 @@ KEYS = 6
 LONG, BLOCK = 48, 1024
 #: So many ids (8 bytes each) are broadcast at most.
 SENT = 2_000_000
+#: Grams by which an overlap of halves is trusted.
+SLACK = 2
 #: Odd multipliers for mixing hashes.
 ODD = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F, 0xE7037ED1A0B428DB], np.uint64)
 
@@ -56,19 +60,20 @@ class Sets:
         self.n, self.known = n, {}
 
     def __call__(self, text: str | None) -> np.ndarray:
-        words = WORD.findall(text or "")
+        text = text or ""
+        words = WORD.findall(text) if OTHER_BLANK.search(text) else text.split()
         if not words:
             return np.empty(0, np.uint64)
         known = self.known
         if len(known) > 150_000:
             known.clear()
-        hashes = []
-        for w in words:
-            h = known.get(w)
-            if h is None:
-                h = known[w] = xxhash.xxh3_64_intdigest(w.translate(LOWER))
-            hashes.append(h)
-        a = np.array(hashes, np.uint64)
+        hashes = list(map(known.get, words))
+        if None in hashes:
+            for w in {w for w, h in zip(words, hashes, strict=True) if h is None}:
+                h = xxhash.xxh3_64_intdigest(w.translate(LOWER))
+                known[w] = h - (1 << 64) if h >> 63 else h
+            hashes = list(map(known.__getitem__, words))
+        a = np.array(hashes, np.int64).view(np.uint64)
         k = min(self.n, len(a))
         with np.errstate(over="ignore"):
             total = np.full(len(a) - k + 1, k, np.uint64)
@@ -141,7 +146,7 @@ class Forest:
 
 
 def _arrow_sets(df: DataFrame, n: int, keys: int = 0) -> DataFrame:
-    """(doc_id, grams, keys) of (doc_id, text): keys are the minima of so many independent hashes."""
+    """(doc_id, grams, halves, m, keys) of (doc_id, text): keys are the minima of so many independent hashes, m the size."""
 
     def make():
         sets = Sets(n)
@@ -150,11 +155,12 @@ def _arrow_sets(df: DataFrame, n: int, keys: int = 0) -> DataFrame:
             found = [sets(t) for t in texts]
             with np.errstate(over="ignore"):
                 least = [[int(mixed(s * ODD[i]).min().view(np.int64)) for i in range(keys)] if len(s) else [] for s in found]
-            return {"grams": [s.view(np.int64) for s in found], "keys": least}
+            halves = [(s >> np.uint64(32)).astype(np.uint32).view(np.int32) for s in found]
+            return {"grams": [s.view(np.int64) for s in found], "halves": halves, "m": list(map(len, found)), "keys": least}
 
         return run
 
-    return common.map_text(df, "text", "grams array<bigint>, keys array<bigint>", make).select("doc_id", "grams", "keys")
+    return common.map_text(df, "text", "grams array<bigint>, halves array<int>, m int, keys array<bigint>", make).select("doc_id", "grams", "halves", "m", "keys")
 
 
 def _sketch(docs: DataFrame, n: int) -> np.ndarray:
@@ -365,11 +371,7 @@ def join_components(docs: DataFrame, n: int = 3, p: int = 9, q: int = 10) -> Dat
         pairs = pairs.unionByName(cross.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))).distinct()
     pairs = common.checkpointed(pairs)
     ids = pairs.select(F.col("a").alias("id")).unionByName(pairs.select(F.col("b").alias("id"))).distinct()
-    sets = _sets_of(docs, ids, n)
-    left = pairs.join(sets.select(F.col("doc_id").alias("d"), F.col("grams").alias("ga")), F.col("a") == F.col("d")).drop("d")
-    both = left.join(sets.select(F.col("doc_id").alias("d"), F.col("grams").alias("gb")), F.col("b") == F.col("d")).drop("d")
-    common_ = F.size(F.array_intersect("ga", "gb"))
-    linked = both.where(q * common_ >= p * (F.size("ga") + F.size("gb") - common_)).select("a", "b")
+    linked = _verify(docs, pairs, ids, n, p, q)
     edges = linked if edges is None else edges.unionByName(linked)
     found = components(edges).withColumnRenamed("id", "id2")
     named = classes.select("sig", "rep").join(found, F.col("rep") == F.col("id2"), "left").select(F.col("sig").alias("sig2"), F.coalesce("component", "rep").alias("component"))
@@ -377,6 +379,27 @@ def join_components(docs: DataFrame, n: int = 3, p: int = 9, q: int = 10) -> Dat
     return out.select("doc_id", "n_shingles", F.coalesce("component", "doc_id").alias("component_id"))
 
 
+def _verify(docs: DataFrame, pairs: DataFrame, ids: DataFrame, n: int, p: int, q: int) -> DataFrame:
+    """The linked ones of (a, b).
+
+    Sets travel as the upper halves of their hashes first. Those can be off by a gram or two where halves collide, so pairs within SLACK grams
+    of the threshold are compared again on whole hashes; the others are decided.
+    """
+
+    def overlaps(ids: DataFrame, pairs: DataFrame, half: bool) -> DataFrame:
+        sets = _sets_of(docs, ids, n).select(F.col("doc_id").alias("d"), F.col("halves" if half else "grams").alias("g"), F.size("grams").alias("m") if not half else F.col("m"))
+        # both sides grow with the data, so both joins are by key at any size
+        left = pairs.join(sets.hint("merge").select("d", F.col("g").alias("ga"), F.col("m").alias("na")), F.col("a") == F.col("d")).drop("d")
+        both = left.join(sets.hint("merge").select("d", F.col("g").alias("gb"), F.col("m").alias("nb")), F.col("b") == F.col("d"))
+        return both.select("a", "b", ((p + q) * F.size(F.array_intersect("ga", "gb")) - p * (F.col("na") + F.col("nb"))).alias("over"))
+
+    first = common.checkpointed(overlaps(ids, pairs, True))
+    sure = first.where(F.col("over") > SLACK * (p + q)).select("a", "b")
+    close = first.where(F.abs("over") <= SLACK * (p + q)).select("a", "b").distinct()
+    again = close.select(F.col("a").alias("id")).unionByName(close.select(F.col("b").alias("id"))).distinct()
+    return sure.unionByName(overlaps(again, close, False).where("over >= 0").select("a", "b"))
+
+
 def _sets_of(docs: DataFrame, ids: DataFrame, n: int, keys: int = 0) -> DataFrame:
     """(doc_id, grams, keys) of the given ids; their sets are made anew from the texts.
 
