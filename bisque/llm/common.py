@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 #: Texts handed to Python code at once; keeps a worker's memory bounded whatever the Arrow batch holds.
-SLICE_BYTES = 8 << 20
+SLICE_BYTES = 4 << 20
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -38,6 +38,13 @@ def without(df: DataFrame, names: list[str]) -> DataFrame:
     return df.select(*[F.col(f"`{c}`") for c in df.columns if c.lower() not in low])
 
 
+def small_batches(spark: SparkSession) -> None:
+    """Fewer rows of text in an Arrow batch than Spark's default, unless the session has a number of its own: JVM and worker each hold one."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if spark.conf.get(key, "10000") == "10000":
+        spark.conf.set(key, "1000")
+
+
 def lower_az(c):
     """A-Z to a-z, nothing else (``lower`` would also fold other scripts)."""
     return F.translate(c, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
@@ -66,6 +73,7 @@ def map_text(df: DataFrame, column: str, fields: str, make: Callable[[], Callabl
     ``make`` is called once a task and returns a function from a list of texts (None for null) to lists by name.
     Columns of ``df`` that clash with a new one are replaced by it.
     """
+    small_batches(df.sparkSession)
     new = T.StructType.fromDDL(fields)
     low = {f.name.lower() for f in new}
     keep = [c for c in df.columns if c.lower() not in low]

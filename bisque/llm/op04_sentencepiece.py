@@ -27,7 +27,7 @@ from . import common
 BLANK = "▁"
 MODEL = os.environ.get("BISQUE_SENTENCEPIECE_MODEL", "/opt/tokenizers/piece_bpe_32k.model")
 #: Segments (and pairs) remembered by a worker at most; the tables are emptied when full.
-REMEMBERED = 400_000
+REMEMBERED = 240_000
 
 
 class Pieces:
