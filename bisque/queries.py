@@ -225,13 +225,13 @@ LN10 = "2.302585092994046"
 
 @query("genotype_likelihood", f"with {MODEL} select tid, p, cast(max_gt as bigint) as max_gt, " + ", ".join(f"round((g{g} - norm) / {LN10}, 5) + 0e0 as ll{g}" for g in range(10)) + " from gt where p % 3 = 0")
 def genotype_likelihood(s, d):
-    m = model.likelihoods(_sites(s, d).where("p % 3 = 0"))
+    m = model.likelihoods(_sites(s, d))
     return m.select("tid", "p", F.col("max_gt").cast("bigint").alias("max_gt"), *[(F.round(F.col("ll")[g], 5) + F.lit(0.0)).alias(f"ll{g}") for g in range(10)])
 
 
 @query("genotype_haploid", f"with {_model_sql(True)} select tid, p, cast(max_gt as bigint) as max_gt, " + ", ".join(f"round((g{g} - norm) / {LN10}, 5) + 0e0 as ll{g}" for g in (0, 4, 7, 9)) + " from gt where p % 3 = 0")
 def genotype_haploid(s, d):
-    m = model.likelihoods(_sites(s, d).where("p % 3 = 0"), haploid=True)
+    m = model.likelihoods(_sites(s, d), haploid=True)
     return m.select("tid", "p", F.col("max_gt").cast("bigint").alias("max_gt"), *[(F.round(F.col("ll")[g], 5) + F.lit(0.0)).alias(f"ll{g}") for g in (0, 4, 7, 9)])
 
 
@@ -569,7 +569,7 @@ def fasta_md5(s, d):
 
 @query("vcf_roundtrip", f"with {fx.SITES}, {GT} select 'chr' || tid as chrom, p, cast((p + dp) % 60 as bigint) as qual, dp as depth, cast({' + '.join(f'c{k}' for k in range(8))} as bigint) as reads from calls where p % 5 = 0")
 def vcf_roundtrip(s, d):
-    c = _calls(s, d).where("p % 5 = 0")
+    c = _calls(s, d)
     v = c.select(
         F.concat(F.lit("chr"), "tid").alias("chrom"), "p", F.lit(None).cast("string").alias("id"), F.substring(F.lit("ACGT"), F.col("ref").cast("int") + 1, F.lit(1)).alias("ref"), codes.alt(F.col("gt"), F.col("ref")).alias("alt"), ((F.col("p") + F.col("dp")) % 60).alias("qual"), F.lit("PASS").alias("filter"), F.lit("NNCGN").alias("cx"),
         codes.gt(F.col("gt"), F.col("ref")).alias("GT"), F.lit("PASS").alias("FT"), F.col("dp").alias("DP"), F.lit(40).alias("MQ"), F.lit(30).alias("GQ"), F.lit(3).alias("QD"), pileup.counts_array().alias("MC8"), codes.strand_of(F.col("gt")).alias("CS"),
@@ -669,7 +669,7 @@ def expand_qualities(s, d):
     c = pileup.counts_array()
     dense = F.filter(F.transform(c, lambda x, i: F.when(x > 0, i + 10)), lambda x: x.isNotNull())
     full = shapes.expand_qualities(F.col("counts"), F.col("dense"), 20)
-    m = _sites(s, d).where("p % 7 = 0").withColumns({"counts": c, "dense": dense}).withColumn("full", full)
+    m = _sites(s, d).withColumns({"counts": c, "dense": dense}).withColumn("full", full)
     return m.select("tid", "p", *[F.col("full")[k].cast("bigint").alias(f"bq{k}") for k in range(8)])
 
 
