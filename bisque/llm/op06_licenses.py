@@ -1,7 +1,7 @@
 """License scans: ordered signature rules.
 
-A text is gated by a keyword test; what passes is reduced to its words, lower case, single spaces. Every rule has a keyword that the words must
-contain before its regex is tried, a label, a priority and a confidence. Rules give intervals; an interval that lies within another of a higher
+A text is gated by the rules' own names and sentences, looked for in raw text; what passes is reduced to its words, lower case, single spaces. Every
+rule has a keyword, a part of whatever its regex matches, that the words must contain before its regex is tried, a label, a priority and a confidence. Rules give intervals; an interval that lies within another of a higher
 priority, or of the same priority and greater length (or the same length and an earlier rule), is suppressed.
 
 Only SQL functions are used and rows never meet, so there is no shuffle.
@@ -15,7 +15,7 @@ from __future__ import annotations
 import re
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import common
@@ -26,15 +26,11 @@ IN_RAW_WORD = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]"
 BETWEEN = r"[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
 #: Phrases that always count, and their labels.
 BASE = (("under the mit license", "mit"), ("apache license version 2", "apache-2"), ("cc by nc", "cc-by-nc"))
-#: A text without any of these words, in lower case, has no license; "cc" needs more.
-GATE = ("licen", "copyright", "copyleft", "spdx", "domain", "reserved", "wtfpl", "gpl", "gfdl", "mpl", "cddl", "eupl", "cc0", "hereby", "warrant", "redistribut", "confidential", "unauthorized", "perl itself", "commons", "endorse", "openrail", "ofl", "not evil", "cecill", "mulan", "misrepresented")
-GATE_CC = rf"cc{BETWEEN}(?:by|0|zero)"
-
 VERSION = r"(?:v|version )?"
 #: Fixed values, written by hand: label, the keyword of the rule, the license's name as a regex over lower-case words.
 NAMES = (
     ("mit", "mit", r"mit licen[cs]e"), ("mit", "expat", r"expat licen[cs]e"), ("mit", "x11", r"x11 licen[cs]e"), ("mit", "mit", r"licen[cs]e mit"),
-    ("mit-0", "mit", r"mit no attribution(?: licen[cs]e)?"), ("mit-0", "mit", r"mit 0"),
+    ("mit-0", "attribution", r"mit no attribution(?: licen[cs]e)?"), ("mit-0", "mit", r"mit 0"),
     ("apache-2", "apache", rf"apache(?: software)? licen[cs]e {VERSION}2(?: 0)?"), ("apache-2", "apache", rf"apache {VERSION}2(?: 0)?(?: licen[cs]e)?"), ("apache-2", "asl", r"asl {V}2(?: 0)?"),
     ("apache-1.1", "apache", r"apache(?: software)? licen[cs]e {V}1 1"), ("apache-1.0", "apache", r"apache(?: software)? licen[cs]e {V}1 0"), ("apache", "apache", r"apache(?: software)? licen[cs]e"),
     ("bsd-2", "bsd", r"(?:bsd 2 clause|2 clause bsd|two clause bsd|simplified bsd|freebsd)(?: licen[cs]e)?"), ("bsd-3", "bsd", r"(?:bsd 3 clause|3 clause bsd|three clause bsd|new bsd|revised bsd|modified bsd)(?: licen[cs]e)?"),
@@ -52,8 +48,8 @@ NAMES = (
     ("cpl-1", "common", r"common public licen[cs]e"), ("cpal-1", "attribution", r"common public attribution licen[cs]e"), ("ibm-pl", "ibm", r"ibm public licen[cs]e"), ("eupl-1.2", "european", r"european union public licen[cs]e {V}1 2"), ("eupl", "european", r"european union public licen[cs]e"), ("eupl", "eupl", r"eupl"),
     ("isc", "isc", r"isc licen[cs]e"), ("zlib", "zlib", r"zlib(?: libpng)? licen[cs]e"), ("libpng", "libpng", r"libpng licen[cs]e"), ("boost-1", "boost", r"boost software licen[cs]e(?: {V}1(?: 0)?)?"), ("artistic-2", "artistic", r"artistic licen[cs]e {V}2(?: 0)?"), ("artistic-1", "artistic", r"artistic licen[cs]e {V}1(?: 0)?"), ("artistic", "artistic", r"artistic licen[cs]e"),
     ("unlicense", "unlicense", r"(?:the )?unlicense"), ("wtfpl", "wtfpl", r"wtfpl"), ("wtfpl", "want", r"do what the fuck you want to public licen[cs]e"), ("cc0", "cc0", r"cc0(?: 1 0)?(?: universal)?"), ("cc0", "cc", r"cc (?:zero|0)(?: 1 0)?"), ("cc0", "zero", r"creative commons zero"),
-    ("cc-by-nc-nd", "nd", r"cc by nc nd(?: [1-4] [05])?"), ("cc-by-nc-sa", "sa", r"cc by nc sa(?: [1-4] [05])?"), ("cc-by-nc", "nc", r"cc by nc(?: [1-4] [05])?"), ("cc-by-nd", "nd", r"cc by nd(?: [1-4] [05])?"), ("cc-by-sa", "sa", r"cc by sa(?: [1-4] [05])?"), ("cc-by", "cc", r"cc by(?: [1-4] [05])?"),
-    ("cc-by-nc-nd", "noderiv", r"creative commons attribution non ?commercial no ?deriv(?:s|atives)(?: [1-4] [05])?"), ("cc-by-nc-sa", "alike", r"creative commons attribution non ?commercial share ?alike(?: [1-4] [05])?"), ("cc-by-nc", "commercial", r"creative commons attribution non ?commercial(?: [1-4] [05])?"),
+    ("cc-by-nc-nd", "cc", r"cc by nc nd(?: [1-4] [05])?"), ("cc-by-nc-sa", "cc", r"cc by nc sa(?: [1-4] [05])?"), ("cc-by-nc", "cc", r"cc by nc(?: [1-4] [05])?"), ("cc-by-nd", "cc", r"cc by nd(?: [1-4] [05])?"), ("cc-by-sa", "cc", r"cc by sa(?: [1-4] [05])?"), ("cc-by", "cc", r"cc by(?: [1-4] [05])?"),
+    ("cc-by-nc-nd", "deriv", r"creative commons attribution non ?commercial no ?deriv(?:s|atives)(?: [1-4] [05])?"), ("cc-by-nc-sa", "alike", r"creative commons attribution non ?commercial share ?alike(?: [1-4] [05])?"), ("cc-by-nc", "commercial", r"creative commons attribution non ?commercial(?: [1-4] [05])?"),
     ("cc-by-nd", "deriv", r"creative commons attribution no ?deriv(?:s|atives)(?: [1-4] [05])?"), ("cc-by-sa", "alike", r"creative commons attribution share ?alike(?: [1-4] [05])?"), ("cc-by", "creative", r"creative commons attribution(?: [1-4] [05])?"), ("cc", "creative", r"creative commons(?: licen[cs]e)?"),
     ("odbl", "open", r"open data(?:base)? (?:commons )?(?:open )?(?:database )?licen[cs]e"), ("odc-by", "open", r"open data commons attribution licen[cs]e"), ("pddl", "dedication", r"(?:open data commons )?public domain dedication(?: and licen[cs]e)?"), ("ofl-1.1", "font", r"(?:sil )?open font licen[cs]e(?: {V}1 1)?"), ("ofl-1.1", "ofl", r"ofl 1 1"),
     ("psf", "python", r"python software foundation licen[cs]e(?: {V}2)?"), ("psf", "psf", r"psf licen[cs]e"), ("python", "python", r"python licen[cs]e"), ("php-3", "php", r"php licen[cs]e(?: {V}3 0?1)?"), ("ruby", "ruby", r"ruby licen[cs]e"), ("perl", "perl", r"same terms as perl itself"), ("openssl", "openssl", r"openssl licen[cs]e"), ("curl", "curl", r"curl licen[cs]e"),
@@ -63,9 +59,9 @@ NAMES = (
 )
 #: Sentences of license texts and notices; label, keyword, regex, confidence.
 SENTENCES = (
-    ("mit", "hereby", r"permission is hereby granted free of charge to any person obtaining a copy", 1.0), ("mit", "merchantability", r"the software is provided as is without warranty of any kind express or implied", 0.8),
+    ("mit", "hereby", r"permission is hereby granted free of charge to any person obtaining a copy", 1.0), ("mit", "warranty", r"the software is provided as is without warranty of any kind express or implied", 0.8),
     ("apache-2", "compliance", r"you may not use this file except in compliance with the licen[cs]e", 0.9), ("bsd", "redistribution", r"redistribution and use in source and binary forms with or without modification are permitted", 0.9), ("bsd-3", "endorse", r"may be used to endorse or promote products derived from this software", 0.9),
-    ("bsd-4", "acknowledgement", r"all advertising materials mentioning features or use of this software must display", 0.9), ("gpl", "redistribute", r"you can redistribute it and or modify it under the terms of the gnu general public licen[cs]e", 1.0), ("lgpl", "redistribute", r"you can redistribute it and or modify it under the terms of the gnu lesser general public licen[cs]e", 1.0), ("agpl", "redistribute", r"you can redistribute it and or modify it under the terms of the gnu affero general public licen[cs]e", 1.0),
+    ("bsd-4", "advertising", r"all advertising materials mentioning features or use of this software must display", 0.9), ("gpl", "redistribute", r"you can redistribute it and or modify it under the terms of the gnu general public licen[cs]e", 1.0), ("lgpl", "redistribute", r"you can redistribute it and or modify it under the terms of the gnu lesser general public licen[cs]e", 1.0), ("agpl", "redistribute", r"you can redistribute it and or modify it under the terms of the gnu affero general public licen[cs]e", 1.0),
     ("isc", "permission", r"permission to use copy modify and or distribute this software for any purpose", 0.9), ("zlib", "misrepresented", r"the origin of this software must not be misrepresented", 0.9), ("boost-1", "boost", r"distributed under the boost software licen[cs]e", 1.0), ("mpl-2", "mozilla", r"this source code form is subject to the terms of the mozilla public licen[cs]e", 1.0), ("unlicense", "unencumbered", r"this is free and unencumbered software released into the public domain", 1.0),
     ("public-domain", "domain", r"(?:dedicated|released|placed) (?:in|in ?to|to) the public domain", 0.9), ("public-domain", "domain", r"public domain", 0.4), ("all-rights-reserved", "reserved", r"all rights reserved", 0.4), ("proprietary", "confidential", r"proprietary and confidential", 0.8), ("proprietary", "unauthorized", r"unauthorized copying of this file", 0.8), ("copyleft", "copyleft", r"copyleft", 0.3),
 )
@@ -99,6 +95,28 @@ def rules() -> list[Rule]:
     return out
 
 
+def cores(regex: str) -> list[str]:
+    """The regex without its optional groups, one for each choice of its alternatives."""
+    m = re.search(r"\(\?:([^()]*)\)(\??)", regex)
+    if not m:
+        return [regex]
+    return [c for part in ([""] if m[2] else m[1].split("|")) for c in cores(regex[: m.start()] + part + regex[m.end() :])]
+
+
+def _gate(low: Column) -> Column:
+    """Whether a rule may match the text ``low``, in lower case: "licen", or a name or sentence that can do without it."""
+    given = [(k, r.replace("{V}", VERSION)) for _, k, r in NAMES] + [(k, r) for _, k, r, _ in SENTENCES] + [(p.split()[-1], p) for p, _ in BASE]
+    found: dict[str, list[str]] = {}
+    for k, r in given:
+        if not all("licen" in c for c in cores(r)):
+            raw = re.sub(r" (\??)", lambda m: f"(?:{BETWEEN}){m[1]}", r)
+            found.setdefault(k, []).append(raw)
+    gate = low.contains("licen")
+    for k, raw in found.items():
+        gate = gate | low.contains(k) & low.rlike("|".join(raw))
+    return gate
+
+
 def _quoted(s: str) -> str:
     return "'" + s.replace("\\", "\\\\").replace("'", "\\'") + "'"
 
@@ -130,11 +148,7 @@ def scan(df: DataFrame, column: str = "text") -> DataFrame:
     base = [Rule(label, p.split()[-1], f"(?<= ){p}(?= )", 0, 1.0) for p, label in BASE]
     df = df.withColumn("n_words", F.when(F.col("text__") == "", 0).otherwise(F.regexp_count("text__", F.lit(f"{IN_RAW_WORD}+"))).cast("long"))
     words = F.concat(F.lit(" "), F.array_join(F.regexp_extract_all(common.lower_az(F.col("text__")), F.lit(f"({IN_WORD}+)"), F.lit(1)), " "), F.lit(" "))
-    low = F.col("low__")
-    gate = low.contains("cc") & low.rlike(GATE_CC)
-    for k in GATE:
-        gate = gate | low.contains(k)
-    df = df.withColumn("low__", F.lower("text__")).withColumn("norm__", F.when(gate, words)).drop("text__", "low__")
+    df = df.withColumn("low__", F.lower("text__")).withColumn("norm__", F.when(_gate(F.col("low__")), words)).drop("text__", "low__")
     none = "cast(array() as array<struct<no:int,label:string,prio:int,score:double,s:int,e:int>>)"
     df = df.withColumn("base__", F.expr(f"case when norm__ is null then {none} else {_hits(_table(base))} end"))
     df = df.withColumn("hits__", F.expr(f"case when norm__ is null then {none} else {_hits(_table(rules()))} end"))
