@@ -79,7 +79,7 @@ def gc_bins(s, d):
     + " as cx from b window w as (partition by tid order by p)",
 )
 def ref_context(s, d):
-    r = _ref(s, 20000).withColumn("base", F.substring(F.lit("ACGT"), F.col("ref").cast("int") + 1, F.lit(1)))
+    r = _ref(s).withColumn("base", F.substring(F.lit("ACGT"), F.col("ref").cast("int") + 1, F.lit(1)))
     return sites.context(r, "base", "cx")
 
 
@@ -563,7 +563,7 @@ def sq_header_enrich(s, d):
 
 @query("fasta_md5", f"with {REF.format(n=2000)}, q as (select tid, string_agg(substr('ACGT', cast(ref as int) + 1, 1), '' order by p) as seq from ref group by 1) select 'chr' || tid as name, length(seq) as len, md5(seq) as m5 from q")
 def fasta_md5(s, d):
-    r = _ref(s, 2000).withColumn("b", F.substring(F.lit("acgt"), F.col("ref").cast("int") + 1, F.lit(1)))
+    r = _ref(s).withColumn("b", F.substring(F.lit("acgt"), F.col("ref").cast("int") + 1, F.lit(1)))
     return text.fasta_md5(r.select(F.concat(F.lit("chr"), "tid").alias("name"), F.col("p").alias("no"), F.concat("b", F.lit(" ")).alias("line")))
 
 

@@ -20,3 +20,8 @@ def same_rows(spark, duck, name, cut, whole):  # noqa: F811
 @pytest.mark.parametrize(("name", "cut"), [("genotype_likelihood", " where p % 3 = 0"), ("genotype_haploid", " where p % 3 = 0"), ("vcf_roundtrip", " where p % 5 = 0"), ("expand_qualities", " where p % 7 = 0")])
 def test_every_site(spark, duck, name, cut):  # noqa: F811
     assert same_rows(spark, duck, name, cut, "") == engine.QUERIES["pileup_counts"](spark, SF).count()
+
+
+@pytest.mark.parametrize(("name", "cut", "rows"), [("ref_context", "range(20000)", 5 * 200010), ("fasta_md5", "range(2000)", 5)])
+def test_whole_reference(spark, duck, name, cut, rows):  # noqa: F811
+    assert same_rows(spark, duck, name, cut, "range(200010)") == rows
