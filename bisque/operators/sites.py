@@ -8,14 +8,26 @@ from pyspark.sql import functions as F
 
 TILE = 1 << 20
 
+#: Channels of a heterozygote's two alleles; A/G and C/T leave out what conversion can make of the other allele.
+HET_CHANNELS = {1: ((1, 5, 7), (0, 4)), 2: ((2, 6), (0,)), 3: ((3, 7), (0, 4)), 5: ((2, 6, 4), (1, 5, 7)), 6: ((3,), (1, 5)), 8: ((3, 7), (2, 6, 4))}
+
+
+def mac1() -> Column:
+    """One read at most for either allele of a heterozygote, over gt and c0 .. c7."""
+    few = lambda ch: sum((F.col(f"c{k}") for k in ch), F.lit(0)) <= 1
+    out = F.lit(False)
+    for g, (x, y) in HET_CHANNELS.items():
+        out = out | (F.coalesce(F.col("gt") == g, F.lit(False)) & (few(x) | few(y)))
+    return out
+
 
 def site_filters(df: DataFrame, min_phred: int = 20, min_qd: int = 2, max_fs: int = 60, min_mq: int = 40) -> DataFrame:
-    """FLT-6, PRJ-12, PRJ-14 over (phred, dp, fs, mq): quality by depth and the filter string."""
+    """FLT-6, PRJ-12, PRJ-14 over (phred, dp, fs, mq, gt, c0 .. c7): quality by depth and the filter string; mac1 where no other filter fires."""
     qd = F.when(F.col("dp") > 0, F.expr("phred div dp")).otherwise(F.col("phred").cast("bigint"))
     df = df.withColumn("qd", qd)
     marks = [F.when(F.col("phred") < min_phred, "q20"), F.when(F.col("qd") < min_qd, "qd2"), F.when(F.col("fs") > max_fs, "fs60"), F.when(F.col("mq") < min_mq, "mq40")]
     text = F.concat_ws(";", *marks)
-    return df.withColumn("filter", F.when(text == "", "PASS").otherwise(text))
+    return df.withColumn("filter", F.when(text != "", text).when(mac1(), "mac1").otherwise("PASS"))
 
 
 def context(df: DataFrame, column: str, out: str, reach: int = 2, missing: str = "N") -> DataFrame:

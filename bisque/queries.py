@@ -260,8 +260,8 @@ flt as (select *, coalesce(nullif(concat_ws(';', case when phred < 20 then 'q20'
 
 
 def _filtered(s, d):
-    f = _sites(s, d).select("tid", "p", "dp", ((F.col("m2") * 7 + F.col("p")) % 90).alias("phred"), ((F.col("p") * 13 + F.col("dp")) % 120).alias("fs"), pileup.rms_mapq().cast("bigint").alias("mq"))
-    return sites.site_filters(f)
+    f = _calls(s, d).select("tid", "p", "dp", "gt", *[f"c{k}" for k in range(8)], ((F.col("m2") * 7 + F.col("p")) % 90).alias("phred"), ((F.col("p") * 13 + F.col("dp")) % 120).alias("fs"), pileup.rms_mapq().cast("bigint").alias("mq"))
+    return sites.site_filters(f).drop("gt", *[f"c{k}" for k in range(8)])
 
 
 @query("site_filters", f"with {fx.SITES}, {SF} select tid, p, dp, phred, fs, mq, qd, filter from flt")
