@@ -6,7 +6,7 @@ a card number becomes another valid card number, a date another date. The permut
 stay linked across documents and spellings, and no table of values is kept.
 
 Defined results: a null text stays null with no findings; empty texts stay empty; repeated rows get equal pseudonyms; numbers that do not
-validate are left alone; an empty table gives an empty result; input columns that clash with the new ones are replaced.
+validate are left alone, but what validates inside them from one group of characters to the end of another is not: the leftmost, then the longest; an empty table gives an empty result; input columns that clash with the new ones are replaced.
 """
 
 from __future__ import annotations
@@ -88,6 +88,8 @@ PATTERN = re.compile(
     |(?<!\d)(?P<card>\d(?:[\ \-]?\d){12,18})(?!\d)""".replace(r"([/.])\d{1,2}\g<DSEP>", r"(?P<dsep>[/.])\d{1,2}(?P=dsep)").replace("MONTHS", "|".join(MONTHS)),
     re.X,
 )
+CARD = re.compile(r"(?<!\d)\d(?:[ \-]?\d){12,18}(?!\d)")
+HEAD = re.compile(r"[A-Za-z0-9]+|.", re.S)
 GROUPS = (*KINDS, "written")
 ANY = re.compile(r"[0-9@]|AKIA|ASIA|(?i:passw|pwd|secret|token|key)")
 
@@ -197,24 +199,39 @@ class Pseudonyms:
             return s[:k] + self._classes(s[k:], "secret")
         return s[: len(s) - len(value)] + self._classes(value, "secret")
 
+    def _shorter(self, text: str, a: int, kind: str, s: str) -> tuple:
+        """The longest value at ``a`` that validates and ends with a group of the candidate ``s``, or else of a card number: kind, value, pseudonym."""
+        tried = [(kind, s)] if kind in ("iban", "phone") else []
+        if c := CARD.match(text, a):
+            tried.append(("card", c.group()))
+        for kind, s in tried:
+            if kind == "phone" and any(self._shorter(text, a + g.start(), "", "")[2] for g in re.finditer(r"\d+", s)):
+                continue  # the card number in it comes first
+            for value in (s, *(s[: g.start()] for g in reversed([*re.finditer(r"[ .\-]", s)]))):
+                if new := self.cached(kind, value):
+                    return kind, value, new
+        return kind, s, None
+
     def apply(self, text: str | None) -> tuple:
         if not text or not ANY.search(text):
             return text, 0, []
         out, at, found, size = [], 0, [], 0
-        for m in PATTERN.finditer(text):
-            kind, s = next(k for k in GROUPS if m[k] is not None), m.group()
+        m = PATTERN.search(text)
+        while m:
+            a, kind, s = m.start(), next(k for k in GROUPS if m[k] is not None), m.group()
             new = self._secret(s, m["value"]) if kind == "secret" else self.cached(kind, s)
-            if new is None and kind in ("ip", "phone", "date", "iban") and (c := re.fullmatch(r"\d(?:[ \-]?\d){12,18}", s)):
-                kind, new = "card", self.cached("card", c.group())
             if new is None:
+                kind, s, new = self._shorter(text, a, kind, s)
+            if new is None:
+                m = PATTERN.search(text, HEAD.match(text, a).end())
                 continue
-            a, b = m.span()
             gap = text[at:a]
             out += [gap, new]
             size += len(gap)
             found.append({"kind": "date" if kind == "written" else kind, "start": size, "stop": size + len(new)})
             size += len(new)
-            at = b
+            at = a + len(s)
+            m = PATTERN.search(text, at)
         out.append(text[at:])
         return "".join(out), len(found), found
 

@@ -2,7 +2,9 @@
 
 import re
 
-from bisque.llm import op06_licenses
+import pytest
+
+from bisque.llm import op01_pii, op06_licenses
 
 from .test_native import op10_jaccard
 
@@ -24,3 +26,28 @@ def test_every_license_passes_the_gate(spark):
     for x in op06_licenses.scan(spark.createDataFrame([(t,) for t in texts], "text string")).collect():
         assert sorted({d.label for d in x.detections}) == ungated(x.text), x.text
     assert all(ungated(t) for t in texts[:12])
+
+
+CARD, SPANISH, BELGIAN = "4111 1111 1111 1111", "ES91 2100 0418 4502 0005 1332", "BE68 5390 0754 7034"
+
+
+@pytest.mark.parametrize(
+    ("text", "value", "kind"),
+    [
+        (f"{CARD} 12/27", CARD, "card"), ("4111111111111111 123", "4111111111111111", "card"), (f"12 {CARD}", CARD, "card"), (f"12345 {CARD}", CARD, "card"), (f"+1 {CARD} 9", CARD, "card"), (f"AB13 CDEF GHIJ KLMN {CARD}", CARD, "card"),
+        (f"2020-13-45 {CARD} 123", CARD, "card"), (f"{SPANISH} BIC", SPANISH, "iban"), (f"{SPANISH} EUR 20", SPANISH, "iban"), (f"{BELGIAN} EUR", BELGIAN, "iban"), (f"AB13 {BELGIAN}", BELGIAN, "iban"),
+        ("+49 30 123458 2024 12 31", "+49 30 123458", "phone"),
+    ],
+)
+def test_values_beside_digits_and_capitals(text, value, kind):
+    new, n, found = op01_pii.Pseudonyms(b"k").apply(text)
+    assert value not in new and n == len(found) == 1 and found[0]["kind"] == kind and len(new) == len(text)
+    if kind != "phone":
+        at = text.index(value)
+        assert (found[0]["start"], found[0]["stop"]) == (at, at + len(value))
+        assert new[:at] == text[:at] and new[at + len(value) :] == text[at + len(value) :]
+
+
+def test_values_inside_one_group_stay():
+    for text in ("4111111111111111123", "x 1234111111111111111 y", "ES9121000418450200051332BIC", "12 34 56"):
+        assert op01_pii.Pseudonyms(b"k").apply(text)[:2] == (text, 0), text
