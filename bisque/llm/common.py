@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import atexit
 import os
 import tempfile
+import uuid
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
@@ -20,16 +22,47 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder that ``spark.checkpoint.dir`` names; one of our own only where it is unset."""
-    return spark.conf.get("spark.checkpoint.dir", None) or os.path.join(tempfile.gettempdir(), "bisque-checkpoints")
+    """The folder that ``spark.checkpoint.dir`` names.
+
+    Where it is unset, one of our own, but only for a local master: executors on other machines could not read it.
+    """
+    named = spark.conf.get("spark.checkpoint.dir", None)
+    if named:
+        return named
+    if not spark.sparkContext.master.startswith("local"):
+        raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
+    return os.path.join(tempfile.gettempdir(), "bisque-checkpoints")
+
+
+_folders: dict[str, str] = {}
+
+
+def run_folder(spark: SparkSession) -> str:
+    """This application's part of the shared folder; it is removed when the driver's Python ends, or by ``clean``."""
+    app = spark.sparkContext.applicationId
+    if app not in _folders:
+        _folders[app] = f"{shared_folder(spark)}/bisque-{app}-{uuid.uuid4().hex[:8]}"
+        atexit.register(clean, spark)
+    return _folders[app]
+
+
+def clean(spark: SparkSession) -> None:
+    """Remove this application's intermediate tables; results that still read them are lost."""
+    try:
+        sc = spark.sparkContext
+        folder = _folders.pop(sc.applicationId, None)
+        if folder and sc._jsc is not None:
+            path = sc._jvm.org.apache.hadoop.fs.Path(folder)
+            path.getFileSystem(sc._jsc.hadoopConfiguration()).delete(path, True)
+    except Exception:  # the session is gone already, and with it the way to the folder
+        return
 
 
-def checkpointed(df: DataFrame) -> DataFrame:
-    """``df`` with its lineage cut in the shared folder."""
-    sc = df.sparkSession.sparkContext
-    if sc.getCheckpointDir() is None:
-        sc.setCheckpointDir(shared_folder(df.sparkSession))
-    return df.checkpoint(eager=True)
+def stored(df: DataFrame) -> DataFrame:
+    """``df`` written to the shared folder and read again: its lineage is cut, and lost executors lose nothing of it."""
+    path = f"{run_folder(df.sparkSession)}/{uuid.uuid4().hex}"
+    df.write.option("compression", "zstd").parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def without(df: DataFrame, names: list[str]) -> DataFrame:
@@ -38,13 +71,6 @@ def without(df: DataFrame, names: list[str]) -> DataFrame:
     return df.select(*[F.col(f"`{c}`") for c in df.columns if c.lower() not in low])
 
 
-def small_batches(spark: SparkSession) -> None:
-    """Fewer rows of text in an Arrow batch than Spark's default, unless the session has a number of its own: JVM and worker each hold one."""
-    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
-    if spark.conf.get(key, "10000") == "10000":
-        spark.conf.set(key, "1000")
-
-
 def lower_az(c):
     """A-Z to a-z, nothing else (``lower`` would also fold other scripts)."""
     return F.translate(c, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
@@ -67,13 +93,13 @@ def _slices(batch: pa.RecordBatch, column: str) -> Iterator[pa.RecordBatch]:
         i = j
 
 
-def map_text(df: DataFrame, column: str, fields: str, make: Callable[[], Callable[[list], dict]]) -> DataFrame:
+def map_text(df: DataFrame, column: str, fields: str, make: Callable[[], Callable[[list], dict]], arrow: bool = False) -> DataFrame:
     """``df`` with the columns that ``fields`` (DDL) names, made from the text column in Arrow batches.
 
-    ``make`` is called once a task and returns a function from a list of texts (None for null) to lists by name.
-    Columns of ``df`` that clash with a new one are replaced by it.
+    ``make`` is called once a task and returns a function from a list of texts (None for null), or an Arrow array of them, to lists by name.
+    Columns of ``df`` that clash with a new one are replaced by it. Batches are bounded by Spark in rows and bytes
+    (``spark.sql.execution.arrow.maxBytesPerBatch``), and cut again here.
     """
-    small_batches(df.sparkSession)
     new = T.StructType.fromDDL(fields)
     low = {f.name.lower() for f in new}
     keep = [c for c in df.columns if c.lower() not in low]
@@ -89,7 +115,7 @@ def map_text(df: DataFrame, column: str, fields: str, make: Callable[[], Callabl
         for whole in batches:
             for b in _slices(whole, src):
                 f = f or make()
-                made = f(b.column(src).to_pylist())
+                made = f(b.column(src) if arrow else b.column(src).to_pylist())
                 arrays = [b.column(c) for c in keep] + [pa.array(made[n], type=k) for n, k in kinds.items()]
                 yield pa.RecordBatch.from_arrays(arrays, names=[*keep, *kinds])
 

@@ -131,7 +131,7 @@ def fingerprint(docs: DataFrame, bits: Column | None = None) -> DataFrame:
 
 
 def edited_neighbours(docs: DataFrame) -> DataFrame:
-    bits = common.checkpointed(lexicon(docs)).scalar()
+    bits = common.stored(lexicon(docs)).scalar()
     # both joins below read the same shuffle of the texts by id: it is the same plan, so Spark runs it once
     base = fingerprint(docs.where(F.col("doc_id").isNotNull()), bits)
     pairs = next_ids(base.select("doc_id", "text"))

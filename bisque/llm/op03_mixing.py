@@ -98,7 +98,7 @@ def mix(docs: DataFrame, percent: int = 150, seed: int = 17, group: int = GROUP,
     slim = docs.select("doc_id", F.col("source").cast("string").alias("source"), n_words(F.col("text").cast("string")).alias("size"))
     by = W.partitionBy("doc_id", "source", "size").orderBy(F.lit(1))
     # the sizes are counted once: what follows reads these slim rows again and again
-    slim = common.checkpointed(slim.withColumn("no", F.row_number().over(by)))
+    slim = common.stored(slim.withColumn("no", F.row_number().over(by)))
     sources = slim.groupBy("source").agg(F.sum("size").alias("source_size"), F.count("*").alias("source_rows"))
     goal = targets(sources.select("source", "source_size"), percent).withColumnRenamed("source", "source2")
     known = sources.join(goal.drop("source_size"), F.col("source").eqNullSafe(F.col("source2"))).drop("source2").withColumnRenamed("source", "source2")
@@ -117,7 +117,7 @@ def mix(docs: DataFrame, percent: int = 150, seed: int = 17, group: int = GROUP,
     n_left = -(-most // group)
     while True:
         folded = level_rows.groupBy("source", "g", "left").agg(F.array_sort(F.collect_list("m")).alias("ms")).select("source", "g", "left", _meet(F.col("ms"), level, seed).alias("f"))
-        folded = common.checkpointed(folded)
+        folded = common.stored(folded)
         done = folded.select(F.explode("f.done").alias("d")).select("d.key", "d.copies")
         decided = done if decided is None else decided.unionByName(done)
         rest = folded.where(F.col("f.rest").isNotNull())

@@ -2,27 +2,30 @@
 
 A document is the set of its distinct word n-grams, hashed to 64 bits. Equal sets are one class. Classes join exactly at a threshold p/q:
 
-1. Index. Grams are ordered by how common they are (a counted sketch of fixed size gives the order; any order gives the same result) and a class
-   is listed under the few rarest grams that two linked classes must share one of.
-2. Index-level skipping. A list is sorted by set size and cut into blocks; a block is skipped as a whole when its sizes and positions leave
-   too little room for the overlap that a link takes.
-3. Answer-level skipping. The classes of long lists are assigned to pivots, similar classes found by minima over independent hashes. The answers
-   of a pivot give those of its classes: only the difference D of a class from its pivot is kept, |a xor b| = |Da| + |Db| - 2 |Da and Db|, and
-   classes that the pivot links need no comparison with each other. Other classes of a pivot are compared through their differences, in
-   blocks of bounded size, and only the links of a spanning forest are put out. Pairs of different pivots' classes go the common way.
-4. Candidates are verified on the whole sets; links are merged to components by rounds of least neighbours.
-
-So no text's answer is lost, while groups of copies cost in proportion to their size.
+1. Peeling. A class of m grams that has m - ceil(m p / q) + 1 grams which no other class has can link with nothing. Grams are counted by a plain
+   aggregation, so the counts are exact at any size; only grams from a fixed part of the hash range take part, which keeps the shuffle small.
+2. Index. The classes that are left list their rarest grams (by exact counts among them; any order gives the same result), so many that two linked
+   classes share one.
+3. Answer-level skipping. A class is assigned to a similar one, its pivot, by minima over independent hashes; only its difference D from the pivot is
+   made. A class that its pivot links has the pivot's answers, so the two are one node from there on; classes of one pivot are compared by
+   |a xor b| = |Da| + |Db| - 2 |Da and Db|.
+4. Index-level skipping. A list is sorted by size and cut into blocks; a pair of blocks is skipped as a whole when its sizes and positions leave too
+   little room for the overlap that a link takes, and a pair of classes of one node is skipped. Lists of one node are not read at all. A long
+   list is dealt into parts: classes outside its most frequent node meet all parts, the others only those classes.
+5. Candidates are filtered by parity bitmaps, whose distance never exceeds that of the sets, then decided on whole sets or differences: first
+   the nearest pair of two nodes each, then, where these did not link, all others.
+6. Links are merged to components by rounds of least neighbours.
+
+Nothing is capped or sampled: no link is lost, while groups of copies cost in proportion to their size.
 
 Defined results: null, empty and blank texts have no grams, link with nothing and are components of their own; texts with fewer words than n are
-one gram; repeated ids count as one document in the components; an empty table gives an empty result; a null id gets the component of its equal texts, null if there
-is none; columns of the input that clash with the new ones are replaced.
+one gram; rows with a repeated id are texts of their own, each with the least id of its component; an empty table gives an empty result; a row
+without id takes part like any other and gets the least id of its component, null if none there has an id; columns of the input that clash with
+the new ones are replaced.
 """
 
 from __future__ import annotations
 
-import re
-
 import numpy as np
 import xxhash
 from pyspark.sql import DataFrame, SparkSession
@@ -30,18 +33,14 @@ from pyspark.sql import functions as F
 
 from . import common
 
-WORD = re.compile(r"[^\x20\x09-\x0D]+")
-#: What ``str.split`` also takes for a blank.
-OTHER_BLANK = re.compile(r"[\x1c-\x1f\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]")
 LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
-SKETCH_BITS = 18
 KEYS = 6
-#: Longer lists are handled by pivots; members of a pivot that one task compares at once.
-LONG, BLOCK = 48, 1024
+#: Longer lists are dealt into parts of about BLOCK entries.
+LONG, BLOCK = 1024, 1024
 #: So many ids (8 bytes each) are broadcast at most.
 SENT = 2_000_000
-#: Grams by which an overlap of halves is trusted.
-SLACK = 2
+#: Bytes of text whose words are hashed at once; longer words are hashed on their own.
+WINDOW, LONG_WORD = 1 << 20, 64
 #: Odd multipliers for mixing hashes.
 ODD = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F, 0xE7037ED1A0B428DB], np.uint64)
 
@@ -53,33 +52,116 @@ def mixed(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(32))
 
 
+def _powers(base: int) -> np.ndarray:
+    out = np.empty(WINDOW, np.uint64)
+    out[0] = 1
+    k = 1
+    while k < WINDOW:
+        out[k : 2 * k] = out[: min(k, WINDOW - k)] * np.uint64(pow(base, k, 1 << 64))
+        k *= 2
+    return out
+
+
 class Sets:
-    """The sorted distinct gram hashes of a text; word hashes are remembered in a bounded table."""
+    """The sorted distinct gram hashes of texts.
+
+    A word's hash is a sum of its bytes' codes times powers of an odd number, so one running sum over the bytes gives those of all words;
+    the powers of the word's place are divided out. Words longer than LONG_WORD, where such sums could be made to collide, are hashed by xxh3.
+    """
 
     def __init__(self, n: int):
-        self.n, self.known = n, {}
-
-    def __call__(self, text: str | None) -> np.ndarray:
-        text = text or ""
-        words = WORD.findall(text) if OTHER_BLANK.search(text) else text.split()
-        if not words:
-            return np.empty(0, np.uint64)
-        known = self.known
-        if len(known) > 150_000:
-            known.clear()
-        hashes = list(map(known.get, words))
-        if None in hashes:
-            for w in {w for w, h in zip(words, hashes, strict=True) if h is None}:
-                h = xxhash.xxh3_64_intdigest(w.translate(LOWER))
-                known[w] = h - (1 << 64) if h >> 63 else h
-            hashes = list(map(known.__getitem__, words))
-        a = np.array(hashes, np.int64).view(np.uint64)
-        k = min(self.n, len(a))
         with np.errstate(over="ignore"):
-            total = np.full(len(a) - k + 1, k, np.uint64)
-            for i in range(k):
-                total = mixed(total * ODD[0] + a[i : len(a) - k + 1 + i])
-        return np.unique(total)
+            self.codes = mixed(np.arange(1, 257, dtype=np.uint64) * ODD[0])
+            self.codes[65:91] = self.codes[97:123]  # A-Z as a-z
+            self.up, self.down = _powers(int(ODD[1])), _powers(pow(int(ODD[1]), -1, 1 << 64))
+        self.blank = np.zeros(256, bool)
+        self.blank[[32, 9, 10, 11, 12, 13]] = True
+        self.n = n
+
+    def _window(self, data: np.ndarray, first: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(starts, hashes) of the words of a window; ``first`` marks bytes before which a text ends."""
+        gap = self.blank[data]
+        before, after = np.empty(len(data), bool), np.empty(len(data), bool)
+        before[0], before[1:] = True, gap[:-1] | first[1:]
+        after[-1], after[:-1] = True, gap[1:] | first[1:]
+        start, stop = np.flatnonzero(~gap & before), np.flatnonzero(~gap & after) + 1
+        size = stop - start
+        if len(data) <= WINDOW:
+            run = np.zeros(len(data) + 1, np.uint64)
+            np.cumsum(self.codes[data] * self.up[: len(data)], out=run[1:])
+            words = (run[stop] - run[start]) * self.down[start]
+        else:  # one word
+            words = np.zeros(len(start), np.uint64)
+        words = mixed(words ^ size.astype(np.uint64) * ODD[2])
+        for i in np.flatnonzero(size > LONG_WORD):
+            words[i] = xxhash.xxh3_64_intdigest(bytes(data[start[i] : stop[i]]).lower())
+        return start, words
+
+    def words(self, data: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(starts, hashes) of all words of texts that lie side by side, cut at ``off``."""
+        first = np.zeros(len(data) + 1, bool)
+        first[off] = True
+        found, a = [], 0
+        while a < len(data):
+            b = min(a + WINDOW, len(data))
+            if b < len(data):
+                # back to the last place where no word runs on, else forth to the next
+                at = np.flatnonzero(self.blank[data[a + 1 : b]] | first[a + 1 : b])
+                if len(at):
+                    b = a + 1 + int(at[-1])
+                else:
+                    while b < len(data) and not (self.blank[data[b]] or first[b]):
+                        b += 1
+            start, words = self._window(data[a:b], first[a:b])
+            found.append((start + a, words))
+            a = b
+        if not found:
+            return np.empty(0, np.int64), np.empty(0, np.uint64)
+        return np.concatenate([s for s, _ in found]), np.concatenate([w for _, w in found])
+
+    def __call__(self, texts) -> list[np.ndarray]:
+        """One array a text; ``texts`` is an Arrow array of strings."""
+        import pyarrow as pa
+        import pyarrow.compute as pc
+
+        texts = pc.fill_null(texts, "").cast(pa.large_binary())
+        _, offsets, bytes_ = texts.buffers()
+        off = np.frombuffer(offsets, np.int64)[texts.offset : texts.offset + len(texts) + 1]
+        data = np.frombuffer(bytes_, np.uint8)[off[0] : off[-1]] if bytes_ is not None else np.empty(0, np.uint8)
+        with np.errstate(over="ignore"):
+            return self._grams(*self.words(data, off - off[0]), off - off[0])
+
+    def _grams(self, start: np.ndarray, words: np.ndarray, off: np.ndarray) -> list[np.ndarray]:
+        n, at = self.n, np.searchsorted(start, off)
+        total = np.full(len(words), n, np.uint64)
+        for i in range(n):
+            ahead = np.zeros(len(words), np.uint64)
+            ahead[: len(words) - i] = words[i:]
+            total = mixed(total * ODD[0] + ahead)
+        out = []
+        for a, b in zip(at[:-1].tolist(), at[1:].tolist(), strict=True):
+            if b - a >= n:
+                g = np.sort(total[a : b - n + 1])
+                new = np.empty(len(g), bool)
+                new[0] = True
+                np.not_equal(g[1:], g[:-1], out=new[1:])
+                out.append(g[new])
+            elif b > a:
+                one = np.full(1, b - a, np.uint64)
+                for w in words[a:b]:
+                    one = mixed(one * ODD[0] + w)
+                out.append(one)
+            else:
+                out.append(np.empty(0, np.uint64))
+        return out
+
+
+def signature(s: np.ndarray) -> int | None:
+    """One number for a set; None for the empty one."""
+    if not len(s):
+        return None
+    h = xxhash.xxh3_64_intdigest(s.tobytes())
+    return h - (1 << 64) if h >> 63 else h
 
 
 def prefix_length(n: int, p: int, q: int) -> int:
@@ -87,46 +169,54 @@ def prefix_length(n: int, p: int, q: int) -> int:
     return n - -(-p * n // q) + 1 if n else 0
 
 
+def prefix_sql(n: str, p: int, q: int) -> str:
+    return f"({n} + 1 - ({p} * {n} + {q - 1}) div {q})"
+
+
 def enough(na, nb, p: int, q: int):
     """The least overlap of linked sets of these sizes."""
     return -(-p * (na + nb) // (p + q))
 
 
-def rarest(s: np.ndarray, level: np.ndarray, k: int) -> np.ndarray:
-    """The first k grams by (level, hash)."""
-    if k >= len(s):
-        k = len(s)
-    if k == 0:
-        return s[:0]
-    of = level[(s & np.uint64((1 << SKETCH_BITS) - 1)).astype(np.int64)]
-    most = np.partition(of, k - 1)[k - 1]
-    some = np.nonzero(of <= most)[0]
-    # the set is sorted, so a stable sort by level is one by (level, hash)
-    return s[some[np.argsort(of[some], kind="stable")[:k]]]
+def parities(s: np.ndarray) -> np.ndarray:
+    """A bitmap of at least half a bit a gram: a bit is on if an odd number of grams falls on it.
+
+    Its length is a power of two, so a longer one folds to a shorter one's length by exclusive or.
+    """
+    bits = max(64, 1 << (max(1, len(s) // 2) - 1).bit_length())
+    on = np.bincount((mixed(s * ODD[5]) & np.uint64(bits - 1)).astype(np.int64), minlength=bits) & 1
+    return np.packbits(on.astype(np.uint8), bitorder="little").view(np.int64)
+
+
+#: The number of bits in which two bitmaps differ: never more than the grams in which their sets differ. 0 if their lengths are too far apart.
+APART = """case when greatest(size(bits_a), size(bits_b)) > 2 * least(size(bits_a), size(bits_b)) then 0 else
+    aggregate(zip_with(
+        case when size(bits_a) > size(bits_b) then zip_with(slice(bits_a, 1, size(bits_b)), slice(bits_a, size(bits_b) + 1, size(bits_b)), (x, y) -> x ^ y) else bits_a end,
+        case when size(bits_b) > size(bits_a) then zip_with(slice(bits_b, 1, size(bits_a)), slice(bits_b, size(bits_a) + 1, size(bits_a)), (x, y) -> x ^ y) else bits_b end,
+        (x, y) -> bit_count(x ^ y)), 0, (s, x) -> s + x) end"""
 
 
-def list_pairs(n: np.ndarray, pos: np.ndarray, p: int, q: int, block: int = 16) -> list[tuple[int, int]]:
-    """Pairs of a list's entries, sorted by size, that may be linked; blocks that cannot hold any are skipped."""
-    m, out = len(n), []
+def list_pairs(n: np.ndarray, pos: np.ndarray, node: np.ndarray, p: int, q: int, block: int = 32) -> list[tuple[int, int]]:
+    """Pairs of a list's entries, sorted by size, that may be linked and are of different nodes; blocks that cannot hold any are skipped."""
+    m, room = len(n), n - pos  # grams from this position on, this one included
     if m == 2:
-        if q * n[0] >= p * n[1] and 1 + min(n[0] - pos[0], n[1] - pos[1]) - 1 >= enough(n[0], n[1], p, q):
-            out.append((0, 1))
-        return out
-    room = n - pos  # grams from this position on, this one included
-    starts = range(0, m, block)
+        ok = node[0] != node[1] and q * n[0] >= p * n[1] and min(room[0], room[1]) >= enough(int(n[0]), int(n[1]), p, q)
+        return [(0, 1)] if ok else []
+    starts, out = range(0, m, block), []
     most = [int(room[s : s + block].max()) for s in starts]
-    for i in range(m - 1):
-        for b, s in enumerate(starts):
-            if s + block <= i + 1:
-                continue
-            least_size = int(n[max(s, i + 1)])
-            if q * int(n[i]) < p * least_size:
+    for x, s in enumerate(starts):
+        e = min(s + block, m)
+        for y, t in enumerate(starts[x:], x):
+            if q * int(n[e - 1]) < p * int(n[t]):
                 break  # sizes only grow from here
-            if min(int(room[i]), most[b]) < enough(int(n[i]), least_size, p, q):
+            if min(most[x], most[y]) < enough(int(n[s]), int(n[t]), p, q):
                 continue
-            j = np.arange(max(s, i + 1), min(s + block, m))
-            ok = (q * n[i] >= p * n[j]) & (np.minimum(room[i], room[j]) >= enough(n[i], n[j], p, q))
-            out += [(i, int(k)) for k in j[ok]]
+            f = min(t + block, m)
+            ok = (q * n[s:e, None] >= p * n[None, t:f]) & (node[s:e, None] != node[None, t:f])
+            ok &= np.minimum(room[s:e, None], room[None, t:f]) >= enough(n[s:e, None], n[None, t:f], p, q)
+            i, j = np.nonzero(ok)
+            i, j = i + s, j + t
+            out += [(a, b) for a, b in zip(i.tolist(), j.tolist(), strict=True) if a < b]
     return out
 
 
@@ -145,269 +235,262 @@ class Forest:
         return a != b
 
 
-def _arrow_sets(df: DataFrame, n: int, keys: int = 0) -> DataFrame:
-    """(doc_id, grams, halves, m, keys) of (doc_id, text): keys are the minima of so many independent hashes, m the size."""
+def _over_sets(df: DataFrame, n: int, fields: str, give) -> DataFrame:
+    """``df`` with the columns ``fields``: lists by name that ``give`` makes from a list of sets."""
 
     def make():
         sets = Sets(n)
+        return lambda texts: give(sets(texts))
 
-        def run(texts):
-            found = [sets(t) for t in texts]
-            with np.errstate(over="ignore"):
-                least = [[int(mixed(s * ODD[i]).min().view(np.int64)) for i in range(keys)] if len(s) else [] for s in found]
-            halves = [(s >> np.uint64(32)).astype(np.uint32).view(np.int32) for s in found]
-            return {"grams": [s.view(np.int64) for s in found], "halves": halves, "m": list(map(len, found)), "keys": least}
-
-        return run
+    return common.map_text(df, "text", fields, make, arrow=True)
 
-    return common.map_text(df, "text", "grams array<bigint>, halves array<int>, m int, keys array<bigint>", make).select("doc_id", "grams", "halves", "m", "keys")
 
+def _low(share: float) -> np.uint64:
+    return np.uint64(min(int(share * 2.0**64), (1 << 64) - 1))
 
-def _sketch(docs: DataFrame, n: int) -> np.ndarray:
-    """How common grams are, on a logarithmic scale, by the last bits of their hash: 2**SKETCH_BITS numbers whatever the data."""
 
-    def count(batches):
-        import pyarrow as pa
+def _offers(docs: DataFrame, n: int, share: float) -> DataFrame:
+    """(gram, sig): the grams below a share of the hash range, with the set that they are of."""
+    top = _low(share)
 
-        sets, counts = Sets(n), np.zeros(1 << SKETCH_BITS, np.int64)
-        for whole in batches:
-            for b in common._slices(whole, "text"):
-                found = [sets(t) for t in b.column("text").to_pylist()]
-                counts += np.bincount((np.concatenate(found) & np.uint64((1 << SKETCH_BITS) - 1)).astype(np.int64), minlength=1 << SKETCH_BITS)
-        at = np.nonzero(counts)[0]
-        yield pa.RecordBatch.from_arrays([pa.array(at, pa.int64()), pa.array(counts[at], pa.int64())], names=["slot", "n"])
+    def give(found):
+        return {"sig": list(map(signature, found)), "grams": [s[: np.searchsorted(s, top)].view(np.int64) for s in found]}
 
-    rows = docs.select("text").mapInArrow(count, "slot long, n long").groupBy("slot").agg(F.sum("n").alias("n"))
-    level = np.zeros(1 << SKETCH_BITS, np.uint8)
-    table = rows.toArrow()
-    counts = table.column("n").to_numpy()
-    if len(counts):
-        level[table.column("slot").to_numpy()] = np.minimum(255, 8 * np.log2(counts + 1.0)).astype(np.uint8)
-    return level
+    return _over_sets(docs.select("text"), n, "sig long, grams array<bigint>", give).select(F.explode("grams").alias("gram"), "sig")
 
 
-def _profiles(docs: DataFrame, n: int, level: np.ndarray, p: int, q: int) -> DataFrame:
-    """(doc_id, n_shingles, sig, prefix): what is known of a document besides its set."""
+def _slim(docs: DataFrame, n: int, p: int, q: int, share: float) -> DataFrame:
+    """(sig, m, low, more, keys, bits): the offered grams, as many of the next ones as a prefix may take, minima of independent hashes."""
+    top = _low(share)
 
-    def make():
-        sets = Sets(n)
-
-        def run(texts):
-            out = {"n_shingles": [], "sig": [], "prefix": []}
-            for t in texts:
-                s = sets(t)
-                out["n_shingles"].append(len(s))
-                out["sig"].append(xxhash.xxh3_128_digest(s.tobytes()) if len(s) else None)
-                k = prefix_length(len(s), p, q)
-                out["prefix"].append(rarest(s, level, k).view(np.int64))
-            return out
+    def give(found):
+        out = {c: [] for c in ("sig", "m", "low", "more", "keys", "bits")}
+        for s in found:
+            k = int(np.searchsorted(s, top))
+            out["sig"].append(signature(s))
+            out["m"].append(len(s))
+            out["low"].append(s[:k].view(np.int64))
+            out["more"].append(s[k : max(k, prefix_length(len(s), p, q))].view(np.int64))
+            out["keys"].append([int(mixed(s * ODD[i]).min().view(np.int64)) for i in range(KEYS)] if len(s) else [])
+            out["bits"].append(parities(s))
+        return out
 
-        return run
+    return _over_sets(docs.select("text"), n, "sig long, m long, low array<bigint>, more array<bigint>, keys array<bigint>, bits array<bigint>", give).select("sig", "m", "low", "more", "keys", "bits")
 
-    return common.map_text(docs, "text", "n_shingles long, sig binary, prefix array<bigint>", make)
 
+def _texts_of(docs: DataFrame, ids: DataFrame) -> DataFrame:
+    """The rows of the given ids (id), and those without id.
 
-def _lists(entries: DataFrame, p: int, q: int) -> DataFrame:
-    """Candidate pairs (b set) of short lists, and the entries (b null) of long ones."""
+    Ids are counted: up to SENT of them go to the tasks as a table of fixed size at most, more are joined by a shuffle.
+    """
+    few = ids.count() <= SENT
+    known = docs.join(F.broadcast(ids) if few else ids, F.col("doc_id") == F.col("id"), "left_semi")
+    return known.unionByName(docs.where("doc_id is null"))
+
+
+def _sets_of(docs: DataFrame, classes: DataFrame, n: int) -> DataFrame:
+    """(sig, grams), a row a class of ``classes`` (sig, rep); the sets are made anew from the texts."""
+
+    def give(found):
+        return {"sig": list(map(signature, found)), "grams": [s.view(np.int64) for s in found]}
+
+    ids = classes.select(F.col("rep").alias("id")).where("id is not null").distinct()
+    sets = _over_sets(_texts_of(docs, ids).select("text"), n, "sig long, grams array<bigint>", give).select("sig", "grams")
+    return sets.join(classes.select(F.col("sig").alias("sig2")), F.col("sig") == F.col("sig2"), "left_semi").dropDuplicates(["sig"])
+
+
+def _entries(slim: DataFrame, p: int, q: int) -> DataFrame:
+    """(token, sig, m, pos): the first grams of the classes, ordered by how many classes have them; grams of one class only are left out."""
+    offers = slim.select("sig", F.explode("low").alias("token"))
+    counts = offers.groupBy("token").agg(F.count("*").alias("df")).where("df > 1").withColumnRenamed("token", "token2")
+    common_ = offers.join(counts, F.col("token") == F.col("token2")).groupBy("sig").agg(F.sort_array(F.collect_list(F.struct("df", "token"))).alias("common"))
+    k = F.expr(prefix_sql("m", p, q))
+    rows = slim.select("sig", "m", F.size("low").cast("long").alias("offered"), "more", k.alias("k")).join(common_.withColumnRenamed("sig", "sig2"), F.col("sig") == F.col("sig2"), "left").drop("sig2")
+    alone = F.col("offered") - F.coalesce(F.size("common"), F.lit(0))
+    first = rows.select("sig", "m", "k", alone.alias("before"), F.posexplode("common").alias("i", "x")).select(F.col("x.token").alias("token"), "sig", "m", "k", (F.col("before") + F.col("i")).alias("pos"))
+    later = rows.select("sig", "m", "k", "offered", F.posexplode("more").alias("i", "token")).select("token", "sig", "m", "k", (F.col("offered") + F.col("i")).alias("pos"))
+    return first.unionByName(later).where("pos < k").select("token", "sig", "m", "pos")
+
+
+def _candidates(entries: DataFrame, p: int, q: int) -> DataFrame:
+    """(a, b) of different nodes, a < b, that share a listed gram and leave enough room for a link. ``entries``: token, sig, m, pos, node."""
+    lists = entries.groupBy("token").agg(F.count("*").alias("length"), F.min("node").alias("x"), F.max("node").alias("y")).where("x <> y").select(F.col("token").alias("token2"), "length")
+    rows = entries.join(lists, F.col("token") == F.col("token2")).drop("token2")
+    short = rows.where(F.col("length") <= LONG).select("token", F.lit(0).alias("i"), F.lit(0).alias("j"), F.lit(2).alias("role"), "m", "pos", "sig", "node")
+    # a long list: the classes outside its most frequent node (role 0) meet all of its classes (role 1), part by part
+    long_ = rows.where(F.col("length") > LONG)
+    nodes = long_.groupBy("token", "node", "length").agg(F.count("*").alias("c")).groupBy("token", "length").agg(F.max(F.struct("c", "node")).alias("top"))
+    outside = F.col("length") - F.col("top.c")
+    parts = nodes.select(F.col("token").alias("token2"), F.col("top.node").alias("top"), F.ceil(outside / BLOCK).cast("int").alias("n_i"), F.ceil(F.col("length") / BLOCK).cast("int").alias("n_j"))
+    long_ = long_.join(parts, F.col("token") == F.col("token2"))
+    i, j = F.pmod(F.xxhash64("sig"), F.col("n_i")).cast("int"), F.pmod(F.xxhash64("sig", F.lit(1)), F.col("n_j")).cast("int")
+    left = long_.where("node <> top").select("token", i.alias("i"), F.explode(F.sequence(F.lit(0), F.col("n_j") - 1)).alias("j"), F.lit(0).alias("role"), "m", "pos", "sig", "node")
+    right = long_.select("token", F.explode(F.sequence(F.lit(0), F.col("n_i") - 1)).alias("i"), j.alias("j"), F.lit(1).alias("role"), "m", "pos", "sig", "node")
+    dealt = short.unionByName(left).unionByName(right)
+    names = ["token", "i", "j", "role", "m", "pos", "sig", "node"]
 
     def run(batches):
         import pyarrow as pa
 
-        names = ["token", "a", "n", "pos", "b"]
-        held: list[tuple] = []  # the last list's entries so far, no more than LONG
-        long_token = None
+        held = None  # the last list's entries so far: a short list, or a part of about 2 * BLOCK
         for batch in batches:
-            cols = [batch.column(c).to_numpy(zero_copy_only=False) for c in names[:4]]
-            if held:
-                old = np.array(held, np.int64).reshape(-1, 4).T
-                cols = [np.concatenate([o, c]) for o, c in zip(old, cols, strict=True)]
-                held = []
-            token = cols[0]
-            cut = np.nonzero(np.diff(token))[0] + 1
-            starts, stops = np.concatenate([[0], cut]), np.concatenate([cut, [len(token)]])
-            out: list[list] = [[] for _ in names]
-            for s, e in zip(starts.tolist(), stops.tolist(), strict=True) if len(token) else ():
-                last = e == len(token)
-                t = int(token[s])
-                if t == long_token or e - s > LONG:
-                    long_token = t
-                    for k in range(4):
-                        out[k] += cols[k][s:e].tolist()
-                    out[4] += [None] * (e - s)
-                elif last:
-                    held = list(zip(*(c[s:e].tolist() for c in cols), strict=True))
-                elif e - s > 1:
-                    self_pairs(cols, s, e, t, out)
-            if out[0]:
-                yield pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in out], names=names)
-        if len(held) > 1:
-            cols = list(np.array(held, np.int64).T)
-            out = [[] for _ in names]
-            self_pairs(cols, 0, len(held), int(cols[0][0]), out)
-            if out[0]:
-                yield pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in out], names=names)
-
-    def self_pairs(cols, s, e, t, out):
-        ids, n = cols[1][s:e], cols[2][s:e]
-        for i, j in list_pairs(n, cols[3][s:e], p, q):
-            if ids[i] != ids[j]:
-                out[0].append(0)  # the pair counts, not the gram that brought it
-                out[1].append(int(min(ids[i], ids[j])))
-                out[2].append(0)
-                out[3].append(0)
-                out[4].append(int(max(ids[i], ids[j])))
-
-    return entries.repartition("token").sortWithinPartitions("token", "n", "pos", "a").mapInArrow(run, "token long, a long, n long, pos long, b long")
-
-
-def _within_pivots(members: DataFrame, p: int, q: int) -> DataFrame:
-    """Links between classes of one pivot, from their differences: (a, b) of a spanning forest of each pair of blocks.
-
-    ``members``: pivot, id, n, diff, inner (linked with the pivot). Blocks are pairs of salted parts of at most about BLOCK members.
-    """
-    sizes = members.groupBy("pivot").agg(F.count("*").alias("members"), F.sum((~F.col("inner")).cast("long")).alias("outer"))
-    sizes = sizes.where((F.col("outer") > 0) & (F.col("members") > 1)).select(F.col("pivot").alias("pivot2"), F.ceil(F.col("members") / BLOCK).cast("int").alias("parts"))
-    rows = members.join(sizes, F.col("pivot") == F.col("pivot2")).drop("pivot2")
-    rows = rows.withColumn("part", F.pmod(F.xxhash64("id"), F.col("parts")).cast("int"))
-    other = F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("other")
-    rows = rows.select("pivot", "id", "n", "diff", "inner", "part", other)
-    rows = rows.select("pivot", "id", "n", "diff", "inner", "part", F.least("part", "other").alias("x"), F.greatest("part", "other").alias("y"))
-
-    def compare(pdf):
-        import pandas as pd
-
-        ids, n, inner = pdf["id"].to_numpy(), pdf["n"].to_numpy(), pdf["inner"].to_numpy()
-        sizes = np.array([len(d) for d in pdf["diff"]])
-        where = np.repeat(np.arange(len(pdf)), sizes)
-        flat = np.concatenate([np.asarray(d, np.int64) for d in pdf["diff"]]) if len(pdf) else np.empty(0, np.int64)
-        _, code = np.unique(flat, return_inverse=True)
-        by = np.argsort(code, kind="stable")
-        starts = np.searchsorted(code[by], np.arange(code.max() + 2 if len(code) else 1))
-        first = np.cumsum(sizes) - sizes
-        forest, out = Forest(), []
-        anchor = next((int(i) for i in ids[inner]), None)
-        for i in ids[inner]:  # known through the pivot already
-            forest.join(int(i), anchor)
-        for k in np.nonzero(~inner)[0]:
-            shared = np.zeros(len(ids), np.int64)
-            for c in code[first[k] : first[k] + sizes[k]]:
-                shared[where[by[starts[c] : starts[c + 1]]]] += 1
-            apart = sizes[k] + sizes - 2 * shared
-            linked = (p + q) * apart <= (q - p) * (n[k] + n)
-            linked[k] = False
-            for j in np.nonzero(linked)[0]:
-                if ids[j] != ids[k] and forest.join(int(ids[k]), int(ids[j])):
-                    out.append((min(int(ids[k]), int(ids[j])), max(int(ids[k]), int(ids[j]))))
-        return pd.DataFrame(out, columns=["a", "b"], dtype="int64")
-
-    return rows.groupBy("pivot", "x", "y").applyInPandas(compare, "a long, b long")
+            cols = [batch.column(c).to_numpy(zero_copy_only=False) for c in names]
+            if held is not None:
+                cols = [np.concatenate([a, b]) for a, b in zip(held, cols, strict=True)]
+            if not len(cols[0]):
+                continue
+            cut = np.flatnonzero((np.diff(cols[0]) != 0) | (np.diff(cols[1]) != 0) | (np.diff(cols[2]) != 0)) + 1
+            last = int(cut[-1]) if len(cut) else 0
+            held = [c[last:] for c in cols]
+            yield from pairs(cols, [0, *cut.tolist()], pa)
+        if held is not None and len(held[0]):
+            yield from pairs(held, [0, len(held[0])], pa)
+
+    def pairs(cols, cuts, pa):
+        a, b = [], []
+        for s, e in zip(cuts[:-1], cuts[1:], strict=True):
+            if e - s < 2:
+                continue
+            role, ids = cols[3][s:e], cols[6][s:e]
+            for x, y in list_pairs(cols[4][s:e], cols[5][s:e], cols[7][s:e], p, q):
+                if role[x] == 2 or role[x] != role[y]:
+                    u, v = int(ids[x]), int(ids[y])
+                    a.append(min(u, v))
+                    b.append(max(u, v))
+            if len(a) > 100_000:
+                yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
+                a, b = [], []
+        if a:
+            yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
+
+    return dealt.repartition("token", "i", "j").sortWithinPartitions("token", "i", "j", "m", "pos", "sig", "role").mapInArrow(run, "a long, b long").distinct()
+
+
+def _differences(docs: DataFrame, classes: DataFrame, slim: DataFrame, n: int) -> DataFrame:
+    """(sig, m, pivot, pm, diff): a similar class of each class, its size, and the grams that only one of the two has; itself if none is near."""
+    keyed = slim.select("sig", F.posexplode("keys").alias("i", "key"))
+    least = keyed.groupBy("i", "key").agg(F.min("sig").alias("pivot"), F.count("*").alias("c")).where("c > 1").select(F.col("i").alias("i2"), F.col("key").alias("key2"), "pivot")
+    # classes that share no minimum with another are their own pivots and send no set
+    pivots = keyed.join(least, (F.col("i") == F.col("i2")) & (F.col("key") == F.col("key2"))).groupBy("sig").agg(F.min("pivot").alias("pivot")).where("sig <> pivot")
+    pivots = common.stored(pivots)
+    members = _sets_of(docs, classes.join(pivots.select(F.col("sig").alias("s2")), F.col("sig") == F.col("s2"), "left_semi"), n)
+    theirs = _sets_of(docs, classes.join(pivots.select("pivot"), F.col("sig") == F.col("pivot"), "left_semi"), n).select(F.col("sig").alias("p2"), F.col("grams").alias("pivot_grams"))
+    mine = members.join(pivots.withColumnRenamed("sig", "s2"), F.col("sig") == F.col("s2")).drop("s2")
+    diff = F.array_union(F.array_except("grams", "pivot_grams"), F.array_except("pivot_grams", "grams"))
+    both = mine.join(theirs.hint("merge"), F.col("pivot") == F.col("p2")).select("sig", "pivot", F.size("grams").cast("long").alias("m"), F.size("pivot_grams").cast("long").alias("pm"), diff.alias("diff"))
+    return both.where(F.size("diff") * 2 <= F.least("m", "pm"))
+
+
+def _decide(docs: DataFrame, pairs: DataFrame, classes: DataFrame, near: DataFrame, n: int, p: int, q: int) -> DataFrame:
+    """The linked ones of ``pairs`` (a, b), by differences from a common pivot where there is one, else by whole sets."""
+    kept = near.select("sig", "m", "pivot", "diff")
+    pivots = kept.select(F.col("pivot").alias("sig"), F.col("pivot").alias("pivot")).distinct()
+    # a pivot differs from itself by nothing; a class that is a member of one pivot and a pivot of others is compared as a member
+    own = pivots.join(kept.select(F.col("sig").alias("s2")), F.col("sig") == F.col("s2"), "left_anti").join(classes.select(F.col("sig").alias("s2"), "m"), F.col("sig") == F.col("s2")).select("sig", "m", "pivot", F.array().cast("array<bigint>").alias("diff"))
+    kept = kept.unionByName(own)
+    left = kept.select(F.col("sig").alias("a2"), F.col("m").alias("ma"), F.col("pivot").alias("pa"), F.col("diff").alias("da"))
+    right = kept.select(F.col("sig").alias("b2"), F.col("m").alias("mb"), F.col("pivot").alias("pb"), F.col("diff").alias("db"))
+    where = kept.select("sig", "pivot")
+    of_a, of_b = where.select(F.col("sig").alias("a2"), F.col("pivot").alias("pa2")), where.select(F.col("sig").alias("b2"), F.col("pivot").alias("pb2"))
+    placed = pairs.join(of_a, F.col("a") == F.col("a2"), "left").drop("a2").join(of_b, F.col("b") == F.col("b2"), "left").drop("b2")
+    placed = common.stored(placed.select("a", "b", F.coalesce(F.col("pa2") == F.col("pb2"), F.lit(False)).alias("together")))
+    rows = placed.where("together").join(left.hint("merge"), F.col("a") == F.col("a2")).join(right.hint("merge"), F.col("b") == F.col("b2"))
+    apart = F.size("da") + F.size("db") - 2 * F.size(F.array_intersect("da", "db"))
+    by_pivot = rows.where((p + q) * apart <= (q - p) * (F.col("ma") + F.col("mb"))).select("a", "b")
+    rest = placed.where("not together").select("a", "b")
+    ends = rest.select(F.col("a").alias("e")).unionByName(rest.select(F.col("b").alias("e"))).distinct()
+    sets = _sets_of(docs, common.stored(classes.join(ends, F.col("sig") == F.col("e"), "left_semi").select("sig", "rep")), n)
+    rows = rest.join(sets.select(F.col("sig").alias("a2"), F.col("grams").alias("ga")).hint("merge"), F.col("a") == F.col("a2")).drop("a2")
+    rows = rows.join(sets.select(F.col("sig").alias("b2"), F.col("grams").alias("gb")).hint("merge"), F.col("b") == F.col("b2"))
+    shared = F.size(F.array_intersect("ga", "gb")).cast("long")
+    by_sets = rows.where((p + q) * shared >= p * (F.size("ga") + F.size("gb"))).select("a", "b")
+    return common.stored(by_pivot.unionByName(by_sets))
 
 
 def components(edges: DataFrame, rounds: int = 60) -> DataFrame:
     """(id, component) of every end of an edge: each id's least reachable id, by rounds of least neighbours with shortcuts.
 
     A round links every id's larger neighbours to the least of its neighbourhood, then every id's smaller ones; the number of rounds
-    grows with the logarithm of the longest chain.
+    grows with the logarithm of the longest chain. It is settled when a round leaves the table as it was, row by row.
     """
     both = edges.select("a", "b").where(F.col("a") != F.col("b"))
-    now = common.checkpointed(both.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct())
-    sign = None
+    now = common.stored(both.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct())
+    size = now.count()
     for _ in range(rounds):
+        if not size:
+            break
         sides = now.unionByName(now.select(F.col("v").alias("u"), F.col("u").alias("v")))
         least = sides.groupBy("u").agg(F.min("v").alias("m")).select(F.col("u").alias("w"), F.least("u", "m").alias("m"))
         large = sides.join(least, F.col("u") == F.col("w")).where(F.col("v") > F.col("u")).select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v").distinct()
         least2 = large.groupBy("u").agg(F.min("v").alias("m")).select(F.col("u").alias("w"), "m")
         joined = large.join(least2, F.col("u") == F.col("w"))
         small = joined.select(F.col("v").alias("u"), F.col("m").alias("v")).unionByName(least2.select(F.col("w").alias("u"), F.col("m").alias("v")))
-        now = common.checkpointed(small.where("u <> v").distinct())
-        new = now.agg(F.count("*"), F.sum(F.xxhash64("u", "v") % 1_000_003), F.sum(F.col("v") % 1_000_003)).first()
-        if new == sign:
+        new = common.stored(small.where("u <> v").distinct())
+        new_size = new.count()
+        # both tables hold distinct rows: equal sizes and nothing new mean equal tables
+        settled = new_size == size and new.join(now.select(F.col("u").alias("u2"), F.col("v").alias("v2")), (F.col("u") == F.col("u2")) & (F.col("v") == F.col("v2")), "left_anti").isEmpty()
+        now, size = new, new_size
+        if settled:
             break
-        sign = new
     else:
         raise RuntimeError("components did not settle")
     whole = now.unionByName(now.select(F.col("v").alias("u"), "v"))
     return whole.groupBy("u").agg(F.min("v").alias("component")).withColumnRenamed("u", "id")
 
 
-def join_components(docs: DataFrame, n: int = 3, p: int = 9, q: int = 10) -> DataFrame:
-    """(doc_id, n_shingles, component_id) of (doc_id, text): documents link at a Jaccard likeness of p/q of their word n-grams."""
-    docs = docs.select("doc_id", F.col("text").cast("string").alias("text"))
-    level = _sketch(docs, n)
-    prof = common.checkpointed(_profiles(docs, n, level, p, q))
-    classes = prof.where("n_shingles > 0 and doc_id is not null").groupBy("sig").agg(F.min("doc_id").alias("rep"), F.first("n_shingles").alias("n"))
-    classes = common.checkpointed(classes)
-    listed_of = prof.select("doc_id", F.col("sig").alias("sig2"), "prefix").join(classes, (F.col("doc_id") == F.col("rep")) & (F.col("sig2") == F.col("sig")))
-    entries = listed_of.select("rep", "n", F.posexplode("prefix").alias("pos", "token")).select("token", F.col("rep").alias("a"), "n", F.col("pos").cast("long").alias("pos"))
-    listed = common.checkpointed(_lists(entries, p, q).groupBy("token", "a", "b").agg(F.max("n").alias("n"), F.max("pos").alias("pos")))
-    pairs = listed.where("b is not null").select("a", "b").distinct()
-    long_ = listed.where("b is null").select("token", "a", "n", "pos")
-    edges = None
-    if not long_.isEmpty():
-        hot = long_.select("a").distinct()
-        sizes = long_.groupBy("a").agg(F.max("n").alias("n")).withColumnRenamed("a", "rep")
-        sets = common.checkpointed(_sets_of(docs, hot.withColumnRenamed("a", "id"), n, KEYS))
-        keyed = sets.join(sizes, F.col("doc_id") == F.col("rep")).select("rep", "n", F.posexplode("keys").alias("i", "key"))
-        least = keyed.groupBy("i", "key").agg(F.min("rep").alias("m")).withColumnRenamed("i", "i2").withColumnRenamed("key", "key2")
-        pivots = keyed.join(least, (F.col("i") == F.col("i2")) & (F.col("key") == F.col("key2"))).groupBy("rep", "n").agg(F.min("m").alias("pivot"))
-        mine = pivots.join(sets.select(F.col("doc_id").alias("d"), "grams"), F.col("rep") == F.col("d")).drop("d")
-        theirs = sets.select(F.col("doc_id").alias("d"), F.col("grams").alias("pivot_grams"))
-        diff = F.array_union(F.array_except("grams", "pivot_grams"), F.array_except("pivot_grams", "grams"))
-        near = mine.join(theirs, F.col("pivot") == F.col("d")).select("rep", "n", "pivot", F.size("pivot_grams").cast("long").alias("pn"), diff.alias("diff"))
-        close = F.size("diff") * 2 <= F.least("n", "pn")
-        near = common.checkpointed(near.select(F.col("rep").alias("id"), "n", F.when(close, F.col("pivot")).otherwise(F.col("rep")).alias("pivot"), F.when(close, F.col("diff")).otherwise(F.array().cast("array<bigint>")).alias("diff"), F.when(close, F.col("pn")).otherwise(F.col("n")).alias("pn")))
-        inner = (p + q) * F.size("diff") <= (q - p) * (F.col("n") + F.col("pn"))
-        members = near.withColumn("inner", inner)
-        edges = members.where("inner and id <> pivot").select(F.col("pivot").alias("a"), F.col("id").alias("b")).unionByName(_within_pivots(members.drop("pn"), p, q))
-        # different pivots' classes that meet in a long list: only lists in which more than one pivot is found
-        of = near.select(F.col("id").alias("id2"), "pivot")
-        placed = long_.join(of, F.col("a") == F.col("id2")).drop("id2")
-        mixed_ = placed.groupBy("token").agg(F.min("pivot").alias("x"), F.max("pivot").alias("y")).where("x <> y").select(F.col("token").alias("token2"))
-        placed = placed.join(mixed_, F.col("token") == F.col("token2"), "left_semi")
-        right = placed.select(F.col("token").alias("t2"), F.col("a").alias("b"), F.col("n").alias("n2"), F.col("pos").alias("pos2"), F.col("pivot").alias("pivot2"))
-        small, large = F.least("n", "n2"), F.greatest("n", "n2")
-        fits = (q * small >= p * large) & ((p + q) * F.least(F.col("n") - F.col("pos"), F.col("n2") - F.col("pos2")) >= p * (F.col("n") + F.col("n2")))
-        cross = placed.join(right, (F.col("token") == F.col("t2")) & (F.col("pivot") < F.col("pivot2")) & fits)
-        pairs = pairs.unionByName(cross.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))).distinct()
-    pairs = common.checkpointed(pairs)
-    ids = pairs.select(F.col("a").alias("id")).unionByName(pairs.select(F.col("b").alias("id"))).distinct()
-    linked = _verify(docs, pairs, ids, n, p, q)
-    edges = linked if edges is None else edges.unionByName(linked)
-    found = components(edges).withColumnRenamed("id", "id2")
-    named = classes.select("sig", "rep").join(found, F.col("rep") == F.col("id2"), "left").select(F.col("sig").alias("sig2"), F.coalesce("component", "rep").alias("component"))
-    out = prof.select("doc_id", "n_shingles", "sig").join(named, F.col("sig") == F.col("sig2"), "left")
-    return out.select("doc_id", "n_shingles", F.coalesce("component", "doc_id").alias("component_id"))
-
-
-def _verify(docs: DataFrame, pairs: DataFrame, ids: DataFrame, n: int, p: int, q: int) -> DataFrame:
-    """The linked ones of (a, b).
-
-    Sets travel as the upper halves of their hashes first. Those can be off by a gram or two where halves collide, so pairs within SLACK grams
-    of the threshold are compared again on whole hashes; the others are decided.
-    """
-
-    def overlaps(ids: DataFrame, pairs: DataFrame, half: bool) -> DataFrame:
-        sets = _sets_of(docs, ids, n).select(F.col("doc_id").alias("d"), F.col("halves" if half else "grams").alias("g"), F.size("grams").alias("m") if not half else F.col("m"))
-        # both sides grow with the data, so both joins are by key at any size
-        left = pairs.join(sets.hint("merge").select("d", F.col("g").alias("ga"), F.col("m").alias("na")), F.col("a") == F.col("d")).drop("d")
-        both = left.join(sets.hint("merge").select("d", F.col("g").alias("gb"), F.col("m").alias("nb")), F.col("b") == F.col("d"))
-        return both.select("a", "b", ((p + q) * F.size(F.array_intersect("ga", "gb")) - p * (F.col("na") + F.col("nb"))).alias("over"))
+def _named(pairs: DataFrame, names: DataFrame) -> DataFrame:
+    """``pairs`` (a, b, ...) with x and y, the names of a and b: ``names`` is (id, component), ids that it lacks name themselves."""
+    left, right = names.select(F.col("id").alias("i1"), F.col("component").alias("c1")), names.select(F.col("id").alias("i2"), F.col("component").alias("c2"))
+    rows = pairs.join(left, F.col("a") == F.col("i1"), "left").join(right, F.col("b") == F.col("i2"), "left")
+    return rows.select(*pairs.columns, F.coalesce("c1", "a").alias("x"), F.coalesce("c2", "b").alias("y"))
+
+
+def _links(docs: DataFrame, classes: DataFrame, n: int, p: int, q: int, share: float) -> DataFrame:
+    """(id, component) of linked classes; ``classes`` is (sig, rep, m)."""
+    ids = classes.select(F.col("rep").alias("id")).where("id is not null").distinct()
+    slim = _slim(_texts_of(docs, ids), n, p, q, share)
+    slim = common.stored(slim.join(classes.select(F.col("sig").alias("sig2")), F.col("sig") == F.col("sig2"), "left_semi").dropDuplicates(["sig"]))
+    near = common.stored(_differences(docs, classes, slim, n))
+    stars = near.where((p + q) * F.size("diff") <= (q - p) * (F.col("m") + F.col("pm"))).select(F.col("pivot").alias("a"), F.col("sig").alias("b"))
+    nodes = common.stored(components(stars))
+    entries = _entries(slim, p, q).join(nodes, F.col("sig") == F.col("id"), "left").select("token", "sig", "m", "pos", F.coalesce("component", "sig").alias("node"))
+    pairs = _candidates(common.stored(entries), p, q)
+    bits = slim.select("sig", "m", "bits")
+    pairs = pairs.join(bits.select(F.col("sig").alias("a2"), F.col("m").alias("ma"), F.col("bits").alias("bits_a")), F.col("a") == F.col("a2"))
+    pairs = pairs.join(bits.select(F.col("sig").alias("b2"), F.col("m").alias("mb"), F.col("bits").alias("bits_b")), F.col("b") == F.col("b2"))
+    pairs = pairs.select("a", "b", "ma", "mb", F.expr(APART).alias("apart")).where(f"{p + q} * apart <= {q - p} * (ma + mb)")
+    pairs = common.stored(pairs.select("a", "b", "apart"))
+    # first the nearest pair of every two nodes
+    one = _named(pairs, nodes).groupBy(F.least("x", "y").alias("u"), F.greatest("x", "y").alias("v")).agg(F.min(F.struct("apart", "a", "b")).alias("top")).select("top.a", "top.b")
+    one = common.stored(one)
+    linked = _decide(docs, one, classes, near, n, p, q)
+    names = common.stored(components(stars.unionByName(linked)))
+    left = _named(pairs.select("a", "b"), names).where("x <> y").select("a", "b")
+    left = common.stored(left.join(one.select(F.col("a").alias("a2"), F.col("b").alias("b2")), (F.col("a") == F.col("a2")) & (F.col("b") == F.col("b2")), "left_anti"))
+    if left.isEmpty():
+        return names
+    return components(stars.unionByName(linked).unionByName(_decide(docs, left, classes, near, n, p, q)))
 
-    first = common.checkpointed(overlaps(ids, pairs, True))
-    sure = first.where(F.col("over") > SLACK * (p + q)).select("a", "b")
-    close = first.where(F.abs("over") <= SLACK * (p + q)).select("a", "b").distinct()
-    again = close.select(F.col("a").alias("id")).unionByName(close.select(F.col("b").alias("id"))).distinct()
-    return sure.unionByName(overlaps(again, close, False).where("over >= 0").select("a", "b"))
 
+def join_components(docs: DataFrame, n: int = 3, p: int = 9, q: int = 10) -> DataFrame:
+    """(doc_id, n_shingles, component_id) of (doc_id, text): documents link at a Jaccard likeness of p/q of their word n-grams."""
+    prof = _profiled(docs, n, p, q)
+    least = prof.groupBy("node").agg(F.min("doc_id").alias("least")).withColumnRenamed("node", "node2")
+    out = prof.join(least, F.col("node") == F.col("node2"), "left")
+    return out.select("doc_id", "n_shingles", F.coalesce("least", "doc_id").alias("component_id"))
 
-def _sets_of(docs: DataFrame, ids: DataFrame, n: int, keys: int = 0) -> DataFrame:
-    """(doc_id, grams, keys) of the given ids; their sets are made anew from the texts.
 
-    Ids are counted: up to SENT of them go to the tasks as a table of fixed size at most, more are joined by a shuffle.
-    """
-    ids = common.checkpointed(ids)
-    few = ids.count() <= SENT
-    return _arrow_sets(docs.join(F.broadcast(ids) if few else ids, F.col("doc_id") == F.col("id"), "left_semi"), n, keys)
+def _profiled(docs: DataFrame, n: int, p: int, q: int) -> DataFrame:
+    """(doc_id, n_shingles, sig, node): a row a document, node the same for all documents of a component, null for texts without words."""
+    docs = docs.select("doc_id", F.col("text").cast("string").alias("text"))
+    share = (q - p) / q + 0.1
+    sized = _over_sets(docs, n, "n_shingles long, sig long", lambda found: {"n_shingles": list(map(len, found)), "sig": list(map(signature, found))})
+    prof = common.stored(sized.select("doc_id", "n_shingles", "sig"))
+    alone = _offers(docs, n, share).groupBy("gram").agg(F.min("sig").alias("x"), F.max("sig").alias("y")).where("x = y").groupBy("x").agg(F.count("*").alias("alone"))
+    classes = prof.where("n_shingles > 0").groupBy("sig").agg(F.min("doc_id").alias("rep"), F.first("n_shingles").alias("m"))
+    left = classes.join(alone, F.col("sig") == F.col("x"), "left").where(f"coalesce(alone, 0) < {prefix_sql('m', p, q)}").select("sig", "rep", "m")
+    names = _links(docs, common.stored(left), n, p, q, share)
+    return prof.join(names, F.col("sig") == F.col("id"), "left").select("doc_id", "n_shingles", "sig", F.coalesce("component", "sig").alias("node"))
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -415,9 +498,23 @@ def query(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near copies (five words, likeness 0.8): the one with the least id."""
-    found = join_components(docs, 5, 4, 5).where("doc_id = component_id").select(F.col("doc_id").alias("id2")).distinct()
-    return docs.join(found, F.col("doc_id") == F.col("id2"), "left_semi").dropDuplicates(["doc_id"])
+    """One document of each group of near copies (five words, likeness 0.8): the one with the least id, one without id only if no other is there.
+
+    A row that repeats another's id and set is a copy of it. Texts without words are no copies of one another, but for repeated ids.
+    """
+    n = 5
+    prof = _profiled(docs, n, 4, 5).groupBy("doc_id", "sig", "node").agg(F.count("*").alias("rows"))
+    row = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "sig", "rows")
+    keep = prof.where("node is not null").groupBy("node").agg(F.min(row).alias("top")).select("top.doc_id", "top.sig", "top.rows").unionByName(prof.where("node is null").select("doc_id", "sig", "rows"))
+    keep = common.stored(keep.select(F.col("doc_id").alias("__id"), F.col("sig").alias("__sig2"), F.col("rows").alias("__rows")))
+    few = keep.count() <= SENT
+    given = _over_sets(docs, n, "__sig long", lambda found: {"__sig": list(map(signature, found))})
+    found = given.join(F.broadcast(keep) if few else keep, F.col("doc_id").eqNullSafe(F.col("__id")) & F.col("__sig").eqNullSafe(F.col("__sig2")))
+    names = [F.col(f"`{c}`") for c in docs.columns]
+    out = found.where("__rows = 1").select(*names)
+    if keep.where("__rows > 1").isEmpty():
+        return out
+    return out.unionByName(found.where("__rows > 1").dropDuplicates(["__id", "__sig"]).select(*names))
 
 
 #: The same in DuckDB, by all pairs that share a gram.
