@@ -7,6 +7,7 @@ import os
 import tempfile
 import uuid
 from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -14,7 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 #: Texts handed to Python code at once; keeps a worker's memory bounded whatever the Arrow batch holds.
-SLICE_BYTES = 4 << 20
+SLICE_BYTES = 1 << 20
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -58,10 +59,23 @@ def clean(spark: SparkSession) -> None:
         return
 
 
+@contextmanager
+def small_batches(spark: SparkSession) -> Iterator[None]:
+    """Fewer rows in an Arrow batch for what is run inside, as JVM and worker each hold one; the session's setting is put back."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(key)
+    spark.conf.set(key, str(min(int(before), 1000) if int(before) > 0 else 1000))
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
+
+
 def stored(df: DataFrame) -> DataFrame:
     """``df`` written to the shared folder and read again: its lineage is cut, and lost executors lose nothing of it."""
     path = f"{run_folder(df.sparkSession)}/{uuid.uuid4().hex}"
-    df.write.option("compression", "zstd").parquet(path)
+    with small_batches(df.sparkSession):
+        df.write.option("compression", "zstd").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 

@@ -6,14 +6,15 @@ A document is the set of its distinct word n-grams, hashed to 64 bits. Equal set
    aggregation, so the counts are exact at any size; only grams from a fixed part of the hash range take part, which keeps the shuffle small.
 2. Index. The classes that are left list their rarest grams (by exact counts among them; any order gives the same result), so many that two linked
    classes share one.
-3. Answer-level skipping. A class is assigned to a similar one, its pivot, by minima over independent hashes; only its difference D from the pivot is
-   made. A class that its pivot links has the pivot's answers, so the two are one node from there on; classes of one pivot are compared by
-   |a xor b| = |Da| + |Db| - 2 |Da and Db|.
-4. Index-level skipping. A list is sorted by size and cut into blocks; a pair of blocks is skipped as a whole when its sizes and positions leave too
-   little room for the overlap that a link takes, and a pair of classes of one node is skipped. Lists of one node are not read at all. A long
-   list is dealt into parts: classes outside its most frequent node meet all parts, the others only those classes.
-5. Candidates are filtered by parity bitmaps, whose distance never exceeds that of the sets, then decided on whole sets or differences: first
-   the nearest pair of two nodes each, then, where these did not link, all others.
+3. Answer-level skipping. A class is assigned to a similar one, its pivot: of those that share minima over independent hashes with it, the one that
+   shares most with others. Only its difference D from the pivot is kept. A class that its pivot links has the pivot's answers and needs no
+   comparison of its own; the others are compared with the classes of their pivot by |a xor b| = |Da| + |Db| - 2 |Da and Db|, in blocks of
+   bounded size, and only the links of a spanning forest of a block are put out.
+4. Index-level skipping, for classes of different pivots. A list is sorted by size and cut into blocks; a pair of blocks is skipped as a whole when
+   its sizes and positions leave too little room for the overlap that a link takes. Lists of one pivot are not read at all. A long list is
+   dealt into parts: classes outside its most frequent pivot meet all parts, the others only those classes.
+5. Candidates are filtered in their list by parity bitmaps, whose distance never exceeds that of the sets, then decided on whole sets: first
+   the nearest pair of two groups that are linked so far, then, where these did not link, all others.
 6. Links are merged to components by rounds of least neighbours.
 
 Nothing is capped or sampled: no link is lost, while groups of copies cost in proportion to their size.
@@ -35,12 +36,14 @@ from . import common
 
 LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
 KEYS = 6
-#: Longer lists are dealt into parts of about BLOCK entries.
-LONG, BLOCK = 1024, 1024
+#: Longer lists are dealt into parts of about BLOCK entries; members of a pivot that one task compares at once, and grams in their differences.
+LONG, BLOCK, BLOCK_GRAMS = 1024, 1024, 1 << 20
+#: Bits of a bitmap.
+BITS = 1024
 #: So many ids (8 bytes each) are broadcast at most.
 SENT = 2_000_000
 #: Bytes of text whose words are hashed at once; longer words are hashed on their own.
-WINDOW, LONG_WORD = 1 << 20, 64
+WINDOW, LONG_WORD = 1 << 18, 64
 #: Odd multipliers for mixing hashes.
 ODD = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F, 0xE7037ED1A0B428DB], np.uint64)
 
@@ -179,29 +182,14 @@ def enough(na, nb, p: int, q: int):
 
 
 def parities(s: np.ndarray) -> np.ndarray:
-    """A bitmap of at least half a bit a gram: a bit is on if an odd number of grams falls on it.
-
-    Its length is a power of two, so a longer one folds to a shorter one's length by exclusive or.
-    """
-    bits = max(64, 1 << (max(1, len(s) // 2) - 1).bit_length())
-    on = np.bincount((mixed(s * ODD[5]) & np.uint64(bits - 1)).astype(np.int64), minlength=bits) & 1
+    """A bitmap: a bit is on if an odd number of grams falls on it. Two bitmaps never differ in more bits than their sets in grams."""
+    on = np.bincount((mixed(s * ODD[5]) & np.uint64(BITS - 1)).astype(np.int64), minlength=BITS) & 1
     return np.packbits(on.astype(np.uint8), bitorder="little").view(np.int64)
 
 
-#: The number of bits in which two bitmaps differ: never more than the grams in which their sets differ. 0 if their lengths are too far apart.
-APART = """case when greatest(size(bits_a), size(bits_b)) > 2 * least(size(bits_a), size(bits_b)) then 0 else
-    aggregate(zip_with(
-        case when size(bits_a) > size(bits_b) then zip_with(slice(bits_a, 1, size(bits_b)), slice(bits_a, size(bits_b) + 1, size(bits_b)), (x, y) -> x ^ y) else bits_a end,
-        case when size(bits_b) > size(bits_a) then zip_with(slice(bits_b, 1, size(bits_a)), slice(bits_b, size(bits_a) + 1, size(bits_a)), (x, y) -> x ^ y) else bits_b end,
-        (x, y) -> bit_count(x ^ y)), 0, (s, x) -> s + x) end"""
-
-
-def list_pairs(n: np.ndarray, pos: np.ndarray, node: np.ndarray, p: int, q: int, block: int = 32) -> list[tuple[int, int]]:
-    """Pairs of a list's entries, sorted by size, that may be linked and are of different nodes; blocks that cannot hold any are skipped."""
+def list_pairs(n: np.ndarray, pos: np.ndarray, family: np.ndarray, p: int, q: int, block: int = 32) -> list[tuple[np.ndarray, np.ndarray]]:
+    """Pairs (as two arrays) of a list's entries, sorted by size, that may be linked and are of different families; blocks without any are skipped."""
     m, room = len(n), n - pos  # grams from this position on, this one included
-    if m == 2:
-        ok = node[0] != node[1] and q * n[0] >= p * n[1] and min(room[0], room[1]) >= enough(int(n[0]), int(n[1]), p, q)
-        return [(0, 1)] if ok else []
     starts, out = range(0, m, block), []
     most = [int(room[s : s + block].max()) for s in starts]
     for x, s in enumerate(starts):
@@ -212,11 +200,13 @@ def list_pairs(n: np.ndarray, pos: np.ndarray, node: np.ndarray, p: int, q: int,
             if min(most[x], most[y]) < enough(int(n[s]), int(n[t]), p, q):
                 continue
             f = min(t + block, m)
-            ok = (q * n[s:e, None] >= p * n[None, t:f]) & (node[s:e, None] != node[None, t:f])
+            ok = (q * n[s:e, None] >= p * n[None, t:f]) & (family[s:e, None] != family[None, t:f])
             ok &= np.minimum(room[s:e, None], room[None, t:f]) >= enough(n[s:e, None], n[None, t:f], p, q)
+            if x == y:
+                ok = np.triu(ok, 1)
             i, j = np.nonzero(ok)
-            i, j = i + s, j + t
-            out += [(a, b) for a, b in zip(i.tolist(), j.tolist(), strict=True) if a < b]
+            if len(i):
+                out.append((i + s, j + t))
     return out
 
 
@@ -312,22 +302,26 @@ def _entries(slim: DataFrame, p: int, q: int) -> DataFrame:
     return first.unionByName(later).where("pos < k").select("token", "sig", "m", "pos")
 
 
-def _candidates(entries: DataFrame, p: int, q: int) -> DataFrame:
-    """(a, b) of different nodes, a < b, that share a listed gram and leave enough room for a link. ``entries``: token, sig, m, pos, node."""
-    lists = entries.groupBy("token").agg(F.count("*").alias("length"), F.min("node").alias("x"), F.max("node").alias("y")).where("x <> y").select(F.col("token").alias("token2"), "length")
+def _candidates(entries: DataFrame, bits: DataFrame, p: int, q: int) -> DataFrame:
+    """(a, b, apart) of different families and nodes that share a listed gram and may be linked as far as sizes, positions and bitmaps tell.
+
+    ``entries``: token, sig, m, pos, family, node; ``bits``: sig, bits. ``apart`` is the distance of the bitmaps.
+    """
+    lists = entries.groupBy("token").agg(F.count("*").alias("length"), F.min("family").alias("x"), F.max("family").alias("y")).where("x <> y").select(F.col("token").alias("token2"), "length")
     rows = entries.join(lists, F.col("token") == F.col("token2")).drop("token2")
-    short = rows.where(F.col("length") <= LONG).select("token", F.lit(0).alias("i"), F.lit(0).alias("j"), F.lit(2).alias("role"), "m", "pos", "sig", "node")
-    # a long list: the classes outside its most frequent node (role 0) meet all of its classes (role 1), part by part
+    rows = common.stored(rows)
+    short = rows.where(F.col("length") <= LONG).select("token", F.lit(0).alias("i"), F.lit(0).alias("j"), F.lit(2).alias("role"), "m", "pos", "sig", "family", "node")
+    # a long list: the classes outside its most frequent family (role 0) meet all of its classes (role 1), part by part
     long_ = rows.where(F.col("length") > LONG)
-    nodes = long_.groupBy("token", "node", "length").agg(F.count("*").alias("c")).groupBy("token", "length").agg(F.max(F.struct("c", "node")).alias("top"))
+    families = long_.groupBy("token", "family", "length").agg(F.count("*").alias("c")).groupBy("token", "length").agg(F.max(F.struct("c", "family")).alias("top"))
     outside = F.col("length") - F.col("top.c")
-    parts = nodes.select(F.col("token").alias("token2"), F.col("top.node").alias("top"), F.ceil(outside / BLOCK).cast("int").alias("n_i"), F.ceil(F.col("length") / BLOCK).cast("int").alias("n_j"))
+    parts = families.select(F.col("token").alias("token2"), F.col("top.family").alias("top"), F.ceil(outside / BLOCK).cast("int").alias("n_i"), F.ceil(F.col("length") / BLOCK).cast("int").alias("n_j"))
     long_ = long_.join(parts, F.col("token") == F.col("token2"))
     i, j = F.pmod(F.xxhash64("sig"), F.col("n_i")).cast("int"), F.pmod(F.xxhash64("sig", F.lit(1)), F.col("n_j")).cast("int")
-    left = long_.where("node <> top").select("token", i.alias("i"), F.explode(F.sequence(F.lit(0), F.col("n_j") - 1)).alias("j"), F.lit(0).alias("role"), "m", "pos", "sig", "node")
-    right = long_.select("token", F.explode(F.sequence(F.lit(0), F.col("n_i") - 1)).alias("i"), j.alias("j"), F.lit(1).alias("role"), "m", "pos", "sig", "node")
-    dealt = short.unionByName(left).unionByName(right)
-    names = ["token", "i", "j", "role", "m", "pos", "sig", "node"]
+    left = long_.where("family <> top").select("token", i.alias("i"), F.explode(F.sequence(F.lit(0), F.col("n_j") - 1)).alias("j"), F.lit(0).alias("role"), "m", "pos", "sig", "family", "node")
+    right = long_.select("token", F.explode(F.sequence(F.lit(0), F.col("n_i") - 1)).alias("i"), j.alias("j"), F.lit(1).alias("role"), "m", "pos", "sig", "family", "node")
+    dealt = short.unionByName(left).unionByName(right).join(bits.withColumnRenamed("sig", "sig2"), F.col("sig") == F.col("sig2")).drop("sig2")
+    names = ["token", "i", "j", "role", "m", "pos", "sig", "family", "node"]
 
     def run(batches):
         import pyarrow as pa
@@ -335,6 +329,8 @@ def _candidates(entries: DataFrame, p: int, q: int) -> DataFrame:
         held = None  # the last list's entries so far: a short list, or a part of about 2 * BLOCK
         for batch in batches:
             cols = [batch.column(c).to_numpy(zero_copy_only=False) for c in names]
+            maps = batch.column("bits")
+            cols.append(maps.flatten().to_numpy(zero_copy_only=False).view(np.uint64).reshape(len(maps), BITS // 64))
             if held is not None:
                 cols = [np.concatenate([a, b]) for a, b in zip(held, cols, strict=True)]
             if not len(cols[0]):
@@ -347,31 +343,35 @@ def _candidates(entries: DataFrame, p: int, q: int) -> DataFrame:
             yield from pairs(held, [0, len(held[0])], pa)
 
     def pairs(cols, cuts, pa):
-        a, b = [], []
+        out = []
         for s, e in zip(cuts[:-1], cuts[1:], strict=True):
             if e - s < 2:
                 continue
-            role, ids = cols[3][s:e], cols[6][s:e]
-            for x, y in list_pairs(cols[4][s:e], cols[5][s:e], cols[7][s:e], p, q):
-                if role[x] == 2 or role[x] != role[y]:
-                    u, v = int(ids[x]), int(ids[y])
-                    a.append(min(u, v))
-                    b.append(max(u, v))
-            if len(a) > 100_000:
-                yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
-                a, b = [], []
-        if a:
-            yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
+            _, _, _, role, m, pos, ids, family, node, maps = (c[s:e] for c in cols)
+            for i, j in list_pairs(m, pos, family, p, q):
+                met = (node[i] != node[j]) & ((role[i] == 2) | (role[i] != role[j]))
+                i, j = i[met], j[met]
+                apart = np.bitwise_count(maps[i] ^ maps[j]).sum(axis=1, dtype=np.int64)
+                near = (p + q) * apart <= (q - p) * (m[i] + m[j])
+                if near.any():
+                    u, v = ids[i[near]], ids[j[near]]
+                    out.append((np.minimum(u, v), np.maximum(u, v), apart[near]))
+        if out:
+            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(x)) for x in zip(*out, strict=True)], names=["a", "b", "apart"])
 
-    return dealt.repartition("token", "i", "j").sortWithinPartitions("token", "i", "j", "m", "pos", "sig", "role").mapInArrow(run, "a long, b long").distinct()
+    return dealt.repartition("token", "i", "j").sortWithinPartitions("token", "i", "j", "m", "pos", "sig", "role").mapInArrow(run, "a long, b long, apart long").distinct()
 
 
 def _differences(docs: DataFrame, classes: DataFrame, slim: DataFrame, n: int) -> DataFrame:
-    """(sig, m, pivot, pm, diff): a similar class of each class, its size, and the grams that only one of the two has; itself if none is near."""
+    """(sig, m, pivot, pm, diff): a similar class of a class, its size, and the grams that only one of the two has; no row if none is near."""
     keyed = slim.select("sig", F.posexplode("keys").alias("i", "key"))
-    least = keyed.groupBy("i", "key").agg(F.min("sig").alias("pivot"), F.count("*").alias("c")).where("c > 1").select(F.col("i").alias("i2"), F.col("key").alias("key2"), "pivot")
-    # classes that share no minimum with another are their own pivots and send no set
-    pivots = keyed.join(least, (F.col("i") == F.col("i2")) & (F.col("key") == F.col("key2"))).groupBy("sig").agg(F.min("pivot").alias("pivot")).where("sig <> pivot")
+    met = keyed.groupBy("i", "key").agg(F.count("*").alias("c")).where("c > 1").select(F.col("i").alias("i2"), F.col("key").alias("key2"), "c")
+    keyed = common.stored(keyed.join(met, (F.col("i") == F.col("i2")) & (F.col("key") == F.col("key2"))).select("sig", "i", "key", "c"))
+    # the text that copies were made from shares more minima than any copy
+    shares = keyed.groupBy("sig").agg(F.sum("c").alias("shares")).withColumnRenamed("sig", "sig2")
+    shared = keyed.join(shares, F.col("sig") == F.col("sig2")).select("sig", "i", "key", "shares")
+    top = shared.groupBy("i", "key").agg(F.max(F.struct("shares", "sig")).alias("top")).withColumnRenamed("i", "i2").withColumnRenamed("key", "key2")
+    pivots = keyed.join(top, (F.col("i") == F.col("i2")) & (F.col("key") == F.col("key2"))).groupBy("sig").agg(F.max("top")["sig"].alias("pivot")).where("sig <> pivot")
     pivots = common.stored(pivots)
     members = _sets_of(docs, classes.join(pivots.select(F.col("sig").alias("s2")), F.col("sig") == F.col("s2"), "left_semi"), n)
     theirs = _sets_of(docs, classes.join(pivots.select("pivot"), F.col("sig") == F.col("pivot"), "left_semi"), n).select(F.col("sig").alias("p2"), F.col("grams").alias("pivot_grams"))
@@ -381,30 +381,60 @@ def _differences(docs: DataFrame, classes: DataFrame, slim: DataFrame, n: int) -
     return both.where(F.size("diff") * 2 <= F.least("m", "pm"))
 
 
-def _decide(docs: DataFrame, pairs: DataFrame, classes: DataFrame, near: DataFrame, n: int, p: int, q: int) -> DataFrame:
-    """The linked ones of ``pairs`` (a, b), by differences from a common pivot where there is one, else by whole sets."""
-    kept = near.select("sig", "m", "pivot", "diff")
-    pivots = kept.select(F.col("pivot").alias("sig"), F.col("pivot").alias("pivot")).distinct()
-    # a pivot differs from itself by nothing; a class that is a member of one pivot and a pivot of others is compared as a member
-    own = pivots.join(kept.select(F.col("sig").alias("s2")), F.col("sig") == F.col("s2"), "left_anti").join(classes.select(F.col("sig").alias("s2"), "m"), F.col("sig") == F.col("s2")).select("sig", "m", "pivot", F.array().cast("array<bigint>").alias("diff"))
-    kept = kept.unionByName(own)
-    left = kept.select(F.col("sig").alias("a2"), F.col("m").alias("ma"), F.col("pivot").alias("pa"), F.col("diff").alias("da"))
-    right = kept.select(F.col("sig").alias("b2"), F.col("m").alias("mb"), F.col("pivot").alias("pb"), F.col("diff").alias("db"))
-    where = kept.select("sig", "pivot")
-    of_a, of_b = where.select(F.col("sig").alias("a2"), F.col("pivot").alias("pa2")), where.select(F.col("sig").alias("b2"), F.col("pivot").alias("pb2"))
-    placed = pairs.join(of_a, F.col("a") == F.col("a2"), "left").drop("a2").join(of_b, F.col("b") == F.col("b2"), "left").drop("b2")
-    placed = common.stored(placed.select("a", "b", F.coalesce(F.col("pa2") == F.col("pb2"), F.lit(False)).alias("together")))
-    rows = placed.where("together").join(left.hint("merge"), F.col("a") == F.col("a2")).join(right.hint("merge"), F.col("b") == F.col("b2"))
-    apart = F.size("da") + F.size("db") - 2 * F.size(F.array_intersect("da", "db"))
-    by_pivot = rows.where((p + q) * apart <= (q - p) * (F.col("ma") + F.col("mb"))).select("a", "b")
-    rest = placed.where("not together").select("a", "b")
-    ends = rest.select(F.col("a").alias("e")).unionByName(rest.select(F.col("b").alias("e"))).distinct()
+def _within_pivots(near: DataFrame, p: int, q: int) -> DataFrame:
+    """(a, b): links between classes of one pivot, of a spanning forest of each pair of blocks.
+
+    The classes that the pivot links (inner) are known to be linked through it. Only the others (outer) are compared, with all classes of the
+    pivot: a block of outer ones meets every block, so what is copied grows with the number of outer ones.
+    """
+    inner = (p + q) * F.size("diff") <= (q - p) * (F.col("m") + F.col("pm"))
+    members = near.select("pivot", "sig", "m", "diff", inner.alias("inner"))
+    n_parts = lambda rows, grams: F.greatest(F.ceil(rows / BLOCK), F.ceil(grams / BLOCK_GRAMS)).cast("int")
+    outer = (~F.col("inner")).cast("long")
+    sizes = members.groupBy("pivot").agg(F.count("*").alias("rows"), F.sum(outer).alias("outer"), F.sum(F.size("diff").cast("long")).alias("grams"), F.sum(outer * F.size("diff")).alias("outer_grams"))
+    sizes = sizes.where("outer > 0 and rows > 1").select(F.col("pivot").alias("pivot2"), n_parts(F.col("outer"), F.col("outer_grams")).alias("n_i"), n_parts(F.col("rows"), F.col("grams")).alias("n_j"))
+    rows = members.join(sizes, F.col("pivot") == F.col("pivot2")).drop("pivot2")
+    i, j = F.pmod(F.xxhash64("sig"), F.col("n_i")).cast("int"), F.pmod(F.xxhash64("sig", F.lit(1)), F.col("n_j")).cast("int")
+    left = rows.where("not inner").select("pivot", i.alias("i"), F.explode(F.sequence(F.lit(0), F.col("n_j") - 1)).alias("j"), F.lit(True).alias("asks"), "sig", "m", "diff", "inner")
+    right = rows.select("pivot", F.explode(F.sequence(F.lit(0), F.col("n_i") - 1)).alias("i"), j.alias("j"), F.lit(False).alias("asks"), "sig", "m", "diff", "inner")
+
+    def compare(pdf):
+        import pandas as pd
+
+        asks = pdf["asks"].to_numpy()
+        asking, asked = pdf[asks], pdf[~asks]
+        ids, m, inner = asked["sig"].to_numpy(), asked["m"].to_numpy(), asked["inner"].to_numpy()
+        sizes = np.array([len(d) for d in asked["diff"]], np.int64)
+        where = np.repeat(np.arange(len(asked)), sizes)
+        flat = np.concatenate([np.asarray(d, np.int64) for d in asked["diff"]]) if len(asked) else np.empty(0, np.int64)
+        by = np.argsort(flat, kind="stable")
+        sorted_, where = flat[by], where[by]
+        forest, out = Forest(), []
+        known = ids[inner].tolist()
+        for x in known[1:]:  # known through the pivot already
+            forest.join(x, known[0])
+        for sig, size, diff in zip(asking["sig"].tolist(), asking["m"].tolist(), asking["diff"], strict=True):
+            diff = np.asarray(diff, np.int64)
+            first, last = np.searchsorted(sorted_, diff, "left"), np.searchsorted(sorted_, diff, "right")
+            hits = [where[a:b] for a, b in zip(first.tolist(), last.tolist(), strict=True) if b > a]
+            shared = np.bincount(np.concatenate(hits), minlength=len(ids)) if hits else np.zeros(len(ids), np.int64)
+            linked = (p + q) * (len(diff) + sizes - 2 * shared) <= (q - p) * (size + m)
+            for x in ids[linked].tolist():
+                if x != sig and forest.join(sig, x):
+                    out.append((min(sig, x), max(sig, x)))
+        return pd.DataFrame(out, columns=["a", "b"], dtype="int64")
+
+    return left.unionByName(right).groupBy("pivot", "i", "j").applyInPandas(compare, "a long, b long").distinct()
+
+
+def _decide(docs: DataFrame, pairs: DataFrame, classes: DataFrame, n: int, p: int, q: int) -> DataFrame:
+    """The linked ones of ``pairs`` (a, b), by whole sets. Both sides grow with the data, so both joins are by key at any size."""
+    ends = pairs.select(F.col("a").alias("e")).unionByName(pairs.select(F.col("b").alias("e"))).distinct()
     sets = _sets_of(docs, common.stored(classes.join(ends, F.col("sig") == F.col("e"), "left_semi").select("sig", "rep")), n)
-    rows = rest.join(sets.select(F.col("sig").alias("a2"), F.col("grams").alias("ga")).hint("merge"), F.col("a") == F.col("a2")).drop("a2")
+    rows = pairs.select("a", "b").join(sets.select(F.col("sig").alias("a2"), F.col("grams").alias("ga")).hint("merge"), F.col("a") == F.col("a2")).drop("a2")
     rows = rows.join(sets.select(F.col("sig").alias("b2"), F.col("grams").alias("gb")).hint("merge"), F.col("b") == F.col("b2"))
     shared = F.size(F.array_intersect("ga", "gb")).cast("long")
-    by_sets = rows.where((p + q) * shared >= p * (F.size("ga") + F.size("gb"))).select("a", "b")
-    return common.stored(by_pivot.unionByName(by_sets))
+    return common.stored(rows.where((p + q) * shared >= p * (F.size("ga") + F.size("gb"))).select("a", "b"))
 
 
 def components(edges: DataFrame, rounds: int = 60) -> DataFrame:
@@ -452,24 +482,24 @@ def _links(docs: DataFrame, classes: DataFrame, n: int, p: int, q: int, share: f
     slim = common.stored(slim.join(classes.select(F.col("sig").alias("sig2")), F.col("sig") == F.col("sig2"), "left_semi").dropDuplicates(["sig"]))
     near = common.stored(_differences(docs, classes, slim, n))
     stars = near.where((p + q) * F.size("diff") <= (q - p) * (F.col("m") + F.col("pm"))).select(F.col("pivot").alias("a"), F.col("sig").alias("b"))
-    nodes = common.stored(components(stars))
-    entries = _entries(slim, p, q).join(nodes, F.col("sig") == F.col("id"), "left").select("token", "sig", "m", "pos", F.coalesce("component", "sig").alias("node"))
-    pairs = _candidates(common.stored(entries), p, q)
-    bits = slim.select("sig", "m", "bits")
-    pairs = pairs.join(bits.select(F.col("sig").alias("a2"), F.col("m").alias("ma"), F.col("bits").alias("bits_a")), F.col("a") == F.col("a2"))
-    pairs = pairs.join(bits.select(F.col("sig").alias("b2"), F.col("m").alias("mb"), F.col("bits").alias("bits_b")), F.col("b") == F.col("b2"))
-    pairs = pairs.select("a", "b", "ma", "mb", F.expr(APART).alias("apart")).where(f"{p + q} * apart <= {q - p} * (ma + mb)")
-    pairs = common.stored(pairs.select("a", "b", "apart"))
+    edges = common.stored(stars.unionByName(_within_pivots(near, p, q)))
+    nodes = common.stored(components(edges))
+    families = near.select(F.col("sig").alias("s2"), "pivot")
+    entries = _entries(slim, p, q).join(families, F.col("sig") == F.col("s2"), "left").join(nodes, F.col("sig") == F.col("id"), "left")
+    entries = entries.select("token", "sig", "m", "pos", F.coalesce("pivot", "sig").alias("family"), F.coalesce("component", "sig").alias("node"))
+    pairs = common.stored(_candidates(common.stored(entries), slim.select("sig", "bits"), p, q))
+    if pairs.isEmpty():
+        return nodes
     # first the nearest pair of every two nodes
     one = _named(pairs, nodes).groupBy(F.least("x", "y").alias("u"), F.greatest("x", "y").alias("v")).agg(F.min(F.struct("apart", "a", "b")).alias("top")).select("top.a", "top.b")
     one = common.stored(one)
-    linked = _decide(docs, one, classes, near, n, p, q)
-    names = common.stored(components(stars.unionByName(linked)))
+    edges = edges.unionByName(_decide(docs, one, classes, n, p, q))
+    names = common.stored(components(edges))
     left = _named(pairs.select("a", "b"), names).where("x <> y").select("a", "b")
     left = common.stored(left.join(one.select(F.col("a").alias("a2"), F.col("b").alias("b2")), (F.col("a") == F.col("a2")) & (F.col("b") == F.col("b2")), "left_anti"))
     if left.isEmpty():
         return names
-    return components(stars.unionByName(linked).unionByName(_decide(docs, left, classes, near, n, p, q)))
+    return components(edges.unionByName(_decide(docs, left, classes, n, p, q)))
 
 
 def join_components(docs: DataFrame, n: int = 3, p: int = 9, q: int = 10) -> DataFrame:
