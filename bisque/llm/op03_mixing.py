@@ -26,6 +26,8 @@ from . import common
 WEIGHTS = (3, 1, 2)
 #: Documents of a first group about, and residuals that meet at a later level.
 GROUP, FAN_IN = 128, 64
+#: Rows that agree in id, source and size are numbered in so many parts.
+PARTS = 4096
 NOT_SPACE = r"[^\x20\x09-\x0D]+"
 
 
@@ -96,15 +98,26 @@ def _meet(rows, level: int, seed: int):
 def mix(docs: DataFrame, percent: int = 150, seed: int = 17, group: int = GROUP, fan_in: int = FAN_IN) -> DataFrame:
     """One row a row of ``docs``: doc_id, size, source_size, target, copies, taken."""
     slim = docs.select("doc_id", F.col("source").cast("string").alias("source"), n_words(F.col("text").cast("string")).alias("size"))
-    by = W.partitionBy("doc_id", "source", "size").orderBy(F.lit(1))
     # the sizes are counted once: what follows reads these slim rows again and again
-    slim = common.stored(slim.withColumn("no", F.row_number().over(by)))
+    slim = common.stored(slim)
+    # rows that agree in id, source and size are told apart by a number; only those go through a window, in parts
+    alike = ["doc_id", "source", "size"]
+    again = slim.groupBy(*alike).agg(F.count("*").alias("c")).where("c > 1").select(*[F.col(c).alias(f"{c}2") for c in alike])
+    same = F.lit(True)
+    for c in alike:
+        same = same & F.col(c).eqNullSafe(F.col(f"{c}2"))
+    part = F.pmod(F.monotonically_increasing_id(), F.lit(PARTS)).alias("part")
+    some = common.stored(slim.join(again, same, "left_semi").select(*alike, part))
+    some = some.withColumn("no", F.row_number().over(W.partitionBy(*alike, "part").orderBy(F.lit(1))))
+    slim = common.stored(slim.join(again, same, "left_anti").select(*alike, F.lit("").alias("no")).unionByName(some.select(*alike, F.concat_ws("/", "part", "no").alias("no"))))
     sources = slim.groupBy("source").agg(F.sum("size").alias("source_size"), F.count("*").alias("source_rows"))
     goal = targets(sources.select("source", "source_size"), percent).withColumnRenamed("source", "source2")
     known = sources.join(goal.drop("source_size"), F.col("source").eqNullSafe(F.col("source2"))).drop("source2").withColumnRenamed("source", "source2")
     rows = slim.join(known, F.col("source").eqNullSafe(F.col("source2"))).drop("source2")
     wanted = F.when((F.col("source_size") > 0) & (F.col("size") > 0), F.col("target") / F.col("source_size")).otherwise(0.0)
-    key = F.concat_ws("/", F.col("doc_id").cast("string"), F.coalesce(F.col("source"), F.lit("\u0000")), F.col("no").cast("string"))
+    # digits first, the source last: whatever it holds, two rows never have one key
+    text_of = lambda c: F.coalesce(F.col(c).cast("string"), F.lit("-"))
+    key = F.concat(text_of("doc_id"), F.lit("|"), F.col("size").cast("string"), F.lit("|"), "no", F.lit("|"), F.when(F.col("source").isNull(), "-").otherwise(F.concat(F.lit("="), "source")))
     rows = rows.select("doc_id", "source", "size", "source_size", "target", "source_rows", key.alias("key"), F.floor(wanted + 1e-12).cast("int").alias("whole"), wanted.alias("wanted"))
     rows = rows.withColumn("x", F.greatest(F.lit(0.0), F.col("wanted") - F.col("whole")))
     open_ = rows.where(F.col("x") > 1e-12)

@@ -267,3 +267,16 @@ def test_pipeline(spark):
     ran = corpus_pipeline.run(spark, SF).collect()
     assert sorted((r.doc_id, r.ids) for r in ran) == sorted((r.doc_id, r.ids) for r in last)
     assert [n for n, _ in corpus_pipeline.STAGES] == ["quality", "near_copies", "pii", "mixing", "sentencepiece"]
+
+
+def test_mixing_of_repeated_ids(spark):
+    """Rows of one id and source with equal and with different sizes, rows without id, sources that look like keys: as many rows out as in."""
+    rows = [(7, "a", "w"), (7, "a", "w w"), (7, "a", "w w"), (7, "a", None), (None, "a", "w w w"), (None, "a", "w"), (None, None, "w w"), (None, None, "w w"), (7, "-", "w w"), (7, None, "w w"), (1, "=|1", "w"), (1, "1|", "w"), (1, "", "w")] * 3
+    got = op03_mixing.mix(spark.createDataFrame(rows, "doc_id long, source string, text string"), group=2, fan_in=2).collect()
+    want = collections.Counter((i, s, len((t or "").split())) for i, s, t in rows)
+    assert collections.Counter((r.doc_id, r.source, r["size"]) for r in got) == want
+    taken, target, most = collections.Counter(), {}, collections.Counter()
+    for r in got:
+        taken[r.source] += r.taken
+        target[r.source], most[r.source] = r.target, max(most[r.source], r["size"])
+    assert all(abs(taken[s] - target[s]) <= most[s] / 2 + 1e-6 for s in target)
