@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import DataFrame, SparkSession
 
 from bisque.llm import common, op01_pii, op03_mixing, op04_sentencepiece, op09_quality, op10_jaccard
@@ -21,10 +19,12 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """STAGES one after the other over the documents, through Parquet in the shared folder."""
+    """STAGES one after the other over the documents, each through Parquet in the shared folder.
+
+    Defined results: an empty table gives an empty result; null and empty texts fail the quality rules; a null id, repeated ids and repeated rows
+    are treated as each stage's docstring says; other columns of documents are carried through the stages.
+    """
     docs = common.table(spark, sf_dir, "documents")
-    base = f"{common.shared_folder(spark)}/pipeline-{uuid.uuid4().hex}"
-    for k, (_, stage) in enumerate(STAGES):
-        stage(spark, docs, sf_dir).write.parquet(f"{base}/{k}")
-        docs = spark.read.parquet(f"{base}/{k}")
+    for _, stage in STAGES:
+        docs = common.stored(stage(spark, docs, sf_dir))
     return docs
