@@ -30,6 +30,12 @@ def site_filters(df: DataFrame, min_phred: int = 20, min_qd: int = 2, max_fs: in
     return df.withColumn("filter", F.when(text != "", text).when(mac1(), "mac1").otherwise("PASS"))
 
 
+def reported(gt: Column, ref: Column, selected: Column, all_positions: bool = False) -> Column:
+    """FLT-5: whether a site is put out: not AA on A or TT on T (ref 0..3), unless a selected known variant is there or all are wanted."""
+    plain = (gt == 0) & (ref == 0) | (gt == 9) & (ref == 3)
+    return F.lit(all_positions) | F.coalesce(selected, F.lit(False)) | ~F.coalesce(plain, F.lit(False))
+
+
 def context(df: DataFrame, column: str, out: str, reach: int = 2, missing: str = "N") -> DataFrame:
     """WIN-3, WIN-4: the bases at p - reach .. p + reach as text; positions without a row are ``missing``.
 

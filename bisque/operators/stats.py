@@ -39,9 +39,11 @@ def ti_tv(spectrum: DataFrame) -> DataFrame:
 def posterior_histogram(counts: DataFrame) -> DataFrame:
     """AGG-10 over (a, b): sum of normalised (i/100)^a (1-i/100)^b, i = 0..100. Equal (a, b) are grouped first, so the explosion is small."""
     g = counts.groupBy("a", "b").agg(F.count("*").alias("n"))
+    # weights by logarithms, relative to the greatest: at depths of thousands the powers themselves are 0
     x = F.col("i") / 100.0
-    weight = F.when(F.col("a") == 0, 1.0).otherwise(F.pow(x, F.col("a"))) * F.when(F.col("b") == 0, 1.0).otherwise(F.pow(1 - x, F.col("b")))
-    e = g.withColumn("i", F.explode(F.sequence(F.lit(0), F.lit(100)))).withColumn("w", weight)
+    power = lambda n, base: F.when(n == 0, 0.0).when(base > 0, n * F.ln(F.greatest(base, F.lit(1e-9)))).otherwise(float("-inf"))
+    e = g.withColumn("i", F.explode(F.sequence(F.lit(0), F.lit(100)))).withColumn("l", power(F.col("a"), x) + power(F.col("b"), 1 - x))
+    e = e.withColumn("w", F.exp(F.col("l") - F.max("l").over(W.partitionBy("a", "b"))))
     e = e.withColumn("share", F.col("w") / F.sum("w").over(W.partitionBy("a", "b")))
     return e.groupBy("i").agg(F.round(F.sum(F.col("share") * F.col("n")), 6).alias("mass"))
 
@@ -74,9 +76,22 @@ def merge(parts: DataFrame) -> DataFrame:
     return parts.select(F.explode("hist").alias("value", "n")).groupBy("value").agg(F.sum("n").alias("n"))
 
 
-def conversion_rate(n1: Column, n2: Column, least: int = 10_000) -> Column:
-    """AGG-18: share of converted control bases, null below ``least`` bases or if either count is 0."""
-    return F.when((n1 + n2 >= least) & (n1 > 0) & (n2 > 0), n2 / (n1 + n2))
+def conversion_rate(c2t: dict[str, Column], g2a: dict[str, Column], least: int = 10_000) -> Column:
+    """AGG-18: conversion of control bases, from counts of a, c, g, t on both strands; null below ``least`` bases or if either kind is missing.
+
+    Bases that conversion leaves alone (A and G of one strand, C and T of the other) give the error rate z: an A or T there stands for
+    a G or C. Of the others, z is taken from the converted ones and added to those that are not.
+    """
+    still = c2t["a"] + c2t["g"] + g2a["c"] + g2a["t"]
+    open_ = c2t["c"] + c2t["t"] + g2a["a"] + g2a["g"]
+    z = F.try_divide(c2t["a"] + g2a["t"], still)
+    conv, unconv = c2t["t"] + g2a["a"], c2t["c"] + g2a["g"]
+    return F.when((still + open_ >= least) & (still > 0) & (open_ > 0), F.try_divide(conv * (1 - z) - unconv * z, open_ * (1 - z)))
+
+
+def conversion_limits(rate: Column) -> tuple[Column, Column]:
+    """Under- and over-conversion from the rates of their controls; null where a rate is not to be believed, 0.001 at least."""
+    return F.when(rate >= 0.9, F.greatest(1 - rate, F.lit(0.001))), F.when(rate <= 0.15, F.greatest(rate, F.lit(0.001)))
 
 
 def unique_fragments(hist: DataFrame, threshold: int) -> DataFrame:

@@ -74,7 +74,7 @@ def gc_bins(s, d):
 
 @query(
     "ref_context",
-    f"with {REF.format(n=20000)}, b as (select tid, p, substr('ACGT', cast(ref as int) + 1, 1) as base from ref) select tid, p, "
+    f"with {REF.format(n=200010)}, b as (select tid, p, substr('ACGT', cast(ref as int) + 1, 1) as base from ref) select tid, p, "
     + " || ".join(f"coalesce({f}(base, {k}) over w, 'N')" if k else "base" for f, k in (("lag", 2), ("lag", 1), ("", 0), ("lead", 1), ("lead", 2)))
     + " as cx from b window w as (partition by tid order by p)",
 )
@@ -223,13 +223,13 @@ MODEL = _model_sql()
 LN10 = "2.302585092994046"
 
 
-@query("genotype_likelihood", f"with {MODEL} select tid, p, cast(max_gt as bigint) as max_gt, " + ", ".join(f"round((g{g} - norm) / {LN10}, 5) + 0e0 as ll{g}" for g in range(10)) + " from gt where p % 3 = 0")
+@query("genotype_likelihood", f"with {MODEL} select tid, p, cast(max_gt as bigint) as max_gt, " + ", ".join(f"round((g{g} - norm) / {LN10}, 5) + 0e0 as ll{g}" for g in range(10)) + " from gt")
 def genotype_likelihood(s, d):
     m = model.likelihoods(_sites(s, d))
     return m.select("tid", "p", F.col("max_gt").cast("bigint").alias("max_gt"), *[(F.round(F.col("ll")[g], 5) + F.lit(0.0)).alias(f"ll{g}") for g in range(10)])
 
 
-@query("genotype_haploid", f"with {_model_sql(True)} select tid, p, cast(max_gt as bigint) as max_gt, " + ", ".join(f"round((g{g} - norm) / {LN10}, 5) + 0e0 as ll{g}" for g in (0, 4, 7, 9)) + " from gt where p % 3 = 0")
+@query("genotype_haploid", f"with {_model_sql(True)} select tid, p, cast(max_gt as bigint) as max_gt, " + ", ".join(f"round((g{g} - norm) / {LN10}, 5) + 0e0 as ll{g}" for g in (0, 4, 7, 9)) + " from gt")
 def genotype_haploid(s, d):
     m = model.likelihoods(_sites(s, d), haploid=True)
     return m.select("tid", "p", F.col("max_gt").cast("bigint").alias("max_gt"), *[(F.round(F.col("ll")[g], 5) + F.lit(0.0)).alias(f"ll{g}") for g in (0, 4, 7, 9)])
@@ -255,8 +255,12 @@ def fisher_strand(s, d):
     return t.select("tid", "p", "gt", F.round(model.fisher_log10(F.col("table")), 6).alias("log10_p"))
 
 
-SF = """f as (select tid, p, dp, (m2 * 7 + p) % 90 as phred, (p * 13 + dp) % 120 as fs, cast(least(255, round(sqrt(m2 / dp::double))) as bigint) as mq from sites), w as (select *, phred // dp as qd from f),
-flt as (select *, coalesce(nullif(concat_ws(';', case when phred < 20 then 'q20' end, case when qd < 2 then 'qd2' end, case when fs > 60 then 'fs60' end, case when mq < 40 then 'mq40' end), ''), 'PASS') as filter from w)"""
+GENOTYPE = "cast(case when (p + dp) % 7 < 5 then [0, 4, 7, 9][cast(ref as int) + 1] else [1, 5, 8, 3][cast(ref as int) + 1] end as bigint)"
+#: Allele groups of heterozygotes, SURVEY 2.13c: at most one read for either.
+MAC1 = """case gt when 1 then least(c0 + c4, c1 + c5 + c7) when 2 then least(c0, c2 + c6) when 3 then least(c0 + c4, c3 + c7) when 5 then least(c1 + c5 + c7, c2 + c4 + c6)
+ when 6 then least(c1 + c5, c3) when 8 then least(c2 + c4 + c6, c3 + c7) else 2 end <= 1"""
+SF = f"""f as (select tid, p, dp, {GENOTYPE} as gt, c0, c1, c2, c3, c4, c5, c6, c7, (m2 * 7 + p) % 90 as phred, (p * 13 + dp) % 120 as fs, cast(least(255, round(sqrt(m2 / dp::double))) as bigint) as mq from sites), w as (select *, phred // dp as qd from f),
+flt as (select tid, p, dp, phred, fs, mq, qd, coalesce(nullif(concat_ws(';', case when phred < 20 then 'q20' end, case when qd < 2 then 'qd2' end, case when fs > 60 then 'fs60' end, case when mq < 40 then 'mq40' end), ''), case when {MAC1} then 'mac1' end, 'PASS') as filter from w)"""
 
 
 def _filtered(s, d):
@@ -270,7 +274,7 @@ def site_filters(s, d):
 
 
 #: Simple calls, whole numbers only: the genotype of the reference base where all reads agree with it, else of reference and the next base.
-GT = """calls as (select *, cast(case when (p + dp) % 7 < 5 then [0, 4, 7, 9][cast(ref as int) + 1] else [1, 5, 8, 3][cast(ref as int) + 1] end as bigint) as gt from sites)"""
+GT = f"calls as (select *, {GENOTYPE} as gt from sites)"
 
 
 def _calls(s, d):
@@ -283,7 +287,7 @@ PAIR = "case when {a} is null and {b} is null then 0 when {a} is null then cast(
 
 @query(
     "cpg_status",
-    f"with {fx.SITES}, {GT}, n as (select c.tid, c.p, c.gt, a.gt as pg, b.gt as ng from calls c left join calls a on a.tid = c.tid and a.p = c.p - 1 left join calls b on b.tid = c.tid and b.p = c.p + 1), s as (select tid, p, gt, cast(greatest({PAIR.format(a='pg', b='gt')}, {PAIR.format(a='gt', b='ng')}) as bigint) as state from n) select *, substr('.?NHY', cast(state as int) + 1, 1) as cpg from s",
+    f"with {fx.SITES}, {GT}, n as (select tid, p, gt, case when lag(p) over w = p - 1 then lag(gt) over w end as pg, case when lead(p) over w = p + 1 then lead(gt) over w end as ng from calls window w as (partition by tid order by p)), s as (select tid, p, gt, cast(greatest({PAIR.format(a='pg', b='gt')}, {PAIR.format(a='gt', b='ng')}) as bigint) as state from n) select *, substr('.?NHY', cast(state as int) + 1, 1) as cpg from s",
 )
 def cpg_status(s, d):
     return sites.cpg_status(_calls(s, d)).withColumn("state", F.col("state").cast("bigint"))
@@ -330,7 +334,7 @@ def snp_baf(s, d):
 
 @query(
     "cpg_combined",
-    f"with {fx.SITES}, {GT}, j as (select a.tid, a.p, a.c5 + b.c6 as non_conv, a.c7 + b.c4 as conv, cast(floor(sqrt((a.m2 + b.m2) / (a.dp + b.dp)::double) + 0.5e0) as bigint) as mq from calls a join calls b on a.tid = b.tid and b.p = a.p + 1 where a.gt = 4 and b.gt = 7 and (a.c5 + a.c7 >= 1 or b.c6 + b.c4 >= 1)) select tid, p, non_conv, conv, case when non_conv + conv > 0 then printf('%.3f', non_conv / (non_conv + conv)::double) else '.' end as meth, mq from j",
+    f"with {fx.SITES}, {GT}, b as (select *, lead(p) over w as bp, lead(gt) over w as bgt, lead(c4) over w as b4, lead(c6) over w as b6, lead(m2) over w as bm, lead(dp) over w as bd from calls window w as (partition by tid order by p)), j as (select tid, p, c5 + b6 as non_conv, c7 + b4 as conv, cast(floor(sqrt((m2 + bm) / (dp + bd)::double) + 0.5e0) as bigint) as mq from b where gt = 4 and bgt = 7 and bp = p + 1 and (c5 + c7 >= 1 or b6 + b4 >= 1)) select tid, p, non_conv, conv, case when non_conv + conv > 0 then printf('%.3f', non_conv / (non_conv + conv)::double) else '.' end as meth, mq from j",
 )
 def cpg_combined(s, d):
     return extract.cpg_pairs(_calls(s, d)).withColumn("mq", F.col("mq").cast("bigint"))
@@ -515,10 +519,25 @@ def stats_merge(s, d):
     return stats.merge(parts)
 
 
-@query("conversion_rate", f"with {fx.OBS}, t as (select bs, sum(case when ch in (5, 6) then 1 else 0 end) as a, sum(case when ch in (7, 4) then 1 else 0 end) as b from obs group by 1) select bs, case when a + b >= 1000 and a > 0 and b > 0 then round(b / (a + b)::double, 6) end as rate from t")
+@query(
+    "conversion_rate",
+    f"""with {fx.OBS}, t as (select rev, {", ".join(f"count(*) filter (where bs = {k} and base = {i})::double as {x}{k}" for k in (1, 2) for i, x in enumerate("acgt"))} from obs where q >= 13 group by 1),
+    z as (select *, a1 + g1 + c2 + t2 as n1, c1 + t1 + a2 + g2 as n2, (a1 + t2) / (a1 + g1 + c2 + t2) as z from t),
+    r as (select rev, case when n1 + n2 >= 10000 and n1 > 0 and n2 > 0 then ((t1 + a2) * (1 - z) - (c1 + g2) * z) / (n2 * (1 - z)) end as rate from z)
+    select cast(rev as bigint) as rev, round(rate, 6) as rate, round(case when rate >= 0.9 then greatest(1 - rate, 0.001e0) end, 6) as under, round(case when rate <= 0.15 then greatest(rate, 0.001e0) end, 6) as over from r""",
+)
 def conversion_rate(s, d):
-    t = fx.observations(s, d).groupBy("bs").agg(stats.count_if(F.col("ch").isin(5, 6)).alias("a"), stats.count_if(F.col("ch").isin(7, 4)).alias("b"))
-    return t.select("bs", F.round(stats.conversion_rate(F.col("a"), F.col("b"), 1000), 6).alias("rate"))
+    n = lambda k, i: stats.count_if((F.col("bs") == k) & (F.col("base") == i)).alias(f"{'acgt'[i]}{k}")
+    t = fx.observations(s, d).where("q >= 13").groupBy("rev").agg(*[n(k, i) for k in (1, 2) for i in range(4)])
+    rate = stats.conversion_rate(*[{x: F.col(f"{x}{k}") for x in "acgt"} for k in (1, 2)])
+    under, over = stats.conversion_limits(rate)
+    return t.select(F.col("rev").cast("bigint").alias("rev"), F.round(rate, 6).alias("rate"), F.round(under, 6).alias("under"), F.round(over, 6).alias("over"))
+
+
+@query("site_output", f"with {fx.SITES}, {GT}, {SNPS} select c.tid, c.p, c.gt from calls c left join prep on prep.tid = c.tid and prep.pos = c.p + 1 where not (c.gt = 0 and c.ref = 0 or c.gt = 9 and c.ref = 3) or coalesce(maf >= 0.3e0 or number % 7 = 0, false)")
+def site_output(s, d):
+    c = sites.snp_lookup(_calls(s, d), _snps(s, d))
+    return c.where(sites.reported(F.col("gt"), F.col("ref"), F.col("selected"))).select("tid", "p", "gt")
 
 
 @query("read_level_table", f"with {fx.READS}, t as (select {REASON} as reason, count(*) as reads from reads group by 1) select reason, reads, cast(sum(reads) over () as bigint) as total, round(reads * 100e0 / sum(reads) over (), 6) as percent from t")
@@ -561,13 +580,13 @@ def sq_header_enrich(s, d):
     return text.enrich_header(header, even)
 
 
-@query("fasta_md5", f"with {REF.format(n=2000)}, q as (select tid, string_agg(substr('ACGT', cast(ref as int) + 1, 1), '' order by p) as seq from ref group by 1) select 'chr' || tid as name, length(seq) as len, md5(seq) as m5 from q")
+@query("fasta_md5", f"with {REF.format(n=200010)}, q as (select tid, string_agg(substr('ACGT', cast(ref as int) + 1, 1), '' order by p) as seq from ref group by 1) select 'chr' || tid as name, length(seq) as len, md5(seq) as m5 from q")
 def fasta_md5(s, d):
     r = _ref(s).withColumn("b", F.substring(F.lit("acgt"), F.col("ref").cast("int") + 1, F.lit(1)))
     return text.fasta_md5(r.select(F.concat(F.lit("chr"), "tid").alias("name"), F.col("p").alias("no"), F.concat("b", F.lit(" ")).alias("line")))
 
 
-@query("vcf_roundtrip", f"with {fx.SITES}, {GT} select 'chr' || tid as chrom, p, cast((p + dp) % 60 as bigint) as qual, dp as depth, cast({' + '.join(f'c{k}' for k in range(8))} as bigint) as reads from calls where p % 5 = 0")
+@query("vcf_roundtrip", f"with {fx.SITES}, {GT} select 'chr' || tid as chrom, p, cast((p + dp) % 60 as bigint) as qual, dp as depth, cast({' + '.join(f'c{k}' for k in range(8))} as bigint) as reads from calls")
 def vcf_roundtrip(s, d):
     c = _calls(s, d)
     v = c.select(
@@ -664,7 +683,7 @@ def trimmed_spans(s, d):
     return t.groupBy("tid").agg(F.count("*").alias("n"), F.sum(F.expr("span.hi - span.lo + 1")).alias("bases"))
 
 
-@query("expand_qualities", f"with {fx.SITES} select tid, p, {', '.join(f'cast(case when c{k} > 0 then {k} + 10 else 0 end as bigint) as bq{k}' for k in range(8))} from sites where p % 7 = 0")
+@query("expand_qualities", f"with {fx.SITES} select tid, p, {', '.join(f'cast(case when c{k} > 0 then {k} + 10 else 0 end as bigint) as bq{k}' for k in range(8))} from sites")
 def expand_qualities(s, d):
     c = pileup.counts_array()
     dense = F.filter(F.transform(c, lambda x, i: F.when(x > 0, i + 10)), lambda x: x.isNotNull())

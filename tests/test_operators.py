@@ -158,3 +158,32 @@ def test_streaming_islands(spark, tmp_path):
     q.stop()
     got = sorted((r.user_id, r.n) for r in spark.sql("select * from islands").collect())
     assert got == [(1, 1), (1, 2)]  # user 2's session is still open at the watermark
+
+
+def test_posterior_of_deep_sites(spark):
+    """Depths at which the powers are 0: mass 1 a site, greatest at the share of unconverted reads."""
+    rows = [(600, 600), (100_000, 0), (0, 100_000), (30_000, 70_000), (0, 0)]
+    for a, b in rows:
+        hist = {r.i: r.mass for r in stats.posterior_histogram(spark.createDataFrame([(a, b)], "a long, b long")).collect()}
+        assert abs(sum(hist.values()) - 1) < 1e-4
+        assert not a + b or hist[round(100 * a / (a + b))] == max(hist.values())
+
+
+def test_conversion_rate(spark):
+    """The control's error rate comes from the bases that conversion leaves alone."""
+    one = spark.createDataFrame([(40, 100, 9960, 9900, 9900, 9960, 100, 40), (0, 0, 10, 10, 0, 0, 0, 0), (0, 0, 0, 90_000, 0, 0, 0, 0)], "a1 long, c1 long, g1 long, t1 long, a2 long, c2 long, g2 long, t2 long")
+    rate = stats.conversion_rate(*[{x: F.col(f"{x}{k}") for x in "acgt"} for k in (1, 2)])
+    under, over = stats.conversion_limits(rate)
+    got = one.select(rate.alias("r"), under.alias("u"), over.alias("o")).collect()
+    z = 80 / 20_000
+    want = (19_800 * (1 - z) - 200 * z) / (20_000 * (1 - z))
+    assert abs(got[0].r - want) < 1e-12 and abs(got[0].u - (1 - want)) < 1e-12 and got[0].o is None
+    assert got[1].r is None and got[2].r is None
+
+
+def test_required_refuses_cycles(spark):
+    edges = spark.createDataFrame([("a", "b"), ("a", "c"), ("b", "d"), ("c", "d"), ("x", "y"), ("y", "x")], "task string, needs string")
+    of = lambda t: dag.required(spark, edges, spark.createDataFrame([(t,)], "task string"))
+    assert {r.task: r.depth for r in of("a").collect()} == {"a": 0, "b": 1, "c": 1, "d": 2}
+    with pytest.raises(ValueError):
+        of("x")
