@@ -30,10 +30,10 @@ BLANK = "▁"
 CHARACTER, START, CODES = 1 << 21, (1 << 22) - 1, 1 << 22
 INFINITE = float("inf")
 MODEL = os.environ.get("BISQUE_SENTENCEPIECE_MODEL", "/opt/tokenizers/piece_bpe_32k.model")
-#: Segments (and pairs) remembered by a worker at most; the tables are emptied when full.
-REMEMBERED = 240_000
+#: Segments remembered by a worker at most, pairs of pieces at most; the tables are emptied when full.
+REMEMBERED, PAIRS = 80_000, 350_000
 #: Segments of at most so many characters are walked side by side; so many segments of a text are looked at together.
-SHORT, TOGETHER = 32, 200_000
+SHORT, TOGETHER = 32, 50_000
 #: Fixed value: an odd multiplier for mixing hashes.
 ODD = np.uint64(0x9E3779B97F4A7C15)
 
@@ -167,8 +167,6 @@ class Encoder:
 
     def fits(self, a: int, b: int) -> bool:
         """Whether the piece of code b may follow that of code a, or start the segment."""
-        if len(self.pairs) > 2 * REMEMBERED:
-            self.pairs.clear()
         rights, lefts = self.ends
         left, right = rights.get(a, 0), lefts.get(b, 0)
         if left == 0:
@@ -195,7 +193,6 @@ class Encoder:
                 else:
                     j += 1
                     y, until_y = right[j]
-        self.pairs[a * CODES + b] = got
         return got
 
     def tokens(self, p: str) -> tuple[int, ...]:
@@ -245,8 +242,8 @@ class Encoder:
 
     def _may_follow(self, keys: np.ndarray) -> np.ndarray:
         """``fits`` for an array of pairs of codes."""
-        if not hasattr(self, "_follow") or self._follow.size + len(keys) > 800_000:
-            self._follow = Table(20)
+        if not hasattr(self, "_follow") or self._follow.size + len(keys) > PAIRS:
+            self._follow = Table(19)
         ok = self._follow.find(keys)
         if (ok < 0).any():
             new = np.unique(keys[ok < 0]).tolist()
@@ -293,7 +290,9 @@ class Encoder:
     def merge_walk(self, s: str) -> bytes:
         """The ids of one segment under the merge order, packed; holds codes and backpointers of the part that is not committed yet."""
         out: list[bytes] = []
-        get, ending, longest, pairs = self.v.ids.get, self.v.ending.get, self.v.longest, self.pairs.get
+        get, ending, longest, pairs = self.v.ids.get, self.v.ending.get, self.v.longest, self.pairs
+        if len(pairs) > PAIRS // 4:
+            pairs.clear()
         done, last = 0, 0
         codes, back = [START], [0]  # of the piece that ends at done + index, and where it starts
         for i in range(1, len(s) + 1):
@@ -305,8 +304,10 @@ class Encoder:
                         continue
                     b = CHARACTER + ord(s[j])
                 a = codes[j - done]
-                ok = pairs(a * CODES + b)
-                if ok or ok is None and self.fits(a, b):
+                ok = pairs.get(a * CODES + b)
+                if ok is None:
+                    ok = pairs[a * CODES + b] = self.fits(a, b)
+                if ok:
                     codes.append(b)
                     back.append(j)
                     break

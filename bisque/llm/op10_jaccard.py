@@ -533,18 +533,22 @@ def stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     A row that repeats another's id and set is a copy of it. Texts without words are no copies of one another, but for repeated ids.
     """
     n = 5
-    prof = _profiled(docs, n, 4, 5).groupBy("doc_id", "sig", "node").agg(F.count("*").alias("rows"))
+    prof = common.stored(_profiled(docs, n, 4, 5).groupBy("doc_id", "sig", "node").agg(F.count("*").alias("rows")))
     row = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "sig", "rows")
     keep = prof.where("node is not null").groupBy("node").agg(F.min(row).alias("top")).select("top.doc_id", "top.sig", "top.rows").unionByName(prof.where("node is null").select("doc_id", "sig", "rows"))
-    keep = common.stored(keep.select(F.col("doc_id").alias("__id"), F.col("sig").alias("__sig2"), F.col("rows").alias("__rows")))
-    few = keep.count() <= SENT
-    given = _over_sets(docs, n, "__sig long", lambda found: {"__sig": list(map(signature, found))})
-    found = given.join(F.broadcast(keep) if few else keep, F.col("doc_id").eqNullSafe(F.col("__id")) & F.col("__sig").eqNullSafe(F.col("__sig2")))
+    # an id that one row has tells the row; other rows are told by their sets as well
+    again = common.stored(prof.groupBy("doc_id").agg(F.sum("rows").alias("rows")).where("rows > 1 and doc_id is not null").select(F.col("doc_id").alias("again")))
+    single = common.stored(keep.where("doc_id is not null").join(again, F.col("doc_id") == F.col("again"), "left_anti").select(F.col("doc_id").alias("id")))
     names = [F.col(f"`{c}`") for c in docs.columns]
-    out = found.where("__rows = 1").select(*names)
-    if keep.where("__rows > 1").isEmpty():
+    out = docs.join(F.broadcast(single) if single.count() <= SENT else single, F.col("doc_id") == F.col("id"), "left_semi")
+    if again.isEmpty() and docs.where("doc_id is null").isEmpty():
         return out
-    return out.unionByName(found.where("__rows > 1").dropDuplicates(["__id", "__sig"]).select(*names))
+    many = again.count() > SENT
+    rest = docs.join(again if many else F.broadcast(again), F.col("doc_id") == F.col("again"), "left_semi").unionByName(docs.where("doc_id is null"))
+    given = _over_sets(rest, n, "__sig long", lambda found: {"__sig": list(map(signature, found))})
+    told = keep.select(F.col("doc_id").alias("__id"), F.col("sig").alias("__sig2"))
+    found = given.join(told, F.col("doc_id").eqNullSafe(F.col("__id")) & F.col("__sig").eqNullSafe(F.col("__sig2")))
+    return out.unionByName(found.dropDuplicates(["__id", "__sig"]).select(*names))
 
 
 #: The same in DuckDB, by all pairs that share a gram.

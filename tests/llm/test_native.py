@@ -280,3 +280,11 @@ def test_mixing_of_repeated_ids(spark):
         taken[r.source] += r.taken
         target[r.source], most[r.source] = r.target, max(most[r.source], r["size"])
     assert all(abs(taken[s] - target[s]) <= most[s] / 2 + 1e-6 for s in target)
+
+
+def test_near_copies_of_odd_rows(spark, odd):
+    """Rows told by id, or by id and set where ids are repeated or missing; texts without words stay."""
+    got = collections.Counter((r.doc_id, r.text) for r in op10_jaccard.stage(spark, odd, "").collect())
+    assert got[(12, "a b c")] == 1 and not any(k in (15, 18) for k, _ in got)  # three copies
+    assert got[(3, "a second text of one id")] == 1 and got[(3, None)] == 1 and got[(None, "no id")] == 1 and got[(0, "")] == 1
+    assert max(got.values()) == 1
