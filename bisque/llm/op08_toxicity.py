@@ -146,4 +146,4 @@ def score(df: DataFrame, model: Model, column: str = "text") -> DataFrame:
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = common.table(spark, sf_dir, "documents").select("doc_id", "text")
     model = train(docs, common.table(spark, sf_dir, "labels"))
-    return score(docs, model).select("doc_id", held_out().alias("held_out"), "score", "predicted")
+    return score(docs, model).select("doc_id", F.coalesce(held_out(), F.lit(False)).alias("held_out"), "score", "predicted")
