@@ -4,8 +4,9 @@ The machine reads a conversation's rows by turn, notes the first step that its t
 loss flag. Control strings of the template inside a text are escaped: an escape mark is put after their first character, and after the
 first character of the mark itself, so that a formatted text can be parsed back exactly.
 
-Rows are dealt by conversation and sorted, and one is handled at a time, so a task's memory is one conversation's segments at most where the
-formatted text itself is asked for, and one turn where only digests are.
+The joined output runs through a reader that finds the turns and their limits by the marks alone and cuts the loss out by its spans; numbers
+and digests are the reader's. Rows are dealt by conversation and sorted, and one is handled at a time, so a task's memory is one conversation's
+segments at most where the formatted text itself is asked for, and what the reader has not finished, a turn, where only digests are.
 
 Defined results: null texts and roles are empty strings; null conversations form one conversation with a null id; rows of one turn are ordered
 by role, then text; repeated rows are turns of their own; an empty table gives no conversation; other columns are ignored.
@@ -97,21 +98,67 @@ class Formatter:
             raise ValueError("not a formatted conversation")
         at, stop, turns = len(self.t.start), len(s) - len(self.t.end), []
         while at < stop:
-            m = self.cut.match(s, at)
-            if m is None:
+            turn = self.turn(s, at)
+            if turn is None:
                 raise ValueError(f"no turn at {at}")
-            role = self.opens[m.group()]
-            close = (self.t.other if role is None else self.t.turns[role])[1]
-            j = s.index(close, m.end(), stop)
-            # the mark proper begins at its bracket; a text may end in a space, so take the last blank before the bracket
-            body = s[m.end() : j]
-            if role is None:
-                role, _, body = body.partition(self.t.divider)
-                role = self.unescape(role)
-            turns.append((role, self.unescape(body)))
-            at = j + len(close)
+            role, text, at = turn
+            turns.append((role, text))
         return turns
 
+    def turn(self, s: str, at: int) -> tuple[str, str, int] | None:
+        """Role and text of the turn that begins at ``at``, and where it ends; None if no whole turn stands there."""
+        m = self.cut.match(s, at)
+        if m is None:
+            return None
+        role = self.opens[m.group()]
+        close = (self.t.other if role is None else self.t.turns[role])[1]
+        # the mark proper begins at its bracket; a text may end in a space, so take the last blank before the bracket
+        j = s.find(close, m.end())
+        if j < 0:
+            return None
+        body = s[m.end() : j]
+        if role is None:
+            role, _, body = body.partition(self.t.divider)
+            role = self.unescape(role)
+        return role, self.unescape(body), j + len(close)
+
+
+class Reader:
+    """Reads a formatted conversation as it comes, piece after piece, and digests its turns and what lies under the loss mask."""
+
+    def __init__(self, f: Formatter):
+        self.f, self.held, self.at = f, "", 0  # held: what is not read yet, from place ``at`` of the output
+        self.begun = False
+        self.spans: list[tuple[int, int]] = []
+        self.n = self.loss_chars = 0
+        self.turns, self.loss = hashlib.sha256(), hashlib.sha256()
+
+    def feed(self, piece: str, spans: list[tuple[int, int]]) -> None:
+        """More of the output, and the loss spans (places in the whole output) that lie in it."""
+        self.held += piece
+        self.spans += spans
+        t, s, at = self.f.t, self.held, 0
+        if not self.begun:
+            if not s.startswith(t.start):
+                raise ValueError("not a formatted conversation")
+            self.begun, at = True, len(t.start)
+        while (turn := self.f.turn(s, at)) is not None:
+            role, text, at = turn
+            self.turns.update(f"{role}\n{text}\n".encode())
+            self.n += 1
+        while self.spans and self.spans[0][1] <= self.at + at:
+            a, b = self.spans.pop(0)
+            plain = self.f.unescape(s[a - self.at : b - self.at])
+            self.loss.update(plain.encode())
+            self.loss_chars += len(plain)
+        self.held, self.at = s[at:], self.at + at
+
+    def close(self) -> int:
+        """The length of the whole output; what is left of it must be its end mark alone."""
+        if self.held != self.f.t.end or self.spans:
+            raise ValueError("not a formatted conversation")
+        return self.at + len(self.held)
+
 
 def format_turns(turns: DataFrame, template: Template = Template(), with_text: bool = True) -> DataFrame:
     """One row a conversation: the formatted text (if asked for), its segments' loss spans, and digests read back from it."""
@@ -136,17 +183,18 @@ def format_turns(turns: DataFrame, template: Template = Template(), with_text: b
 
         def begin(conv):
             return {
-                "conv": conv, "n": 0, "turns": hashlib.sha256(), "loss": hashlib.sha256(), "loss_n": 0, "chars": len(t.start), "state": "begin", "problem": None,
-                "segments": 1, "parts": [t.start], "spans": [],
+                "conv": conv, "reader": Reader(f), "chars": len(t.start), "turn": 0, "state": "begin", "problem": None, "segments": 1, "parts": [t.start], "spans": [],
+                "next": t.start,
             }
 
         def end(s):
             if s["problem"] is None and s["state"] not in t.final:
                 s["problem"] = f"ends after {s['state']}"
-            s["chars"] += len(t.end)
+            read = s["reader"]
+            read.feed(t.end, [])
             row = {
-                "conv_id": s["conv"], "n_turns": s["n"], "turns_sha256": s["turns"].hexdigest(), "loss_chars": s["loss_n"], "loss_sha256": s["loss"].hexdigest(),
-                "formatted_chars": s["chars"], "valid": s["problem"] is None, "problem": s["problem"], "n_segments": s["segments"] + 1,
+                "conv_id": s["conv"], "n_turns": read.n, "turns_sha256": read.turns.hexdigest(), "loss_chars": read.loss_chars, "loss_sha256": read.loss.hexdigest(),
+                "formatted_chars": read.close(), "valid": s["problem"] is None, "problem": s["problem"], "n_segments": s["segments"] + 1,
             }
             if with_text:
                 row |= {"formatted": "".join(s["parts"]) + t.end, "loss_spans": s["spans"]}
@@ -168,25 +216,22 @@ def format_turns(turns: DataFrame, template: Template = Template(), with_text: b
                 parts = f.segments(role, text)
                 went = t.steps.get(state["state"], {}).get(role)
                 if went is None:
-                    state["problem"] = state["problem"] or f"turn {state['n']}: {role or 'no role'} after {state['state']}"
+                    state["problem"] = state["problem"] or f"turn {state['turn']}: {role or 'no role'} after {state['state']}"
                     went = {"system": "told", "user": "asked", "assistant": "answered"}.get(role, state["state"])
                 state["state"] = went
-                # what is counted is read back from the formatted turn, not taken from the row
-                whole = "".join(x for x, _ in parts)
-                for r, x in f.parse(t.start + whole + t.end):
-                    state["turns"].update(f"{r}\n{x}\n".encode())
-                    state["n"] += 1
+                state["turn"] += 1
+                spans = []
                 for x, loss in parts:
                     if loss:
-                        plain = f.unescape(x)
-                        state["loss"].update(plain.encode())
-                        state["loss_n"] += len(plain)
-                        if with_text:
-                            state["spans"].append({"start": state["chars"], "stop": state["chars"] + len(x)})
+                        spans.append((state["chars"], state["chars"] + len(x)))
                     state["chars"] += len(x)
                     state["segments"] += 1
+                whole = "".join(x for x, _ in parts)
+                state["reader"].feed(state["next"] + whole, spans)
+                state["next"] = ""
                 if with_text:
                     state["parts"].append(whole)
+                    state["spans"] += [{"start": a, "stop": b} for a, b in spans]
         if state:
             end(state)
         if out:
