@@ -63,13 +63,38 @@ SENTENCES = (
     ("apache-2", "compliance", r"you may not use this file except in compliance with the licen[cs]e", 0.9), ("bsd", "redistribution", r"redistribution and use in source and binary forms with or without modification are permitted", 0.9), ("bsd-3", "endorse", r"may be used to endorse or promote products derived from this software", 0.9),
     ("bsd-4", "advertising", r"all advertising materials mentioning features or use of this software must display", 0.9), ("gpl", "redistribute", r"you can redistribute it and or modify it under the terms of the gnu general public licen[cs]e", 1.0), ("lgpl", "redistribute", r"you can redistribute it and or modify it under the terms of the gnu lesser general public licen[cs]e", 1.0), ("agpl", "redistribute", r"you can redistribute it and or modify it under the terms of the gnu affero general public licen[cs]e", 1.0),
     ("isc", "permission", r"permission to use copy modify and or distribute this software for any purpose", 0.9), ("zlib", "misrepresented", r"the origin of this software must not be misrepresented", 0.9), ("boost-1", "boost", r"distributed under the boost software licen[cs]e", 1.0), ("mpl-2", "mozilla", r"this source code form is subject to the terms of the mozilla public licen[cs]e", 1.0), ("unlicense", "unencumbered", r"this is free and unencumbered software released into the public domain", 1.0),
+    ("gpl", "fitness", r"without even the implied warranty of merchantability or fitness for a particular purpose see the gnu general public licen[cs]e", 1.0), ("gpl", "foundation", r"write to the free software foundation inc (?:59 temple place|51 franklin street|675 mass ave)", 0.7),
+    ("gpl", "copy", r"you should have received a copy of the gnu general public licen[cs]e", 1.0), ("lgpl", "copy", r"you should have received a copy of the gnu (?:lesser|library) general public licen[cs]e", 1.0), ("agpl", "copy", r"you should have received a copy of the gnu affero general public licen[cs]e", 1.0),
+    ("gpl", "copies", r"everyone is permitted to copy and distribute verbatim copies of this licen[cs]e document", 0.8), ("gfdl", "invariant", r"with no invariant sections no front cover texts and no back cover texts", 1.0),
+    ("apache-2", "unless", r"unless required by applicable law or agreed to in writing software distributed under the licen[cs]e is distributed on an as is basis", 0.9), ("apache-2", "apache", r"apache org licen[cs]es licen[cs]e 2 0", 1.0),
+    ("bsd", "above", r"redistributions of source code must retain the above copyright notice", 0.9), ("bsd", "binary", r"redistributions in binary form must reproduce the above copyright notice", 0.9), ("bsd", "contributors", r"this software is provided by the copyright holders and contributors as is", 0.8),
+    ("bsd-3", "contributors", r"nor the names of its contributors may be used to endorse", 0.9), ("bsd", "governed", r"governed by a bsd style licen[cs]e", 1.0), ("mit", "substantial", r"shall be included in all copies or substantial portions of the software", 0.9),
+    ("mit", "opensource", r"opensource org licen[cs]es mit", 1.0), ("bsd-3", "opensource", r"opensource org licen[cs]es bsd 3 clause", 1.0), ("gpl-3", "gnu", r"gnu org licen[cs]es gpl 3 0", 1.0), ("gpl-2", "gnu", r"gnu org licen[cs]es (?:old licen[cs]es )?gpl 2 0", 1.0), ("agpl-3", "gnu", r"gnu org licen[cs]es agpl 3 0", 1.0),
+    ("isc", "above", r"provided that the above copyright notice and this permission notice appear in all copies", 0.9), ("mpl-2", "mozilla", r"mozilla org mpl 2 0", 1.0), ("epl-2", "accompanying", r"this program and the accompanying materials are made available under the terms of the eclipse public licen[cs]e 2 0", 1.0),
+    ("zlib", "alter", r"permission is granted to anyone to use this software for any purpose including commercial applications and to alter it", 1.0), ("boost-1", "boost", r"boost org licen[cs]e 1 0", 1.0), ("wtfpl", "fuck", r"you just do what the fuck you want to", 1.0), ("beerware", "beer", r"you can buy me a beer in return", 1.0), ("unlicense", "anyone", r"anyone is free to copy modify publish use compile sell or distribute this software", 1.0),
+    ("ofl-1.1", "reserved", r"reserved font name", 0.7), ("sspl-1", "mongodb", r"mongodb com licensing server side public licen[cs]e", 1.0), ("busl-1.1", "change", r"change licen[cs]e apache licen[cs]e", 0.7), ("commons-clause", "sell", r"does not grant to you the right to sell the software", 1.0), ("json", "good", r"the software shall be used for good", 0.8),
+    ("cc-by", "creativecommons", r"creativecommons org licen[cs]es by [1-4] [05]", 1.0), ("cc-by-sa", "creativecommons", r"creativecommons org licen[cs]es by sa [1-4] [05]", 1.0), ("cc-by-nd", "creativecommons", r"creativecommons org licen[cs]es by nd [1-4] [05]", 1.0), ("cc-by-nc", "creativecommons", r"creativecommons org licen[cs]es by nc [1-4] [05]", 1.0),
+    ("cc-by-nc-sa", "creativecommons", r"creativecommons org licen[cs]es by nc sa [1-4] [05]", 1.0), ("cc-by-nc-nd", "creativecommons", r"creativecommons org licen[cs]es by nc nd [1-4] [05]", 1.0), ("cc0", "creativecommons", r"creativecommons org publicdomain zero 1 0", 1.0), ("cc0", "waived", r"has waived all copyright and related or neighboring rights", 1.0),
+    ("mit", "mit", r"osi approved mit licen[cs]e", 1.0), ("apache-2", "apache", r"osi approved apache software licen[cs]e", 1.0), ("bsd", "bsd", r"osi approved bsd licen[cs]e", 1.0), ("gpl", "gnu", r"osi approved gnu general public licen[cs]e", 1.0), ("psf", "python", r"osi approved python software foundation licen[cs]e", 1.0),
+    ("mit", "mit", r"veröffentlicht unter der mit lizenz", 1.0), ("gpl", "gpl", r"unter der gpl lizenz", 0.9), ("cc", "creative", r"creative commons lizenz", 0.7), ("mit", "mit", r"sous licence mit", 1.0), ("gpl", "gpl", r"sous licence (?:gnu )?gpl", 1.0), ("apache", "apache", r"sous licence apache", 1.0), ("mit", "mit", r"bajo la licencia mit", 1.0), ("gpl", "gpl", r"bajo la licencia (?:gnu )?gpl", 1.0), ("apache", "apache", r"bajo la licencia apache", 1.0),
+    ("all-rights-reserved", "rechte", r"alle rechte vorbehalten", 0.4), ("all-rights-reserved", "droits", r"tous droits réservés", 0.4), ("all-rights-reserved", "derechos", r"todos los derechos reservados", 0.4), ("proprietary", "trade", r"contains trade secrets", 0.5), ("proprietary", "evaluation", r"for evaluation (?:purposes )?only", 0.4), ("non-commercial", "commercial", r"for non ?commercial use only", 0.6), ("research-only", "research", r"for research (?:purposes|use) only", 0.6), ("academic", "academic", r"for academic (?:purposes|use) only", 0.6),
     ("public-domain", "domain", r"(?:dedicated|released|placed) (?:in|in ?to|to) the public domain", 0.9), ("public-domain", "domain", r"public domain", 0.4), ("all-rights-reserved", "reserved", r"all rights reserved", 0.4), ("proprietary", "confidential", r"proprietary and confidential", 0.8), ("proprietary", "unauthorized", r"unauthorized copying of this file", 0.8), ("copyleft", "copyleft", r"copyleft", 0.3),
 )
+#: Fixed values, written by hand: label and the identifier of a license as words, after ``SPDX-License-Identifier:``.
+SPDX = (
+    ("mit", "mit"), ("mit-0", "mit 0"), ("isc", "isc"), ("zlib", "zlib"), ("libpng", "libpng 2 0"), ("boost-1", "bsl 1 0"), ("epl-1", "epl 1 0"), ("epl-2", "epl 2 0"), ("postgresql", "postgresql"), ("artistic-1", "artistic 1 0"), ("artistic-2", "artistic 2 0"),
+    ("psf", "psf 2 0"), ("python", "python 2 0"), ("apache-1.0", "apache 1 0"), ("apache-1.1", "apache 1 1"), ("apache-2", "apache 2 0"), ("bsd-0", "0bsd"), ("bsd-2", "bsd 2 clause"), ("bsd-3", "bsd 3 clause"), ("bsd-4", "bsd 4 clause"), ("bsd-2", "bsd 2 clause patent"), ("bsd-3", "bsd 3 clause clear"),
+    ("gpl-1", "gpl 1 0"), ("gpl-2", "gpl 2 0"), ("gpl-2", "gpl 2 0 only"), ("gpl-2", "gpl 2 0 or later"), ("gpl-3", "gpl 3 0"), ("gpl-3", "gpl 3 0 only"), ("gpl-3", "gpl 3 0 or later"), ("lgpl-2", "lgpl 2 0 only"), ("lgpl-2", "lgpl 2 0 or later"), ("lgpl-2.1", "lgpl 2 1"), ("lgpl-2.1", "lgpl 2 1 only"), ("lgpl-2.1", "lgpl 2 1 or later"),
+    ("lgpl-3", "lgpl 3 0"), ("lgpl-3", "lgpl 3 0 only"), ("lgpl-3", "lgpl 3 0 or later"), ("agpl-1", "agpl 1 0"), ("agpl-3", "agpl 3 0"), ("agpl-3", "agpl 3 0 only"), ("agpl-3", "agpl 3 0 or later"), ("gfdl-1.2", "gfdl 1 2"), ("gfdl-1.3", "gfdl 1 3"), ("mpl-1.1", "mpl 1 1"), ("mpl-2", "mpl 2 0"),
+    ("cddl-1", "cddl 1 0"), ("cddl-1.1", "cddl 1 1"), ("cpl-1", "cpl 1 0"), ("cpal-1", "cpal 1 0"), ("ibm-pl", "ipl 1 0"), ("eupl", "eupl 1 1"), ("eupl-1.2", "eupl 1 2"), ("unlicense", "unlicense"), ("wtfpl", "wtfpl"), ("cc0", "cc0 1 0"), ("cc-by", "cc by [1-4] [05]"), ("cc-by-sa", "cc by sa [1-4] [05]"), ("cc-by-nd", "cc by nd [1-4] [05]"),
+    ("cc-by-nc", "cc by nc [1-4] [05]"), ("cc-by-nc-sa", "cc by nc sa [1-4] [05]"), ("cc-by-nc-nd", "cc by nc nd [1-4] [05]"), ("odbl", "odbl 1 0"), ("odc-by", "odc by 1 0"), ("pddl", "pddl 1 0"), ("ofl-1.1", "ofl 1 1"), ("php-3", "php 3 01"), ("ruby", "ruby"), ("openssl", "openssl"), ("curl", "curl"), ("ncsa", "ncsa"), ("w3c", "w3c"), ("qpl", "qpl 1 0"),
+    ("ms-pl", "ms pl"), ("ms-rl", "ms rl"), ("osl-3", "osl 3 0"), ("afl-3", "afl 3 0"), ("ecl-2", "ecl 2 0"), ("sspl-1", "sspl 1 0"), ("busl-1.1", "busl 1 1"), ("elastic-2", "elastic 2 0"), ("polyform-nc", "polyform noncommercial 1 0 0"), ("mulan-2", "mulanpsl 2 0"), ("upl-1", "upl 1 0"), ("vim", "vim"), ("beerware", "beerware"), ("json", "json"),
+    ("unicode", "unicode 3 0"), ("imagemagick", "imagemagick"), ("freetype", "ftl"), ("ijg", "ijg"), ("sleepycat", "sleepycat"), ("blueoak", "blueoak 1 0 0"), ("lppl", "lppl 1 3c"), ("nasa", "nasa 1 3"), ("cecill", "cecill 2 [01]"), ("x11", "x11"),
+)
 ACT = r"(?:licen[cs]ed|released|distributed|available|covered|provided|published|offered|shared|made available|redistributed)"
 #: How a name may be given: prefix regex, suffix regex, priority, confidence.
 FORMS = (
     (rf"{ACT} under (?:the )?(?:terms of (?:the )?)?(?:conditions of (?:the )?)?", "", 30, 1.0),
-    (r"spdx licen[cs]e identifier ", "", 40, 1.0),
     (r"", "", 10, 0.6),
 )
 
@@ -89,6 +114,7 @@ def rules() -> list[Rule]:
         name = name.replace("{V}", VERSION)
         # of two names of one form the longer, more special one wins by length; the order settles ties
         out += [Rule(label, keyword, f"(?<= ){a}{name}{b}(?= )", p, s) for a, b, p, s in FORMS]
+    out += [Rule(label, "spdx license identifier", f"(?<= )spdx license identifier {name}(?= )", 40, 1.0) for label, name in SPDX]
     out += [Rule(label, keyword, f"(?<= ){r}(?= )", 20, s) for label, keyword, r, s in SENTENCES]
     for r in out:
         re.compile(r.regex)

@@ -28,6 +28,13 @@ def test_every_license_passes_the_gate(spark):
     assert all(ungated(t) for t in texts[:12])
 
 
+def test_identifiers(spark):
+    ids = {x.replace("[1-4]", "4").replace("[05]", "0").replace("[01]", "1"): label for label, x in op06_licenses.SPDX}
+    rows = [(f"x SPDX-License-Identifier: {i.replace(' ', '-')}", label) for i, label in ids.items()]
+    for x in op06_licenses.scan(spark.createDataFrame(rows, "text string, want string")).collect():
+        assert ({d.label for d in x.detections}, x.score) == ({x.want}, 1.0), x.text
+
+
 CARD, SPANISH, BELGIAN = "4111 1111 1111 1111", "ES91 2100 0418 4502 0005 1332", "BE68 5390 0754 7034"
 
 
