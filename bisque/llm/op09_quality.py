@@ -27,6 +27,14 @@ BOILERPLATE = (
     "all rights reserved", "terms of use", "terms of service", "privacy policy", "cookie policy", "we use cookies", "accept cookies",
     "enable javascript", "lorem ipsum", "click here", "subscribe to our newsletter", "share this", "read more", "sign in", "log in to", "back to top",
 )
+#: Words of menus, lower case, and signs that part their entries.
+MENU = (
+    "home", "news", "sport", "sports", "weather", "world", "about", "contact", "login", "logout", "register", "search", "sitemap", "help", "faq", "blog", "shop", "cart", "menu",
+    "archive", "categories", "products", "services", "impressum", "kontakt", "datenschutz", "startseite", "accueil", "inicio", "contacto",
+)
+BARS = ("|", "·", "•", "›", "»", "→")
+#: A phrase is a whole one: no letter or digit stands beside it.
+PHRASE = re.compile(f"(?:^|[^a-z0-9])(?:{'|'.join(BOILERPLATE)})(?:$|[^a-z0-9])")
 
 
 @dataclass(frozen=True)
@@ -34,8 +42,9 @@ class Rules:
     min_words: int = 20
     max_repeat_percent: int = 30
     window: int = 8
-    #: A line with so large a share of words that are bars, or have symbols, or are in capitals fails.
+    #: A line with so large a share of words that are bars, or words of menus, or have symbols, or are in capitals fails.
     bar_percent: int = 20
+    menu_percent: int = 70
     symbol_percent: int = 30
     capital_percent: int = 60
     #: Words that say the one before again.
@@ -45,11 +54,15 @@ class Rules:
     fragment_words: int = 5
     #: Documents that lose more than this share of their words are rejected.
     max_removed_percent: int = 50
+    #: Lines of at most so many words are searched for phrases of page furniture: longer ones say more than the phrase.
+    phrase_words: int = 24
 
 
 def line_fails(line: str, words: list[str], r: Rules) -> bool:
     n = len(words)
-    if 100 * words.count("|") > r.bar_percent * n:
+    if 100 * sum(map(words.count, BARS)) > r.bar_percent * n:
+        return True
+    if r.capital_words <= n <= r.phrase_words and 100 * sum(1 for w in words if w.lower() in MENU) > r.menu_percent * n:
         return True
     if SYMBOL.search(line) and 100 * sum(1 for w in words if SYMBOL.search(w)) > r.symbol_percent * n:
         return True
@@ -59,10 +72,7 @@ def line_fails(line: str, words: list[str], r: Rules) -> bool:
         return True
     if n < r.fragment_words and not any(x in line for x in ".!?…。！？:"):
         return True
-    if n <= 24:
-        low = line.lower()
-        return any(p in low for p in BOILERPLATE)
-    return False
+    return n <= r.phrase_words and PHRASE.search(line.lower()) is not None
 
 
 def repeated(words: list[str], window: int) -> int:
@@ -150,18 +160,19 @@ def stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def _sql(r: Rules = Rules()) -> str:
     """The same in DuckDB, rule by rule."""
     word = r"[^\x20\x09-\x0D]+"
-    phrases = " or ".join(f"contains(lower(line), '{p}')" for p in BOILERPLATE)
+    bars, menu = (", ".join(f"'{x}'" for x in given) for given in (BARS, MENU))
     return rf"""
 with d as (select doc_id, coalesce(text, '') as text from documents),
 l as (select doc_id, unnest(string_split(text, chr(10))) as line, unnest(range(len(string_split(text, chr(10))))) as k from d),
 lw as (select *, regexp_extract_all(line, '{word}') as w from l),
 lf as (select *, len(w) as n, row_number() over (partition by doc_id, line order by k) > 1 as dup,
-  100 * len(list_filter(w, lambda x: x = '|')) > {r.bar_percent} * len(w)
+  100 * len(list_filter(w, lambda x: x in ({bars}))) > {r.bar_percent} * len(w)
+  or len(w) between {r.capital_words} and {r.phrase_words} and 100 * len(list_filter(w, lambda x: lower(x) in ({menu}))) > {r.menu_percent} * len(w)
   or 100 * len(list_filter(w, lambda x: regexp_matches(x, '[#*$%&|<>]'))) > {r.symbol_percent} * len(w)
   or len(w) >= {r.capital_words} and 100 * len(list_filter(w, lambda x: length(x) > 1 and upper(x) = x and lower(x) <> x)) > {r.capital_percent} * len(w)
   or len(w) >= {r.capital_words} and 100 * len(list_filter(range(2, len(w) + 1), lambda i: w[i] = w[i - 1])) > {r.stutter_percent} * len(w)
   or len(w) < {r.fragment_words} and not regexp_matches(line, '[.!?…。！？:]')
-  or len(w) <= 24 and ({phrases}) as fails from lw where len(w) > 0),
+  or len(w) <= {r.phrase_words} and regexp_matches(lower(line), '{PHRASE.pattern}') as fails from lw where len(w) > 0),
 per as (select doc_id, sum(n) as n_words, sum(list_sum(list_transform(w, lambda x: length(x)))) as word_chars, sum(dup::int) as n_dup_lines, sum(case when dup or fails then n else 0 end) as gone from lf group by doc_id),
 ws as (select doc_id, regexp_extract_all(text, '{word}') as w from d),
 g as (select doc_id, i, array_to_string(w[i:i + {r.window - 1}], ' ') as s from (select doc_id, w, unnest(range(1, len(w) - {r.window - 2})) as i from ws where len(w) > {r.window})),
