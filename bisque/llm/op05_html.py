@@ -39,6 +39,8 @@ NAMES = re.compile(
 )
 TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<!\[CDATA\[(.*?)\]\]>|<[!?][^>]*>|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*?)(/?)>", re.S)
 ATTRIBUTE = re.compile(r"(class|id|role|aria-label|hidden|style)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+)))?", re.I)
+#: A word that tells of furniture only where it is the whole name or its last part, or a part of the layout follows: a notice-board is none.
+TURNED = re.compile(r"(?:side|notice|alert|share|legal|skip)[\-_](?![\-_]|(?:bar|box|nav|menu|panel|rail|col|column|section|content|wrap|wrapper|container|widget|area|inner|outer|text|message|msg|info|warning|error|link|links|button|buttons|icons|count|tools|this|to)(?=$|[\s_\-]))", re.I)
 SPACE = re.compile(r"[ \t\n\r\f\v ]+")
 ROLES = frozenset("navigation banner contentinfo complementary search dialog alert menu menubar form".split())
 
@@ -67,7 +69,7 @@ def is_furniture(tag: str, attributes: str, inside: bool) -> bool:
         return False
     for m in ATTRIBUTE.finditer(attributes):
         name, value = m[1].lower(), m[2] or m[3] or m[4] or ""
-        if name == "role" and value.lower() in ROLES or name in ("class", "id") and NAMES.search(value):
+        if name == "role" and value.lower() in ROLES or name in ("class", "id") and NAMES.search(TURNED.sub("", value)):
             return True
         if name == "hidden" or name == "style" and re.search(r"display\s*:\s*none", value, re.I):
             return True
@@ -157,7 +159,7 @@ def measure(nodes: list[Node]) -> None:
     for node in reversed(nodes):
         if node.furniture:
             continue
-        chars = sum(len(SPACE.sub(" ", x).strip()) for x in node.parts if isinstance(x, str))
+        chars = sum(len(SPACE.sub(" ", entities.unescape(x) if "&" in x else x).strip()) for x in node.parts if isinstance(x, str))
         tags = links = link_tags = 0
         for x in node.parts:
             if isinstance(x, Node) and not x.furniture:
@@ -202,8 +204,13 @@ def extract(page: str | None) -> str:
         return text_of(inside)
     chosen, on_path = {id(core)}, set(map(id, path))
     for x in path[1:]:
+        before = True  # a heading beside the path, ahead of the core, is the title: it is short, whatever its density
         for y in x.parts:
-            if isinstance(y, Node) and not y.furniture and y.density >= threshold > 0 and id(y) not in on_path and y.link_chars * 2 < y.chars:
+            if not isinstance(y, Node) or y.furniture:
+                continue
+            if id(y) in on_path:
+                before = False
+            elif (y.density >= threshold > 0 or before and y.tag == "h1") and y.link_chars * 2 < y.chars:
                 chosen.add(id(y))
     if len(chosen) == 1:
         return text_of(core)
