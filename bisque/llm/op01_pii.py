@@ -236,7 +236,15 @@ class Pseudonyms:
         return "".join(out), len(found), found
 
 
-def pseudonymize(df: DataFrame, column: str = "text", key: bytes = b"bisque-default-key") -> DataFrame:
+#: The setting of the session that holds the secret key, and the key of sessions without one: known to anyone, so fit for tests only.
+KEY_SETTING, TEST_KEY = "spark.bisque.pii.key", "bisque-default-key"
+
+
+def session_key(spark: SparkSession) -> bytes:
+    return spark.conf.get(KEY_SETTING, TEST_KEY).encode()
+
+
+def pseudonymize(df: DataFrame, key: bytes, column: str = "text") -> DataFrame:
     """``df`` with the text's values replaced, their number, and kind and place of each in the new text."""
 
     def make():
@@ -253,9 +261,9 @@ def query(spark: SparkSession, sf_dir: str) -> DataFrame:
         return F.size(F.filter("found", lambda x: x["kind"] == kind)).alias(f"n_{kind}")
 
     counts = [count(k) for k in KINDS]
-    return pseudonymize(docs).select("doc_id", "n_found", *counts, F.length("text").cast("long").alias("n_chars"), "text")
+    return pseudonymize(docs, session_key(spark)).select("doc_id", "n_found", *counts, F.length("text").cast("long").alias("n_chars"), "text")
 
 
 def stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents, their values replaced and n_chars counted anew."""
-    return pseudonymize(docs).select(*[F.length("text").cast("long").alias(c) if c == "n_chars" else F.col(c) for c in docs.columns])
+    return pseudonymize(docs, session_key(spark)).select(*[F.length("text").cast("long").alias(c) if c == "n_chars" else F.col(c) for c in docs.columns])

@@ -65,10 +65,10 @@ def test_clean_texts_are_left_alone():
 
 
 def test_pii_odd_rows(spark, odd):
-    out = op01_pii.pseudonymize(odd)
+    out = op01_pii.pseudonymize(odd, b"k")
     assert out.count() == odd.count() and out.where("text is null").count() == 2
     assert out.schema["found"].dataType.typeName() == "array" and "Score" in out.columns
-    assert op01_pii.pseudonymize(odd.limit(0)).isEmpty()
+    assert op01_pii.pseudonymize(odd.limit(0), b"k").isEmpty()
 
 
 # ---- 4
@@ -156,6 +156,17 @@ def test_density_finds_the_text_without_article():
     assert op05_html.extract(page) == " ".join(["long words of the main text " * 12][0].split() * 4)
 
 
+def test_names_titles_and_references():
+    para = "<p>" + "long words of the main text " * 12 + "</p>"
+    assert op05_html.extract(f"<body><div><h1>Title</h1><div>{para * 3}</div></div></body>").startswith("Title long words")
+    page = "<body><article><p>one two</p><div class='notice-board'>kept</div><p class='side-effects'>kept too</p><div class='notice notice--warning'>gone</div><div class='side-bar'>gone</div><div class='cookie-notice'>gone</div></article></body>"
+    assert op05_html.extract(page) == "one two kept kept too"
+    a, b = (op05_html.parse(f"<body><p>{t}</p></body>") for t in ("&eacute;&eacute;", "éé"))
+    for root in (a, b):
+        op05_html.measure(op05_html.order(root))
+    assert (a.chars, a.density) == (b.chars, b.density)
+
+
 def test_pages_against_regex(spark):
     """The pages of the fixture have one article each: its text with tags cut out."""
     import html
@@ -185,6 +196,30 @@ def test_turns_are_read_back(turns):
     f = op07_chat.Formatter(t)
     s = t.start + "".join(x for r, text in turns for x, _ in f.segments(r, text)) + t.end
     assert f.parse(s) == turns
+    # the reader finds the same in pieces of any length, and cuts the loss out by its spans
+    spans, at = [], len(t.start)
+    for r, text in turns:
+        for x, loss in f.segments(r, text):
+            if loss:
+                spans.append((at, at + len(x)))
+            at += len(x)
+    for size in (1, 7, 1000):
+        read = op07_chat.Reader(f)
+        read.feed(t.start, [])
+        for k in range(len(t.start), len(s), size):
+            read.feed(s[k : k + size], [x for x in spans if k <= x[0] < k + size])
+        said = "".join(x for r, x in turns if r == "assistant")
+        assert read.close() == len(s) and read.n == len(turns) and read.loss_chars == len(said)
+        assert read.turns.hexdigest() == hashlib.sha256("".join(f"{r}\n{x}\n" for r, x in turns).encode()).hexdigest()
+        assert read.loss.hexdigest() == hashlib.sha256(said.encode()).hexdigest()
+
+
+def test_broken_output_is_refused():
+    t = op07_chat.Template()
+    read = op07_chat.Reader(op07_chat.Formatter(t))
+    read.feed(t.start + "[INST] a" + t.end, [])
+    with pytest.raises(ValueError):
+        read.close()
 
 
 def test_conversations(spark):
@@ -271,4 +306,7 @@ def test_line_rules():
     good = "\n".join(f"A plain{i} sentence{i} of ordinary{i} words stands{i} here{i}, and then{i} it ends." for i in range(6))
     assert op09_quality.judge(good, r)[7] and op09_quality.judge(good, r)[8] == good
     assert op09_quality.judge(good + "\nHome | About | Contact\nAll rights reserved.", r)[8] == good
+    assert op09_quality.judge(good + "\nHome News Sport World About\nHome · Local · Sport · Weather · More", r)[8] == good
+    kept = good + "\nWe must design in a modern way.\nPeople spread more light than they find."
+    assert op09_quality.judge(kept, r)[8] == kept
     assert not op09_quality.judge("\n".join(f"THIS{i} IS!! LOUD!! TEXT!! AND!! MORE{i}!!" for i in range(9)), r)[7]
