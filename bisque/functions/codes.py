@@ -65,5 +65,25 @@ def phred(log10_p: Column) -> Column:
     return F.when(miss <= 0, F.lit(255)).otherwise(F.least(F.lit(255), F.greatest(F.lit(0), (F.log10(miss) * -10).cast("int"))))
 
 
+def error_phred(z: Column) -> Column:
+    """PRJ-11: quality of an error probability: min(trunc(-10 log10 z), 255), 255 for none, never below 0."""
+    return F.when(z <= 0, F.lit(255)).otherwise(F.least(F.lit(255), F.greatest(F.lit(0), (F.log10(z) * -10).cast("int"))))
+
+
+def likelihood_vector(ll: Column, genotype: Column, ref: Column, floor: float = -99.999) -> Column:
+    """PRJ-10: log10 likelihoods of the pairs of the reference and the call's other alleles, in VCF order (RR, RA, AA, RB, AB, BB).
+
+    ``ref`` is a base code; a null one (N) has the floor wherever the reference base takes part, and every allele of the call is another.
+    """
+    lists = []
+    for g in GENOTYPES:
+        for r in (*BASES, ""):
+            alleles = [r, *dict.fromkeys(b for b in g if b != r)]
+            pairs = ["".join(sorted(a + b)) for k, b in enumerate(alleles) for a in alleles[: k + 1]]
+            lists.append(ints(GENOTYPES.index(p) if p in GENOTYPES else -1 for p in pairs))
+    chosen = F.element_at(F.array(*lists), (genotype * 5 + F.coalesce(ref, F.lit(4))).cast("int") + 1)
+    return F.transform(chosen, lambda j: F.when(j < 0, F.lit(floor)).otherwise(F.greatest(F.lit(floor), F.get(ll, j))))
+
+
 def reverse_complement(text: Column) -> Column:
     return F.translate(F.reverse(text), "ACGTYRSWKMBVDHN.", "TGCARYSWMKVBHDN.")

@@ -11,10 +11,14 @@ from ..functions import codes
 from .sites import with_neighbours
 
 
-def cpg_pairs(sites: DataFrame, inform: int = 1) -> DataFrame:
-    """JON-8, FLT-8: a C at p and a G at p + 1, with the informative reads of both strands."""
+#: Genotypes that hold a C, and a G.
+WITH_C, WITH_G = ([g for g, x in enumerate(codes.GENOTYPES) if b in x] for b in "CG")
+
+
+def cpg_pairs(sites: DataFrame, inform: int = 1, het: bool = False) -> DataFrame:
+    """JON-8, FLT-8: a C at p and a G at p + 1, with the informative reads of both strands; ``het`` takes calls with a C and a G beside another base too."""
     n = with_neighbours(sites, ("gt", "c4", "c6", "c5", "c7", "ref", "dp", "m2"))
-    pair = n.where((F.col("gt") == 4) & (F.col("next_gt") == 7))
+    pair = n.where(F.col("gt").isin(WITH_C) & F.col("next_gt").isin(WITH_G) if het else (F.col("gt") == 4) & (F.col("next_gt") == 7))
     non_conv, conv = F.col("c5") + F.col("next_c6"), F.col("c7") + F.col("next_c4")
     mq = F.floor(F.sqrt((F.col("m2") + F.col("next_m2")) / (F.col("dp") + F.col("next_dp"))) + 0.5).cast("int")
     enough = (F.col("c5") + F.col("c7") >= inform) | (F.col("next_c6") + F.col("next_c4") >= inform)
@@ -72,6 +76,18 @@ def at_least(probs: Column, n: int) -> Column:
     return F.lit(1.0) - F.aggregate(F.slice(pass_distribution(probs), 1, n), F.lit(0.0), lambda s, x: s + x)
 
 
+def enough_samples(probs: Column, n: int, threshold: int) -> Column:
+    """FLT-10: whether the quality of "n samples or more pass" reaches a threshold; n = 0 lets every record through."""
+    return F.lit(True) if n <= 0 else codes.error_phred(F.round(F.lit(1.0) - at_least(probs, n), 9)) >= threshold
+
+
+def pair_probability(first: Column, second: Column, het: bool = False) -> Column:
+    """FLT-8: probability of a C then a G from two sites' natural log posteriors: both homozygous, or any genotype that holds the base."""
+    if not het:
+        return F.exp(first[4] + second[7])
+    return sum((F.exp(first[g]) for g in WITH_C), F.lit(0.0)) * sum((F.exp(second[g]) for g in WITH_G), F.lit(0.0))
+
+
 def common_genotype(lls: Column) -> Column:
     """AGG-15: first genotype of greatest summed log likelihood over samples (array of arrays of ten)."""
     total = F.aggregate(lls, F.array_repeat(F.lit(0.0), 10), lambda s, x: F.zip_with(s, x, lambda a, b: a + b))

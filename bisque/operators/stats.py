@@ -63,8 +63,23 @@ def median(hist: DataFrame) -> DataFrame:
     return cumulative(hist).where(F.col("cum") >= F.expr("total div 2")).agg(F.min("value").alias("median"))
 
 
+def up_to_quantile(df: DataFrame, value: str, n: str, percent: int = 99) -> DataFrame:
+    """The cells of a histogram up to the least integral value at which the running total reaches a share of all; one partition of cells."""
+    below = F.coalesce(F.sum(n).over(W.orderBy(value).rangeBetween(W.unboundedPreceding, -1)), F.lit(0))
+    return df.withColumn("below__", below).withColumn("total__", F.sum(n).over(W.partitionBy())).where(F.col("below__") * 100 < F.col("total__") * percent).drop("below__", "total__")
+
+
+def profile(mass: DataFrame) -> DataFrame:
+    """AGG-22 over (i 0..100, mass): mass of the low, middle and high thirds (below 0.3, 0.7), and the median in steps of 0.01."""
+    i = F.col("i")
+    part = lambda c: F.round(F.sum(F.when(c, F.col("mass")).otherwise(0.0)), 3)
+    run = mass.withColumn("cum", F.sum("mass").over(W.orderBy("i").rowsBetween(W.unboundedPreceding, 0))).withColumn("all", F.sum("mass").over(W.partitionBy()))
+    half = F.min(F.when((F.col("all") > 0) & (F.col("cum") >= 0.5 * F.col("all")), i))
+    return run.agg(part(i < 30).alias("low"), part((i >= 30) & (i < 70)).alias("middle"), part(i >= 70).alias("high"), F.round(half * 0.01, 2).alias("median"))
+
+
 def weighted_pearson(df: DataFrame, x: str, y: str, n: str) -> DataFrame:
-    """AGG-20: correlation of a histogram's cells, 0 if degenerate."""
+    """AGG-20: correlation of a histogram's cells, 0 if degenerate; the coverage cut is :func:`up_to_quantile`."""
     w, a, b = F.col(n).cast("double"), F.col(x).cast("double"), F.col(y).cast("double")
     s = df.agg(F.sum(w).alias("w"), F.sum(w * a).alias("a"), F.sum(w * b).alias("b"), F.sum(w * a * a).alias("aa"), F.sum(w * b * b).alias("bb"), F.sum(w * a * b).alias("ab"))
     va, vb = F.col("aa") * F.col("w") - F.col("a") * F.col("a"), F.col("bb") * F.col("w") - F.col("b") * F.col("b")

@@ -340,6 +340,14 @@ def cpg_combined(s, d):
     return extract.cpg_pairs(_calls(s, d)).withColumn("mq", F.col("mq").cast("bigint"))
 
 
+@query(
+    "cpg_het",
+    f"with {fx.SITES}, {GT}, b as (select *, lead(p) over w as bp, lead(gt) over w as bgt, lead(c4) over w as b4, lead(c6) over w as b6 from calls window w as (partition by tid order by p)) select tid, p, c5 + b6 as non_conv, c7 + b4 as conv from b where gt in (1, 4, 5, 6) and bgt in (2, 5, 7, 8) and bp = p + 1 and (c5 + c7 >= 1 or b6 + b4 >= 1)",
+)
+def cpg_het(s, d):
+    return extract.cpg_pairs(_calls(s, d), het=True).select("tid", "p", "non_conv", "conv")
+
+
 @query(
     "cpg_strand_specific",
     f"with {fx.SITES}, {GT}, j as (select a.tid, a.p, a.c5, a.c7, b.p as p2, b.c6, b.c4 from calls a join calls b on a.tid = b.tid and b.p = a.p + 1 where a.gt = 4 and b.gt = 7) select tid, p, 'C' as strand, c5 as non_conv, c7 as conv from j union all select tid, p2, 'G', c6, c4 from j",
@@ -381,6 +389,20 @@ def multi_sample_pass(s, d):
     return w.select("tid", "p", *[F.round(extract.at_least(F.col("probs"), k), 6).alias(f"p{k}") for k in (1, 2, 3)])
 
 
+@query(
+    "multi_sample_threshold",
+    f"""with {fx.OBS}, s as (select tid, p, k1 % 3 as sample, count(*) as n from obs where q >= 13 group by 1, 2, 3), w as (select tid, p, coalesce(max(case when sample = 0 then n end), 0) as a, coalesce(max(case when sample = 1 then n end), 0) as b, coalesce(max(case when sample = 2 then n end), 0) as c from s group by 1, 2),
+    x as (select tid, p, a / (a + 1e0) as x, b / (b + 1e0) as y, c / (c + 1e0) as z from w), e as (select tid, p, round(1 - (x*y*z + x*y*(1-z) + x*(1-y)*z + (1-x)*y*z), 9) as miss from x)
+    select tid, p from e where case when miss <= 0 then 255 else trunc(-10 * log10(miss)) end >= 2""",
+)
+def multi_sample_threshold(s, d):
+    """FLT-10: two of three samples pass with a quality of 2."""
+    o = fx.observations(s, d).where("q >= 13").withColumn("sample", F.col("k1") % 3)
+    n = [F.sum((F.col("sample") == k).cast("bigint")) for k in range(3)]
+    w = o.groupBy("tid", "p").agg(F.array(*[x / (x + 1.0) for x in n]).alias("probs"))
+    return w.where(extract.enough_samples(F.col("probs"), 2, 2)).select("tid", "p")
+
+
 @query("zoom_levels_aligned", f"with {fx.SITES} select tid, width, p // width as span, count(*) as n, min(dp) as low, max(dp) as high, cast(sum(dp) as bigint) as total, cast(sum(dp*dp) as bigint) as squares from sites, (values (1000::bigint), (4000), (16000)) v(width) group by all")
 def zoom_levels_aligned(s, d):
     return extract.zoom_aligned(_sites(s, d).withColumn("value", F.col("dp")), (1000, 4000, 16000))
@@ -459,11 +481,12 @@ def meth_posterior_hist(s, d):
     return _posterior(s, d)
 
 
-@query("meth_profile", f"with {POST} select round(sum(case when i < 30 then mass else 0 end), 3) as low, round(sum(case when i >= 30 and i < 70 then mass else 0 end), 3) as middle, round(sum(case when i >= 70 then mass else 0 end), 3) as high from hist")
+@query(
+    "meth_profile",
+    f"with {POST}, c as (select *, sum(mass) over (order by i) as cum, sum(mass) over () as total from hist) select round(sum(case when i < 30 then mass else 0 end), 3) as low, round(sum(case when i >= 30 and i < 70 then mass else 0 end), 3) as middle, round(sum(case when i >= 70 then mass else 0 end), 3) as high, round(min(case when cum >= 0.5e0 * total then i end) * 0.01e0, 2) as median from c",
+)
 def meth_profile(s, d):
-    part = lambda c: F.round(F.sum(F.when(c, F.col("mass")).otherwise(0.0)), 3)
-    i = F.col("i")
-    return _posterior(s, d).agg(part(i < 30).alias("low"), part((i >= 30) & (i < 70)).alias("middle"), part(i >= 70).alias("high"))
+    return stats.profile(_posterior(s, d))
 
 
 NONCPG = f"{fx.OBS}, n as (select case when rev = 1 then 9 - i else i end as cycle, base, ref, bs, (((p+1)*(p+1)*31 + (p+1)*17 + tid*101) % 1009) % 4 as nref, (((p-1)*(p-1)*31 + (p-1)*17 + tid*101) % 1009) % 4 as pref from obs where q >= 13 and p > 0)"
@@ -483,12 +506,12 @@ def noncpg_profile(s, d):
 
 @query(
     "gc_depth_corr",
-    f"with {fx.SITES}, {REF.format(n=200100)}, g as (select tid, p // 100 as bin, sum(case when ref in (1, 2) then 1 else 0 end) as gc from ref group by 1, 2), c as (select gc, dp, count(*) as n from sites s join g on g.tid = s.tid and g.bin = s.p // 100 group by 1, 2), w as (select sum(n)::double as w, sum(n*gc)::double as a, sum(n*dp)::double as b, sum(n*gc*gc)::double as aa, sum(n*dp*dp)::double as bb, sum(n*gc*dp)::double as ab from c) select round((ab*w - a*b) / sqrt((aa*w - a*a) * (bb*w - b*b)), 6) as corr from w",
+    f"with {fx.SITES}, {REF.format(n=200100)}, g as (select tid, p // 100 as bin, sum(case when ref in (1, 2) then 1 else 0 end) as gc from ref group by 1, 2), c as (select gc, dp, count(*) as n from sites s join g on g.tid = s.tid and g.bin = s.p // 100 group by 1, 2), k as (select dp as cut from (select dp, sum(sum(n)) over (order by dp) as cum, sum(sum(n)) over () as total from c group by dp) where cum * 100 >= total * 99 order by dp limit 1), w as (select sum(n)::double as w, sum(n*gc)::double as a, sum(n*dp)::double as b, sum(n*gc*gc)::double as aa, sum(n*dp*dp)::double as bb, sum(n*gc*dp)::double as ab from c where dp <= (select cut from k)) select round((ab*w - a*b) / sqrt((aa*w - a*a) * (bb*w - b*b)), 6) as corr from w",
 )
 def gc_depth_corr(s, d):
     g = pileup.gc_bins(_ref(s, 200100)).withColumnRenamed("tid", "t2")
     c = _sites(s, d).withColumn("b", F.expr("p div 100")).join(g, (F.col("tid") == F.col("t2")) & (F.col("b") == F.col("bin"))).groupBy("gc", "dp").agg(F.count("*").alias("n"))
-    return stats.weighted_pearson(c, "gc", "dp", "n")
+    return stats.weighted_pearson(stats.up_to_quantile(c, "dp", "n"), "gc", "dp", "n")
 
 
 HIST = f"{fx.SITES}, h as (select m2 // 100 as value, count(*) as n from sites group by 1), c as (select *, sum(n) over (order by value) as cum, sum(n) over () as total from h)"
@@ -624,12 +647,66 @@ def refsnp_json(s, d):
     return dbsnp.from_json(j).withColumn("maf", F.round("maf", 6))
 
 
-@query("metadata_normalise", "select 'b' || o_custkey % 20 as barcode, count(distinct 'd' || o_orderkey) as datasets, min('d' || o_orderkey) as first_dataset, max('d' || o_orderkey) as last_dataset from orders where o_orderstatus <> 'P' group by 1")
+@query("metadata_normalise", "select 'b' || o_custkey % 20 as barcode, count(distinct 'd' || o_orderkey) as datasets, min('d' || o_orderkey) as first_dataset, max('d' || o_orderkey) as last_dataset from orders group by 1")
 def metadata_normalise(s, d):
-    m = fx.table(s, d, "orders").where("o_orderstatus <> 'P'").select(F.concat(F.lit("b"), F.col("o_custkey") % 20).alias("Sample Barcode"), F.concat(F.lit("d"), "o_orderkey").alias("File_ID"), F.lit("x").alias("unknown"))
+    m = fx.table(s, d, "orders").select(F.concat(F.lit("b"), F.col("o_custkey") % 20).alias("Sample Barcode"), F.concat(F.lit("d"), "o_orderkey").alias("File_ID"), F.lit("x").alias("unknown"))
     return dbsnp.datasets_by_barcode(dbsnp.normalise_metadata(m))
 
 
+@query(
+    "gl_vector",
+    f"""with {MODEL}, l as (select tid, p, rb, [{", ".join(f"(g{g} - norm) / {LN10}" for g in range(10))}] as ll, {list(codes.GENOTYPES)!r}[cast(max_gt as int) + 1] as name from gt),
+    a as (select *, list_filter(case when name[1] = name[2] then [name[1]] else [name[1], name[2]] end, lambda x: x <> rb) as others from l),
+    w as (select *, case len(others) when 0 then [rb || rb] when 1 then [rb || rb, rb || others[1], others[1] || others[1]] else [rb || rb, rb || others[1], others[1] || others[1], rb || others[2], others[1] || others[2], others[2] || others[2]] end as pairs from a),
+    v as (select tid, p, list_transform(pairs, lambda x: round(greatest(-99.999e0, ll[list_position({list(codes.GENOTYPES)!r}, case when x[1] <= x[2] then x else x[2] || x[1] end)]), 5) + 0e0) as gl from w)
+    select tid, p, cast(len(gl) as bigint) as n, {", ".join(f"gl[{k}] as gl{k}" for k in range(1, 7))} from v""",
+)
+def gl_vector(s, d):
+    m = model.likelihoods(_sites(s, d)).select("tid", "p", codes.likelihood_vector(F.col("ll"), F.col("max_gt"), F.col("ref")).alias("gl"))
+    return m.select("tid", "p", F.size("gl").cast("bigint").alias("n"), *[(F.round(F.get("gl", F.lit(k)), 5) + F.lit(0.0)).alias(f"gl{k + 1}") for k in range(6)])
+
+
+@query(
+    "complete_records",
+    "select p_partkey * 3 as p, p_partkey % 5 as kind from part where p_size % 3 <> 0 and p_partkey % 5 in (0, 4)",
+)
+def complete_records(s, d):
+    """FLT-7: lines that lack an allele C or G, a base of the context, a count or the mapping quality go."""
+    k = F.col("p_partkey") % 5
+    cx = F.when(k == 1, "CX=ACG").otherwise("CX=TACGA")
+    sample = F.concat_ws(":", F.lit("0/1:9"), F.when(k == 2, "1,2,3").otherwise("1,2,3,4,5,6,7,8"), F.when(k == 3, ".").otherwise("40"))
+    alleles = F.when(F.col("p_size") % 3 == 0, "A\tT").when(F.col("p_size") % 3 == 1, "C\tT").otherwise("A\tT,G")
+    line = F.concat_ws("\t", F.lit("chr1"), F.col("p_partkey") * 3 + 1, F.lit("."), alleles, F.lit("30"), F.lit("PASS"), cx, F.lit("GT:DP:MC8:MQ"), sample)
+    r = text.vcf_records(fx.table(s, d, "part").select(line.alias("value")).where("value is not null"))
+    return text.complete_records(r).select("p", F.expr("p div 3 % 5").alias("kind"))
+
+
+@query("selected_names", "select distinct cast(p_partkey % 1500 as varchar) as name from part where p_size % 4 <> 3")
+def selected_names(s, d):
+    k = (F.col("p_partkey") % 1500).cast("string")
+    line = F.when(F.col("p_size") % 4 == 0, F.concat(F.lit("rs"), k, F.lit(" note"))).when(F.col("p_size") % 4 == 1, F.concat(F.lit("\t"), k)).when(F.col("p_size") % 4 == 2, k).otherwise("  ")
+    return dbsnp.selected_names(fx.table(s, d, "part").select(line.alias("value")))
+
+
+@query("lims_datasets", "select 'F' || o_custkey % 9 || '_' || o_orderkey % 8 || '_' || o_orderkey as dataset, 'F' || o_custkey % 9 || '_' || o_orderkey % 8 || '_0' as alternative, 'b' || o_custkey as barcode, 'l' || o_orderkey % 7 as library from orders where o_orderstatus <> 'F'")
+def lims_datasets(s, d):
+    one = F.struct(
+        F.concat(F.lit("F"), F.col("o_custkey") % 9).alias("flowcell_name"), (F.col("o_orderkey") % 8).alias("lane_number"), F.col("o_orderkey").cast("string").alias("index_name"), F.concat(F.lit("b"), "o_custkey").alias("sample_barcode"),
+        F.concat(F.lit("l"), F.col("o_orderkey") % 7).alias("library_barcode"), F.when(F.col("o_orderstatus") != "F", "pass").otherwise("fail").alias("passfail"),
+    )
+    docs = fx.table(s, d, "orders").groupBy((F.col("o_orderkey") % 97).alias("no")).agg(F.to_json(F.struct(F.collect_list(one).alias("objects"))).alias("value"))
+    return dbsnp.lims_datasets(docs)
+
+
+@query("header_regions", "select n_name as name, cast(0 as bigint) as start, n_nationkey * 1000 + 499 as stop from nation where n_regionkey in (0, 1, 3) and n_regionkey <> 1")
+def header_regions(s, d):
+    n = fx.table(s, d, "nation")
+    size = F.col("n_nationkey").cast("bigint") * 1000 + 500
+    header = text.sam_header(n.select(F.concat_ws("\t", F.lit("@SQ"), F.concat(F.lit("SN:"), "n_name"), F.concat(F.lit("LN:"), size)).alias("value")))
+    part = lambda *k: n.where(F.col("n_regionkey").isin(*k)).select(F.col("n_name").alias("name"), size.alias("len"))
+    return text.header_regions(header, part(0, 1, 2, 3, 4), part(0, 1, 3), part(1))
+
+
 # ---- planning and streams
 
 
@@ -711,12 +788,12 @@ def filter_table(s, d):
     return f.select(F.explode(reason).alias("reason")).groupBy("reason").agg(F.count("*").alias("n"))
 
 
-@query("stats_json", f"with {fx.READS}, t as (select {REASON} as reason, count(*) as reads, cast(sum(rlen) as bigint) as bases from reads group by 1) select reason, reads, bases from t where reads > 10")
+@query("stats_json", f"with {fx.READS}, t as (select {REASON} as reason, count(*) as reads, cast(sum(rlen) as bigint) as bases from reads group by 1) select reason, reads, bases from t")
 def stats_json(s, d):
     """SNK-7, SRC-27: the document as JSON text, read again and opened."""
     one = read_filter_cascade(s, d).agg(F.to_json(F.struct(F.map_from_entries(F.collect_list(F.struct("reason", F.struct("reads", "bases")))).alias("filterStats"))).alias("value"))
     back = one.select(F.from_json("value", "filterStats map<string,struct<reads:bigint,bases:bigint>>").alias("j"))
-    return back.select(F.explode("j.filterStats").alias("reason", "v")).select("reason", "v.reads", "v.bases").where("reads > 10")
+    return back.select(F.explode("j.filterStats").alias("reason", "v")).select("reason", "v.reads", "v.bases")
 
 
 @query("contig_sizes", "select n_name as name, (n_nationkey * 7919000) % 60000000 + 1000 as len, n_name || chr(9) || ((n_nationkey * 7919000) % 60000000 + 1000) as line from nation where (n_nationkey * 7919000) % 60000000 + 1000 >= 20000000 and n_regionkey <> 2")

@@ -67,6 +67,25 @@ def normalise_metadata(df: DataFrame) -> DataFrame:
     return df.select(*[F.col(f"`{c}`").alias(n) for c, n in names if n])
 
 
+def selected_names(df: DataFrame, column: str = "value") -> DataFrame:
+    """SRC-20: distinct names of a list of selected variants: the first word of a line, without a leading rs; empty lines have none."""
+    word = F.regexp_extract(column, r"^\s*(\S+)", 1)
+    return df.select(F.regexp_replace(word, "^rs", "").alias("name")).where(word != "").distinct()
+
+
+LIMS = "objects array<struct<flowcell_name:string,lane_number:bigint,index_name:string,passfail:string,sample_barcode:string,library_barcode:string>>"
+
+
+def lims_datasets(df: DataFrame, column: str = "value") -> DataFrame:
+    """SRC-24: datasets of JSON documents (one a row): flowcell, lane and index make the name, lane 0 the other one; those that did not pass go, one without a name raises."""
+    x = df.select(F.explode(F.from_json(column, LIMS)["objects"]).alias("x")).where("x is not null").select("x.*")
+    named = F.col("flowcell_name").isNotNull() & F.col("lane_number").isNotNull() & F.col("index_name").isNotNull()
+    lane = F.concat_ws("_", "flowcell_name", F.col("lane_number").cast("string"))
+    dataset = F.when(named, F.concat(lane, F.lit("_"), "index_name")).otherwise(F.raise_error(F.lit("an object without flowcell, lane or index")).cast("string"))
+    out = x.select(dataset.alias("dataset"), F.concat(lane, F.lit("_0")).alias("alternative"), F.col("sample_barcode").alias("barcode"), F.col("library_barcode").alias("library"), "passfail")
+    return out.where("passfail = 'pass'").drop("passfail")
+
+
 def conflicts(meta: DataFrame) -> DataFrame:
     return meta.groupBy("dataset").agg(F.count_distinct("barcode").alias("barcodes")).where("barcodes > 1")
 

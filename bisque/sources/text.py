@@ -72,6 +72,27 @@ def fasta_md5(parts: DataFrame) -> DataFrame:
     return parts.groupBy("name").agg(whole.alias("seq")).select("name", F.length("seq").cast("bigint").alias("len"), F.md5("seq").alias("m5"))
 
 
+def fasta_contigs(spark: SparkSession, path: str, tile: int = 1 << 20) -> DataFrame:
+    """SRC-5: (name, len, no, bases) of a FASTA file, a row a tile; names end at white space. A record, one contig, is the unit of reading."""
+    f = F.regexp_extract("value", r"^>?([^\s]*)[^\n]*\n?([\s\S]*)$", 2)
+    rows = spark.read.text(path, lineSep="\n>").select(F.regexp_extract("value", r"^>?([^\s]*)", 1).alias("name"), F.regexp_replace(f, r"[^!-~]", "").alias("seq")).where("name <> ''")
+    rows = rows.withColumn("len", F.length("seq").cast("bigint")).withColumn("no", F.explode(F.sequence(F.lit(0), F.expr(f"greatest(len - 1, 0) div {tile}").cast("int"))))
+    return rows.select("name", "len", "no", F.substring("seq", F.col("no") * tile + 1, F.lit(tile)).alias("bases"))
+
+
+def header_regions(header: DataFrame, reference: DataFrame, include: DataFrame | None = None, exclude: DataFrame | None = None) -> DataFrame:
+    """SRC-10: whole contigs of the header that are included (any, without a list) and not excluded; one that the reference has not, or not in this length, raises."""
+    rows = header.select("name", "len")
+    if include is not None:
+        rows = rows.join(include.select("name").distinct(), "name", "left_semi")
+    if exclude is not None:
+        rows = rows.join(exclude.select("name").distinct(), "name", "left_anti")
+    j = rows.join(reference.select(F.col("name").alias("n2"), F.col("len").alias("len2")), F.col("name") == F.col("n2"), "left")
+    wrong = lambda why: F.raise_error(F.concat(F.lit(why), F.col("name"))).cast("bigint")
+    stop = F.when(F.col("len2").isNull(), wrong("not in the reference: ")).when(F.col("len") != F.col("len2"), wrong("lengths differ: ")).otherwise(F.col("len") - 1)
+    return j.select("name", F.lit(0).cast("bigint").alias("start"), stop.alias("stop"))
+
+
 def bed_regions(df: DataFrame, contigs: DataFrame, column: str = "value") -> DataFrame:
     """SRC-8: regions of BED lines, stop inclusive and clamped to the contig; lines with fewer fields or an empty range raise."""
     f = F.split(F.trim(F.col(column)), "\t")
@@ -93,17 +114,24 @@ def vcf_lines(sites: DataFrame) -> DataFrame:
 
 
 def vcf_records(df: DataFrame, column: str = "value") -> DataFrame:
-    """SRC-11, SRC-13: records with typed fields; INFO and FORMAT become maps."""
+    """SRC-11, SRC-13: records with typed fields; INFO and FORMAT become maps; numbers not given (".") are null."""
     f = F.split(F.col(column), "\t")
     info = F.map_from_entries(F.transform(F.filter(F.split(f[7], ";"), lambda x: x != "."), lambda x: F.struct(F.substring_index(x, "=", 1), F.regexp_replace(x, "^[^=]*=?", ""))))
     fmt = F.map_from_arrays(F.split(f[8], ":"), F.split(f[9], ":"))
     return df.where(~F.col(column).startswith("#")).select(
-        f[0].alias("chrom"), (f[1].cast("bigint") - 1).alias("p"), F.when(f[2] != ".", f[2]).alias("id"), f[3].alias("ref"), F.split(f[4], ",").alias("alts"), f[5].cast("int").alias("qual"), f[6].alias("filter"),
-        F.element_at(info, "CX").alias("cx"), F.element_at(fmt, "GT").alias("GT"), F.element_at(fmt, "DP").cast("int").alias("DP"), F.element_at(fmt, "GQ").cast("int").alias("GQ"),
-        F.transform(F.split(F.element_at(fmt, "MC8"), ","), lambda x: x.cast("int")).alias("MC8"),
+        f[0].alias("chrom"), (f[1].cast("bigint") - 1).alias("p"), F.when(f[2] != ".", f[2]).alias("id"), f[3].alias("ref"), F.split(f[4], ",").alias("alts"), f[5].try_cast("int").alias("qual"), f[6].alias("filter"),
+        F.element_at(info, "CX").alias("cx"), F.element_at(fmt, "GT").alias("GT"), F.element_at(fmt, "DP").try_cast("int").alias("DP"), F.element_at(fmt, "GQ").try_cast("int").alias("GQ"), F.element_at(fmt, "MQ").try_cast("int").alias("MQ"),
+        F.transform(F.split(F.element_at(fmt, "MC8"), ","), lambda x: x.try_cast("int")).alias("MC8"),
     )
 
 
+def complete_records(records: DataFrame) -> DataFrame:
+    """FLT-7 over :func:`vcf_records`: records with an allele C or G, a context of five bases, all eight counts and a mapping quality."""
+    alleles = F.concat(F.array("ref"), "alts")
+    whole = (F.length("cx") == 5) & (F.size("MC8") == 8) & ~F.exists("MC8", lambda x: x.isNull()) & F.col("MQ").isNotNull()
+    return records.where(F.exists(alleles, lambda a: a.isin("C", "G")) & F.coalesce(whole, F.lit(False)))
+
+
 HEADER = (
     '##fileformat=VCFv4.2', '##FILTER=<ID=fail,Description="No sample passed">', '##FILTER=<ID=q20,Description="Quality below 20">', '##FILTER=<ID=qd2,Description="Quality by depth below 2">',
     '##FILTER=<ID=fs60,Description="Strand bias above 60">', '##FILTER=<ID=mq40,Description="RMS mapping quality below 40">', '##INFO=<ID=CX,Number=1,Type=String,Description="Reference context">',

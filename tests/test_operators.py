@@ -187,3 +187,40 @@ def test_required_refuses_cycles(spark):
     assert {r.task: r.depth for r in of("a").collect()} == {"a": 0, "b": 1, "c": 1, "d": 2}
     with pytest.raises(ValueError):
         of("x")
+
+
+def test_fasta_contigs(spark, tmp_path):
+    f = tmp_path / "r.fa"
+    f.write_text(">c1 first > contig\nACGT\nAC\n>c2\nnnA\n>c3\n")
+    got = [tuple(x) for x in text.fasta_contigs(spark, str(f), tile=4).orderBy("name", "no").collect()]
+    assert got == [("c1", 6, 0, "ACGT"), ("c1", 6, 1, "AC"), ("c2", 3, 0, "nnA"), ("c3", 0, 0, "")]
+
+
+def test_header_regions_are_checked(spark):
+    header, kind = spark.createDataFrame([("a", 9), ("b", 5)], "name string, len bigint"), "name string, len bigint"
+    for reference, why in (([("a", 9)], "not in the reference: b"), ([("a", 9), ("b", 6)], "lengths differ: b")):
+        with pytest.raises(Exception, match=why):
+            text.header_regions(header, spark.createDataFrame(reference, kind)).collect()
+
+
+def test_likelihood_vector(spark):
+    ll = [-float(k) for k in range(9)] + [-200.0]
+    rows = [(ll, 4, 1), (ll, 1, 0), (ll, 6, 0), (ll, 9, 3), (ll, 4, None)]
+    got = [list(x[0]) for x in spark.createDataFrame(rows, "ll array<double>, gt int, ref int").select(codes.likelihood_vector(F.col("ll"), F.col("gt"), F.col("ref"))).collect()]
+    assert got == [[-4.0], [0.0, -1.0, -4.0], [0.0, -1.0, -4.0, -3.0, -6.0, -99.999], [-99.999], [-99.999, -99.999, -4.0]]
+
+
+def test_pair_probability_and_phred(spark):
+    p, q = [0.1, 0.2, 0.0, 0.0, 0.7, 0.0, 0.0, 0.0, 0.0, 0.0], [0.0, 0.0, 0.0, 0.0, 0.0, 0.0, 0.0, 0.6, 0.3, 0.1]
+    logs = lambda v: [math.log(x) if x else -1e9 for x in v]
+    a, b = F.col("a"), F.col("b")
+    r = spark.createDataFrame([(logs(p), logs(q))], "a array<double>, b array<double>").select(extract.pair_probability(a, b), extract.pair_probability(a, b, het=True)).first()
+    assert (round(r[0], 9), round(r[1], 9)) == (0.42, 0.81)
+    got = spark.createDataFrame([(0.0,), (-1.0,), (1.0,), (2.0,), (0.05,), (1e-30,)], "z double").select(codes.error_phred(F.col("z")))
+    assert [x[0] for x in got.collect()] == [255, 255, 0, 0, 13, 255]
+
+
+def test_lims_names(spark):
+    doc = '{"objects":[{"flowcell_name":"F","lane_number":2,"passfail":"pass"}]}'
+    with pytest.raises(Exception, match="without flowcell"):
+        dbsnp.lims_datasets(spark.createDataFrame([(doc,)], "value string")).collect()
