@@ -33,6 +33,7 @@ MENU = (
     "archive", "categories", "products", "services", "impressum", "kontakt", "datenschutz", "startseite", "accueil", "inicio", "contacto",
 )
 BARS = ("|", "·", "•", "›", "»", "→")
+IN_MENU, BAR = frozenset(MENU), re.compile(f"[{''.join(BARS)}]")
 #: A phrase is a whole one: no letter or digit stands beside it.
 PHRASE = re.compile(f"(?:^|[^a-z0-9])(?:{'|'.join(BOILERPLATE)})(?:$|[^a-z0-9])")
 
@@ -60,9 +61,9 @@ class Rules:
 
 def line_fails(line: str, words: list[str], r: Rules) -> bool:
     n = len(words)
-    if 100 * sum(map(words.count, BARS)) > r.bar_percent * n:
+    if BAR.search(line) and 100 * sum(map(words.count, BARS)) > r.bar_percent * n:
         return True
-    if r.capital_words <= n <= r.phrase_words and 100 * sum(1 for w in words if w.lower() in MENU) > r.menu_percent * n:
+    if r.capital_words <= n <= r.phrase_words and 100 * sum(w.lower() in IN_MENU for w in words) > r.menu_percent * n:
         return True
     if SYMBOL.search(line) and 100 * sum(1 for w in words if SYMBOL.search(w)) > r.symbol_percent * n:
         return True
