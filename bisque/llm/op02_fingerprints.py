@@ -1,7 +1,10 @@
 """Document fingerprints: I-Match over randomised lexica.
 
-Terms are words, hashed to a fixed number of slots. Document frequencies of the slots over the whole corpus give the lexicon: the slots whose
-frequency lies in a band (neither noise nor stop words). Its size is fixed by the number of slots, one bit each, so every task can hold it.
+Terms are words, known by 64-bit hashes. Document frequencies of the terms over the whole corpus give the lexicon: the terms whose frequency
+lies in a band (neither noise nor stop words). As each of them is in a share ``low`` of the documents at least, there are at most 1 / ``low``
+times as many as a document has distinct terms on average, however large the corpus. Tasks hold the lexicon as a filter of bits, sized by the
+number of terms kept: at least SPARE bits a term up to 2^MAX_BITS in all, so about one term in SPARE outside the band is taken for one inside,
+the same ones in every text.
 A document keeps its distinct terms of the lexicon, sorted, and hashes them: once as they are, and once for each of several random subsets of
 the lexicon. Subsets come in chains of falling rates (a quarter, a sixteenth, ...), so that texts of any length have subsets in which they hold
 a term or two, and a changed part leaves many of the hashes alone. The likeness of two fingerprints is the share of equal hashes at the
@@ -22,40 +25,54 @@ from pyspark.sql import functions as F
 
 from . import common
 
-SLOT_BITS = 20
+#: The filter: least and most bits (as powers of two; 16 MB at most), and bits a term.
+MIN_BITS, MAX_BITS, SPARE = 12, 27, 64
 #: Band of document frequencies, as shares of all documents.
 LOW, HIGH = 0.0005, 0.25
 CHAINS, LEVELS, RATE = 12, 5, 4
+#: A text with fewer terms of the lexicon is fingerprinted by all its terms: short texts are told apart, but an edit of theirs moves more hashes.
 FEW = 8
 NO_TERM = 0
 
 
 def terms(text: Column) -> Column:
-    """Distinct slots of a text's words."""
+    """Hashes of a text's distinct words."""
     words = F.regexp_extract_all(F.lower(text), F.lit(r"[^\x20\x09-\x0D]+"), F.lit(0))
-    slots = F.transform(words, lambda w: F.pmod(F.xxhash64(w), F.lit(1 << SLOT_BITS)).cast("int"))
-    return F.when(text == "", F.array().cast("array<int>")).otherwise(F.array_distinct(slots))
+    return F.when(text == "", F.array().cast("array<bigint>")).otherwise(F.array_distinct(F.transform(words, lambda w: F.xxhash64(w))))
+
+
+def band(docs: DataFrame, low: float = LOW, high: float = HIGH) -> DataFrame:
+    """(term, df): the lexicon, with document frequencies; one partial and final aggregation over all documents."""
+    found = docs.select(F.explode(terms(F.coalesce(F.col("text").cast("string"), F.lit("")))).alias("term")).groupBy("term").agg(F.count("*").alias("df"))
+    total = docs.agg(F.count("*").alias("n")).scalar()
+    return found.where((F.col("df") >= total * low) & (F.col("df") <= total * high))
 
 
 def lexicon(docs: DataFrame, low: float = LOW, high: float = HIGH) -> DataFrame:
-    """One row: ``bits``, the slots of the band, 64 to a number."""
+    """One row: ``bits``, the filter of the band's terms, 64 bits to a number."""
     spark = docs.sparkSession
-    found = docs.select(F.explode(terms(F.coalesce(F.col("text").cast("string"), F.lit("")))).alias("slot")).groupBy("slot").agg(F.count("*").alias("df"))
-    total = docs.agg(F.count("*").alias("n")).scalar()
-    band = found.where((F.col("df") >= total * low) & (F.col("df") <= total * high))
-    words = band.groupBy((F.col("slot") / 64).cast("int").alias("i")).agg(F.bit_or(F.expr("shiftleft(1L, slot % 64)")).alias("b"))
-    every = spark.range(1 << (SLOT_BITS - 6)).select(F.col("id").cast("int").alias("k"))
+    kept = common.stored(band(docs, low, high))
+    k = min(MAX_BITS, max(MIN_BITS, (SPARE * kept.count() - 1).bit_length()))
+    slot = F.pmod("term", F.lit(1 << k)).cast("int").alias("slot")
+    words = kept.select(slot).groupBy((F.col("slot") / 64).cast("int").alias("i")).agg(F.bit_or(F.expr("shiftleft(1L, slot % 64)")).alias("b"))
+    every = spark.range(1 << (k - 6)).select(F.col("id").cast("int").alias("k"))
     whole = every.join(words, F.col("k") == F.col("i"), "left").select("k", F.coalesce("b", F.lit(0).cast("long")).alias("b"))
     return whole.agg(F.transform(F.array_sort(F.collect_list(F.struct("k", "b"))), lambda x: x["b"]).alias("bits"))
 
 
-def with_hashes(df: DataFrame, text: str, bits: Column, out: str) -> DataFrame:
+def with_hashes(df: DataFrame, text: str, bits: Column, out: str, few: int = FEW) -> DataFrame:
     """``df`` with the array of a text's 1 + CHAINS * LEVELS hashes; 0 stands for no term."""
     all_, kept = f"{out}_all", f"{out}_kept"
-    df = df.withColumn(all_, terms(F.col(text))).withColumn("bits__", bits)
-    inside = lambda s: F.getbit(F.element_at("bits__", (s / 64).cast("int") + 1), s % 64) == 1
-    df = df.withColumn(kept, F.filter(all_, inside)).drop("bits__")
-    df = df.withColumn(kept, F.array_sort(F.when(F.size(kept) < FEW, F.col(all_)).otherwise(F.col(kept)))).drop(all_)
+    # a generator's output stays a plain column, so the optimiser puts the filter, used once, into the expression; as a column of its own it would
+    # be copied into every row
+    df = df.select("*", F.explode(F.array(terms(F.col(text)))).alias(all_)).withColumn("bits__", bits)
+
+    def inside(t, words):
+        slot = F.pmod(t, F.size(words).cast("long") * 64)
+        return F.getbit(F.element_at(words, F.shiftright(slot, 6).cast("int") + 1), slot.cast("int") % 64) == 1
+
+    df = df.withColumn(kept, F.transform(F.array("bits__"), lambda words: F.filter(F.col(all_), lambda t: inside(t, words)))[0]).drop("bits__")
+    df = df.withColumn(kept, F.array_sort(F.when(F.size(kept) < few, F.col(all_)).otherwise(F.col(kept)))).drop(all_)
     mark = lambda l: F.when(F.size(l) == 0, F.lit(NO_TERM)).otherwise(F.xxhash64(l).bitwiseAND(F.lit(0xFFFF)).cast("int").bitwiseOR(F.lit(1 << 16)))
     parts = [F.array(mark(F.col(kept)))]
     before, names = None, [kept]
@@ -124,10 +141,10 @@ def next_ids(docs: DataFrame, n_splits: int | None = None) -> DataFrame:
     return rows.select("id", F.coalesce(F.lead("id").over(W.partitionBy("bucket").orderBy("id")), follower).alias("next_id"), "need")
 
 
-def fingerprint(docs: DataFrame, bits: Column | None = None) -> DataFrame:
+def fingerprint(docs: DataFrame, bits: Column | None = None, few: int = FEW) -> DataFrame:
     """``docs`` (doc_id, text) with its hashes as ``fp``, by the lexicon of the same documents unless one is given."""
     base = docs.select("doc_id", F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
-    return with_hashes(base, "text", lexicon(docs).scalar() if bits is None else bits, "fp")
+    return with_hashes(base, "text", lexicon(docs).scalar() if bits is None else bits, "fp", few)
 
 
 def edited_neighbours(docs: DataFrame) -> DataFrame:

@@ -6,6 +6,7 @@ import random
 import re
 
 import pytest
+import xxhash
 from pyspark.sql import functions as F
 
 import corpus_pipeline
@@ -62,8 +63,55 @@ def test_lexicon_is_the_band(spark):
     docs = spark.createDataFrame([(i, f"all w{i % 5} only{i}") for i in range(100)], "doc_id int, text string")
     bits = op02_fingerprints.lexicon(docs, 0.05, 0.5).first()["bits"]
     on = {64 * i + k for i, b in enumerate(bits) for k in range(64) if b >> k & 1}
-    slot = lambda w: spark.sql(f"select pmod(xxhash64('{w}'), {1 << op02_fingerprints.SLOT_BITS})").first()[0]
+    slot = lambda w: xxhash.xxh64_intdigest(w, 42) % (64 * len(bits))
     assert on == {slot(f"w{i}") for i in range(5)}
+    assert {r.term % 2**64: r.df for r in op02_fingerprints.band(docs, 0.05, 0.5).collect()} == {xxhash.xxh64_intdigest(f"w{i}", 42): 20 for i in range(5)}
+
+
+def prints_of(text, on, n_bits):
+    """A text's hashes by the docstring: the whole lexicon, then every chain's subset at every rate."""
+    signed = lambda h: h - 2**64 if h >> 63 else h
+    number = lambda v, size, seed: xxhash.xxh64_intdigest(v.to_bytes(size, "little", signed=True), seed)
+    every = {signed(xxhash.xxh64_intdigest(w.lower(), 42)) for w in re.findall(r"[^\x20\x09-\x0D]+", text)}
+    kept = {h for h in every if h % n_bits in on}
+    kept = sorted(every if len(kept) < op02_fingerprints.FEW else kept)
+
+    def mark(terms):
+        h = 42
+        for t in terms:
+            h = number(t, 8, h)
+        return f"{h & 0xFFFF:04x}" if terms else "----"
+
+    out, level = [mark(kept)], [kept] * op02_fingerprints.CHAINS
+    for k in range(1, op02_fingerprints.LEVELS + 1):
+        level = [[t for t in l if signed(number(j, 4, number(t, 8, 42))) >> 4 * k & 3 == 0] for j, l in enumerate(level)]
+        out += map(mark, level)
+    return out
+
+
+def alike(a, b):
+    if a == b:
+        return 1.0
+    n = op02_fingerprints.CHAINS
+    for k in range(op02_fingerprints.LEVELS, 0, -1):
+        spoken = [x == y for x, y in list(zip(a, b))[1 + n * (k - 1) : 1 + n * k] if (x, y) != ("----", "----")]
+        if 2 * len(spoken) >= n:
+            return sum(spoken) / len(spoken)
+    return float(a[0] == b[0])
+
+
+def test_fingerprints_against_brute_force(spark):
+    docs = sorted((r.doc_id, r.text or "") for r in common.table(spark, SF, "documents").collect())
+    df = collections.Counter(w for _, t in docs for w in {x.lower() for x in re.findall(r"[^\x20\x09-\x0D]+", t)})
+    band = [w for w, n in df.items() if op02_fingerprints.LOW * len(docs) <= n <= op02_fingerprints.HIGH * len(docs)]
+    n_bits = 64 * len(op02_fingerprints.lexicon(common.table(spark, SF, "documents")).first()["bits"])
+    assert n_bits >= op02_fingerprints.SPARE * len(band)
+    on = {xxhash.xxh64_intdigest(w, 42) % n_bits for w in band}
+    want, new = {k: prints_of(t, on, n_bits) for k, t in docs}, {k: prints_of(t, on, n_bits) for k, t in edited(docs).items()}
+    after = {k: docs[(i + 1) % len(docs)][0] for i, (k, _) in enumerate(docs)}
+    for r in op02_fingerprints.query(spark, SF).collect():
+        assert (r.fingerprint, r.edited_fingerprint) == ("".join(want[r.doc_id]), "".join(new[r.doc_id]))
+        assert (r.near_edited, r.near_next) == (alike(want[r.doc_id], new[r.doc_id]), alike(want[r.doc_id], want[after[r.doc_id]]))
 
 
 def test_fingerprints_odd_rows(spark, odd):
