@@ -6,6 +6,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+#: Tiles of 2^20 positions.
+TILE_BITS = 20
 ORDER = ("pos", "k1", "k2", "k3", "ln", "qty", "sd")
 #: FLT-1, in order: the first that holds names the reason.
 REASONS = (
@@ -31,11 +33,27 @@ def filter_stats(reads: DataFrame) -> DataFrame:
 
 
 def coverage_islands(reads: DataFrame, gap: int = 2) -> DataFrame:
-    """WIN-1: blocks of reads; a new one begins where a read starts beyond the furthest end so far + gap."""
-    by = W.partitionBy("tid").orderBy(*ORDER)
-    before = F.max(F.col("pos") + F.col("rlen")).over(by.rowsBetween(W.unboundedPreceding, -1))
-    flagged = reads.withColumn("new", (before.isNull() | (F.col("pos") > before + gap)).cast("bigint"))
-    return flagged.withColumn("block_id", F.sum("new").over(by.rowsBetween(W.unboundedPreceding, 0))).drop("new")
+    """WIN-1: blocks of reads; a new one begins where a read starts beyond the furthest end so far + gap.
+
+    A contig's reads are dealt by tiles of positions; what runs along the contig, the furthest end and the number of blocks before a tile, comes
+    from one row a tile. Reads that ORDER does not tell apart are in one block, whichever comes first; a null length counts as 0.
+    """
+    r = reads.withColumns({"__tile": F.coalesce(F.shiftright(F.col("pos").cast("bigint"), TILE_BITS), F.lit(-1).cast("bigint")), "__end": F.col("pos") + F.coalesce("rlen", F.lit(0))})
+    by = W.partitionBy("tid", "__tile").orderBy(*ORDER)
+    tiles = W.partitionBy("tid").orderBy("__tile").rowsBetween(W.unboundedPreceding, -1)
+    r = r.withColumn("__before", F.max("__end").over(by.rowsBetween(W.unboundedPreceding, -1)))
+    r = _beside(r, r.groupBy("tid", "__tile").agg(F.max("__end").alias("__far")).select("tid", "__tile", F.max("__far").over(tiles).alias("__carried")))
+    before = F.greatest("__before", "__carried")  # of what is known
+    r = r.withColumn("__new", (before.isNull() | (F.col("pos") > before + gap)).cast("bigint"))
+    r = r.withColumn("__no", F.sum("__new").over(by))
+    r = _beside(r, r.groupBy("tid", "__tile").agg(F.sum("__new").alias("__blocks")).select("tid", "__tile", F.sum("__blocks").over(tiles).alias("__first")))
+    return r.select(*reads.columns, (F.coalesce("__no", F.lit(0)) + F.coalesce("__first", F.lit(0))).alias("block_id"))
+
+
+def _beside(rows: DataFrame, tiles: DataFrame) -> DataFrame:
+    """``rows`` with the other columns of their tile's row."""
+    t = tiles.withColumnsRenamed({"tid": "__tid", "__tile": "__of"})
+    return rows.join(t, F.col("tid").eqNullSafe(F.col("__tid")) & (F.col("__tile") == F.col("__of"))).drop("__tid", "__of")
 
 
 def island_table(reads: DataFrame, gap: int = 2) -> DataFrame:

@@ -2,6 +2,7 @@
 
 import itertools
 import math
+import random
 
 import pytest
 from pyspark.sql import Row
@@ -224,3 +225,23 @@ def test_lims_names(spark):
     doc = '{"objects":[{"flowcell_name":"F","lane_number":2,"passfail":"pass"}]}'
     with pytest.raises(Exception, match="without flowcell"):
         dbsnp.lims_datasets(spark.createDataFrame([(doc,)], "value string")).collect()
+
+
+@pytest.mark.parametrize("tile_bits", [3, 6, 20])
+def test_islands_over_tiles(spark, monkeypatch, tile_bits):
+    """Blocks by a walk along each contig, with reads longer than many tiles, empty tiles, a contig of null and repeated rows."""
+    monkeypatch.setattr(reads, "TILE_BITS", tile_bits)
+    rng = random.Random(tile_bits)
+    rows = [(rng.choice([1, 2, None]), rng.randrange(3000), i, 0, 0, 0, 0, 0, rng.choice([0, 3, 5, 9, 200])) for i in range(160)] + [(2, 40, 1, 0, 0, 0, 0, 0, 5)] * 3
+    df = spark.createDataFrame(rows, "tid int, pos int, k1 int, k2 int, k3 int, ln int, qty int, sd int, rlen int")
+    want, state = [], {}
+    for r in sorted(rows, key=lambda r: (str(r[0]), *r[1:8])):
+        end, no = state.get(r[0], (None, 0))
+        no += end is None or r[1] > end + 2
+        state[r[0]] = (r[1] + r[8] if end is None else max(end, r[1] + r[8]), no)
+        want.append((r[0], r[1], r[2], no))
+    got = reads.coverage_islands(df)
+    assert got.columns == [*df.columns, "block_id"]
+    assert sorted(((r.tid, r.pos, r.k1, r.block_id) for r in got.collect()), key=repr) == sorted(want, key=repr)
+    assert len({(w[0], w[3]) for w in want}) > 20
+    assert reads.coverage_islands(df.limit(0)).isEmpty()
