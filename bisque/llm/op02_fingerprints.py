@@ -150,8 +150,9 @@ def fingerprint(docs: DataFrame, bits: Column | None = None, few: int = FEW) ->
 def edited_neighbours(docs: DataFrame) -> DataFrame:
     bits = common.stored(lexicon(docs)).scalar()
     # both joins below read the same shuffle of the texts by id: it is the same plan, so Spark runs it once
-    base = fingerprint(docs.where(F.col("doc_id").isNotNull()), bits)
-    pairs = next_ids(base.select("doc_id", "text"))
+    known = docs.where(F.col("doc_id").isNotNull())
+    base = fingerprint(known, bits)
+    pairs = next_ids(known.select("doc_id", F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text")))
     heads = base.join(pairs, F.col("doc_id") == F.col("next_id")).select("id", F.struct(F.expr("left(text, need)").alias("head"), F.col("fp").alias("next_fp")).alias("h"))
     heads = heads.groupBy("id").agg(F.min("h").alias("h"))
     both = base.join(heads, F.col("doc_id") == F.col("id")).drop("id")
