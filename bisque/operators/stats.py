@@ -16,6 +16,13 @@ def histogram(df: DataFrame, value: Column, **parts: Column) -> DataFrame:
     return df.groupBy(value.alias("value")).agg(F.count("*").alias("n"), *[count_if(c).alias(k) for k, c in parts.items()])
 
 
+def filter_table(df: DataFrame) -> DataFrame:
+    """Sites by each reason of their filter string, with the rows All and PASS even where they count none."""
+    always = df.sparkSession.range(1).select(F.explode(F.array(F.lit("All"), F.lit("PASS"))).alias("reason"), F.lit(0).alias("one"))
+    reason = F.concat(F.array(F.lit("All")), F.split("filter", ";"))
+    return df.select(F.explode(reason).alias("reason"), F.lit(1).alias("one")).unionByName(always).groupBy("reason").agg(F.sum("one").alias("n"))
+
+
 def contig_rollup(df: DataFrame) -> DataFrame:
     """AGG-6: counts per contig and in all (tid null)."""
     return df.rollup("tid").agg(F.count("*").alias("sites"), count_if(F.col("variant")).alias("variants"), count_if(F.col("passed")).alias("passed_sites"), count_if(F.col("variant") & F.col("passed")).alias("passed_variants"))

@@ -783,9 +783,7 @@ def sort_check(s, d):
 
 @query("filter_table", f"with {fx.SITES}, {SF} select unnest(string_split(filter, ';')) as reason, count(*) as n from flt where filter <> 'PASS' group by 1 union all select 'All', count(*) from flt union all select 'PASS', count(*) from flt where filter = 'PASS'")
 def filter_table(s, d):
-    f = _filtered(s, d)
-    reason = F.concat(F.array(F.lit("All")), F.split("filter", ";"))
-    return f.select(F.explode(reason).alias("reason")).groupBy("reason").agg(F.count("*").alias("n"))
+    return stats.filter_table(_filtered(s, d))
 
 
 @query("stats_json", f"with {fx.READS}, t as (select {REASON} as reason, count(*) as reads, cast(sum(rlen) as bigint) as bases from reads group by 1) select reason, reads, bases from t")
