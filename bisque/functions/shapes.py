@@ -46,6 +46,24 @@ def best_bearing(ll: Column, ref: Column) -> Column:
     return F.when(best.isin(1, 4, 6), "C").when(best.isin(2, 7, 8), "G").otherwise(F.when(ref == 2, "G").otherwise("C"))
 
 
+#: By k, whether the double next to (2k + 1) / 2000 is written with three decimals as k / 1000 (1) or as (k + 1) / 1000 (0).
+HALVES_DOWN = "".join(str(int(f"{(2 * k + 1) / 2000:.3f}" == f"{k / 1000:.3f}")) for k in range(1000))
+
+
+def share_text(part: Column, total: Column) -> Column:
+    """part / total with three decimals as C writes the double, for whole numbers 0 <= part <= total; null for a total of 0.
+
+    Spark's ``format_string`` rounds the shortest decimal form upwards at a half; C rounds the double itself, and a double that is a half to the even digit.
+    """
+    part, total = part.cast("bigint"), F.nullif(total.cast("bigint"), F.lit(0).cast("bigint"))
+    steps = F.call_function("div", part * 2000, total)
+    low = F.call_function("div", steps, F.lit(2))
+    half = (part * 2000 % total == 0) & (steps % 2 == 1)
+    down = half & (F.substring(F.lit(HALVES_DOWN), low.cast("int") + 1, F.lit(1)) == "1")
+    n = low + (steps % 2) - down.cast("bigint")
+    return F.concat(F.when(n == 1000, "1.").otherwise("0."), F.lpad((n % 1000).cast("string"), 3, "0"))
+
+
 def human_size(bases: Column) -> Column:
     """PRJ-31."""
     return (

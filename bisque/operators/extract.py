@@ -7,7 +7,7 @@ from collections.abc import Iterator
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions import codes
+from ..functions import codes, shapes
 from .sites import with_neighbours
 
 
@@ -22,7 +22,7 @@ def cpg_pairs(sites: DataFrame, inform: int = 1, het: bool = False) -> DataFrame
     non_conv, conv = F.col("c5") + F.col("next_c6"), F.col("c7") + F.col("next_c4")
     mq = F.floor(F.sqrt((F.col("m2") + F.col("next_m2")) / (F.col("dp") + F.col("next_dp"))) + 0.5).cast("int")
     enough = (F.col("c5") + F.col("c7") >= inform) | (F.col("next_c6") + F.col("next_c4") >= inform)
-    return pair.where(enough).select("tid", "p", non_conv.alias("non_conv"), conv.alias("conv"), F.when(non_conv + conv > 0, F.format_string("%.3f", (non_conv / (non_conv + conv)).cast("double"))).otherwise(".").alias("meth"), mq.alias("mq"))
+    return pair.where(enough).select("tid", "p", non_conv.alias("non_conv"), conv.alias("conv"), F.when(non_conv + conv > 0, shapes.share_text(non_conv, non_conv + conv)).otherwise(".").alias("meth"), mq.alias("mq"))
 
 
 def cpg_strands(sites: DataFrame) -> DataFrame:

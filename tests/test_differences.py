@@ -1,8 +1,11 @@
 """Queries against their SQL where small tables agree by chance: no site passes, halves at the last digit, ties of likelihoods."""
 
 import pytest
+from pyspark.sql import functions as F
 
 from bisque import queries as engine
+from bisque.functions import shapes
+from bisque.operators import extract
 
 from .test_queries import SF
 
@@ -25,3 +28,16 @@ def test_filter_table_without_passing_sites(spark, tmp_path, rows):
     spark.read.parquet(f"{SF}/lineitem.parquet").where(rows).write.parquet(str(tmp_path / "lineitem.parquet"))
     got, want = against_sql(spark, "filter_table", tmp_path)
     assert ("PASS", 0) in want and got == want
+
+
+def test_shares_as_c_writes_them(spark):
+    n = [(a, b) for b in (*range(1, 260), 400, 1000, 1600, 2000, 16000) for a in range(b + 1)] + [(7, 10**15), (10**15 // 16, 10**15)]
+    got = spark.createDataFrame(n, "a bigint, b bigint").select("a", "b", shapes.share_text(F.col("a"), F.col("b")).alias("s")).collect()
+    assert [(r.a, r.b, r.s) for r in got if r.s != f"{r.a / r.b:.3f}"] == [] and len(got) == len(n)
+    assert spark.range(1).select(shapes.share_text(F.lit(0), F.lit(0)).alias("s")).first().s is None
+
+
+def test_cpg_meth_at_a_half(spark):
+    pair = [(0, 5, 4, 5, 11, 0, 0), (0, 6, 7, 0, 0, 0, 0), (0, 8, 4, 3, 77, 0, 0), (0, 9, 7, 0, 0, 0, 0)]
+    rows = spark.createDataFrame(pair, "tid bigint, p bigint, gt bigint, c5 bigint, c7 bigint, c4 bigint, c6 bigint").withColumns({"ref": F.lit(0), "dp": F.lit(16), "m2": F.lit(400)})
+    assert {r.p: r.meth for r in extract.cpg_pairs(rows).collect()} == {5: "0.312", 8: "0.037"}
