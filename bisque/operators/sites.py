@@ -6,6 +6,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from ..functions import shapes
+
 TILE = 1 << 20
 
 #: Channels of a heterozygote's two alleles; A/G and C/T leave out what conversion can make of the other allele.
@@ -112,4 +114,4 @@ def baf(df: DataFrame) -> DataFrame:
         b, total = (s(cy), s(cx) + s(cy)) if x != y else (F.lit(0), s(cx))
         hit = F.col("gt") == g
         num, den = (F.when(hit, b), F.when(hit, total)) if num is None else (num.when(hit, b), den.when(hit, total))
-    return df.withColumn("baf", F.when(den > 0, F.format_string("%.3f", (num / den).cast("double"))).otherwise("-"))
+    return df.withColumn("baf", F.when(den > 0, shapes.share_text(num, den)).otherwise("-"))

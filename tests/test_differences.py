@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from bisque import queries as engine
 from bisque.functions import shapes
-from bisque.operators import extract
+from bisque.operators import extract, sites
 
 from .test_queries import SF
 
@@ -41,3 +41,8 @@ def test_cpg_meth_at_a_half(spark):
     pair = [(0, 5, 4, 5, 11, 0, 0), (0, 6, 7, 0, 0, 0, 0), (0, 8, 4, 3, 77, 0, 0), (0, 9, 7, 0, 0, 0, 0)]
     rows = spark.createDataFrame(pair, "tid bigint, p bigint, gt bigint, c5 bigint, c7 bigint, c4 bigint, c6 bigint").withColumns({"ref": F.lit(0), "dp": F.lit(16), "m2": F.lit(400)})
     assert {r.p: r.meth for r in extract.cpg_pairs(rows).collect()} == {5: "0.312", 8: "0.037"}
+
+
+def test_baf_at_a_half(spark):
+    rows = spark.createDataFrame([(1, 15, 1), (1, 11, 5), (1, 77, 3)], "gt int, c0 bigint, c1 bigint").withColumns({f"c{k}": F.lit(0) for k in range(2, 8)})
+    assert [r.baf for r in sites.baf(rows).orderBy("c1", "c0").collect()] == ["0.062", "0.037", "0.312"]
