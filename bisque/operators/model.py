@@ -1,92 +1,108 @@
-"""Genotype and methylation model: likelihoods of ten genotypes as column expressions."""
+"""Genotype and methylation model: likelihoods of ten genotypes, methylation and strand bias."""
 
 from __future__ import annotations
 
 import math
+from collections.abc import Iterator
+from decimal import Decimal
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..functions import codes
 
 UNDER, OVER, BIAS = 0.01, 0.05, 2.0
-#: Term of a channel for a genotype. X all, H half, K error; other letters are the methylation terms in ``_terms``.
+#: Term of a channel for a genotype. X all, H half, K error; other letters are the methylation terms, ``inner`` in ``likelihoods``.
 TERMS = (
     "XHHHKKKKKK", "KHKKXHHKKK", "KKHKKHKXHK", "KKKHKKHKHX",
     "XHaHKbKcbK", "KdKKedfKKK", "KKgKKhKihK", "KjKHmjlKHX",
 )
 
 
-def with_model(sites: DataFrame, under: float = UNDER, over: float = OVER) -> DataFrame:
-    """``sites`` (c0..7, q0..7) with, per channel, the count and the error terms e and k."""
-    cols = {}
-    for i in range(8):
-        q = F.when(F.col(f"c{i}") > 0, F.least(F.lit(63), F.round(F.col(f"q{i}") / F.col(f"c{i}")).cast("int"))).otherwise(0)
-        e = F.least(F.pow(F.lit(10.0), -q / 10.0), F.lit(0.5))
-        cols[f"e{i}"] = e
-    out = sites.withColumns(cols)
-    out = out.withColumns({f"k{i}": F.col(f"e{i}") / (3.0 - 4.0 * F.col(f"e{i}")) for i in range(8)})
-    return out.withColumn("z0", get_z("c5", "c7", "k5", "k7", under, over)).withColumn("z1", get_z("c6", "c4", "k6", "k4", under, over))
-
-
-def get_z(x1: str, x2: str, k1: str, k2: str, under: float, over: float) -> Column:
-    """(za, zb, zc): fitted share of unchanged bases if one, both or a half of the alleles carry the base."""
-    lam, theta = 1.0 - under, over
-    x1, x2, k1, k2 = map(F.col, (x1, x2, k1, k2))
-    d = (x1 + x2) * (lam - theta)
-    s = lam + theta
-
-    def f(v):
-        return F.when(v < -1, 1 - lam).when(v > 1, 1 - theta).otherwise(((lam - theta) * v + 2 - s) * 0.5)
-
-    za = f((x1 * (s + k2 * 2) - x2 * (2 - s + k1 * 2)) / d)
-    zb = f((x1 * (2 + s + k2 * 4) - x2 * (2 - s + k1 * 4)) / d)
-    zc = f((x1 * (s + k2 * 4) - x2 * (2 - s + k1 * 4)) / d)
-    none = F.lit(-1.0)
-
-    def one(v):
-        return F.when((x1 == 0) & (x2 == 0), none).when(x2 == 0, 1 - theta).when(x1 == 0, 1 - lam).otherwise(v)
-
-    return F.array(one(za), one(zb), one(zc))
-
-
-def _terms(letter: str, i: int) -> Column:
-    k = F.col(f"k{i}")
-    z0, z1 = (lambda j: F.col("z0")[j]), (lambda j: F.col("z1")[j])
-    inner = {
-        "X": lambda: 1 + k, "H": lambda: k + 0.5, "K": lambda: k,
-        "a": lambda: 1 - z1(1) * 0.5 + k, "b": lambda: (1 - z1(2)) * 0.5 + k, "c": lambda: 1 - z1(0) + k,
-        "d": lambda: z0(2) * 0.5 + k, "e": lambda: z0(0) + k, "f": lambda: z0(1) * 0.5 + k,
-        "g": lambda: z1(1) * 0.5 + k, "h": lambda: z1(2) * 0.5 + k, "i": lambda: z1(0) + k,
-        "j": lambda: (1 - z0(2)) * 0.5 + k, "m": lambda: 1 - z0(0) + k, "l": lambda: 1 - z0(1) * 0.5 + k,
-    }[letter]()
-    return F.when(F.col(f"c{i}") > 0, F.col(f"c{i}") * F.ln(inner)).otherwise(0.0)
+def _rates(under: float, over: float) -> tuple[float, ...]:
+    """Of lambda = 1 - under and theta = over: 1 - lambda, 1 - theta, lambda - theta, lambda + theta and what is left of it to 2, worked out in decimals and then rounded once."""
+    u, o = Decimal(repr(float(under))), Decimal(repr(float(over)))
+    return tuple(map(float, (u, 1 - o, 1 - u - o, 1 - u + o, 1 + u - o)))
 
 
 def likelihoods(sites: DataFrame, under: float = UNDER, over: float = OVER, bias: float = BIAS, haploid: bool = False, log10: bool = True) -> DataFrame:
-    """``sites`` with ``ll``, ten normalised log likelihoods, ``max_gt`` (first maximum) and the methylation estimates.
+    """``sites`` (ref, c0..7, q0..7) with ``z0`` and ``z1``, ``max_gt`` (first maximum) and ``ll``, ten normalised log likelihoods (null where ``haploid`` has none).
 
-    The distinct logarithms are columns of one projection, so a row computes each once.
+    A z is (za, zb, zc): the fitted share of unchanged bases if one, both or a half of the alleles carry the base; -1 without reads. A null count is 0.
+    Genotypes of equal likelihood are told apart by the last bit, so the logarithms are those of the C library and sums run from channel 0 to 7
+    and then the prior: the JVM's and numpy's own logarithms differ from C's in that bit. Arrow batches, no shuffle.
     """
-    m = with_model(sites, under, over)
-    names = {f"t{i}_{ord(x)}": _terms(x, i) for i in range(8) for x in dict.fromkeys(TERMS[i])}
-    m = m.withColumns(names)
-    raw = []
-    for g, genotype in enumerate(codes.GENOTYPES):
-        v = sum((F.col(f"t{i}_{ord(TERMS[i][g])}") for i in range(8)), F.lit(0.0))
-        ref = F.substring(F.lit(codes.BASES), F.col("ref").cast("int") + 1, F.lit(1))
-        if genotype[0] == genotype[1]:
-            v = v + F.when(ref == genotype[0], math.log(bias)).otherwise(0.0)
-        else:
-            v = v + F.when(F.lit(genotype).contains(ref), math.log(0.5 * (1 + bias))).otherwise(0.0)
-        raw.append(v)
-    keep = (0, 4, 7, 9) if haploid else range(10)
-    m = m.withColumn("raw", F.array(*[raw[g] if g in keep else F.lit(None).cast("double") for g in range(10)]))
-    top = F.array_max("raw")
-    total = F.aggregate(F.transform("raw", lambda x: F.coalesce(F.exp(x - top), F.lit(0.0))), F.lit(0.0), lambda s, x: s + x)
-    m = m.withColumn("max_gt", (F.array_position("raw", top) - 1).cast("int")).withColumn("norm", top + F.ln(total))
-    m = m.withColumn("ll", F.transform("raw", lambda x: (x - F.col("norm")) / (math.log(10) if log10 else 1.0)))
-    return m.drop("raw", "norm", *names)
+    rates, genotypes, bases, terms = _rates(under, over), codes.GENOTYPES, codes.BASES, TERMS
+    new = "z0 array<double>, z1 array<double>, max_gt int, ll array<double>"
+    kept = [c for c in sites.columns if c.lower() not in ("z0", "z1", "max_gt", "ll")]
+    schema = T.StructType([*(sites.schema[c] for c in kept), *T.StructType.fromDDL(new)])
+    some = (0, 4, 7, 9) if haploid else tuple(range(10))
+
+    def run(batches: Iterator):
+        import numpy as np
+        import pyarrow as pa
+
+        low, high, span, both, rest = rates
+        each = lambda f, x: np.fromiter(map(f, x.tolist()), float, len(x))
+        error = np.array([min(math.pow(10.0, -(q / 10.0)), 0.5) for q in range(64)])
+        miss = error / (3.0 - 4.0 * error)
+        fixed = {"X": each(math.log, 1 + miss), "H": each(math.log, 0.5 + miss), "K": each(math.log, miss)}
+
+        def shares(x1, x2, k1, k2):
+            d = np.where(x1 + x2 > 0, (x1 + x2) * span, 1.0)
+            for v in ((x1 * (both + 2 * k2) - x2 * (rest + 2 * k1)) / d, (x1 * (2 + both + 4 * k2) - x2 * (rest + 4 * k1)) / d, (x1 * (both + 4 * k2) - x2 * (rest + 4 * k1)) / d):
+                fitted = np.where(v < -1, low, np.where(v > 1, high, 0.5 * (span * v + rest)))
+                yield np.where((x1 == 0) & (x2 == 0), -1.0, np.where(x2 == 0, high, np.where(x1 == 0, low, fitted)))
+
+        def lists(columns, absent=()):
+            n, width = len(columns[0]), len(columns)
+            flat, gone = np.stack(columns, axis=1).ravel(), np.tile([i in absent for i in range(width)], n)
+            return pa.ListArray.from_arrays(pa.array(np.arange(n + 1, dtype="int32") * width), pa.array(flat, mask=gone.astype(bool)))
+
+        for batch in batches:
+            number = lambda name: batch.column(name).cast(pa.float64(), safe=False).to_numpy(zero_copy_only=False)  # noqa: B023, E731
+            c = [np.nan_to_num(number(f"c{i}")) for i in range(8)]
+            level = []
+            for i in range(8):
+                mean = number(f"q{i}") / np.where(c[i] > 0, c[i], 1.0)
+                whole = np.floor(mean)
+                level.append(np.where(c[i] > 0, np.clip(np.fmin(whole + (mean - whole >= 0.5), 63), 0, 63), 0).astype("int64"))
+            k = [miss[x] for x in level]
+            z0, z1 = list(shares(c[5], c[7], k[5], k[7])), list(shares(c[6], c[4], k[6], k[4]))
+            inner = {
+                "a": lambda: 1 - 0.5 * z1[1], "b": lambda: 0.5 * (1 - z1[2]), "c": lambda: 1 - z1[0],
+                "d": lambda: 0.5 * z0[2], "e": lambda: z0[0], "f": lambda: 0.5 * z0[1],
+                "g": lambda: 0.5 * z1[1], "h": lambda: 0.5 * z1[2], "i": lambda: z1[0],
+                "j": lambda: 0.5 * (1 - z0[2]), "m": lambda: 1 - z0[0], "l": lambda: 1 - 0.5 * z0[1],
+            }  # fmt: skip  # noqa: B023
+            term = {}
+            for i in range(8):
+                seen = c[i] > 0
+                for x in dict.fromkeys(terms[i]):
+                    term[i, x] = np.zeros(len(seen))
+                    term[i, x][seen] = c[i][seen] * (fixed[x][level[i][seen]] if x in fixed else each(math.log, (inner[x]() + k[i])[seen]))
+            ref, raw = number("ref"), []
+            for g in some:
+                x, y = genotypes[g]
+                v = term[0, terms[0][g]]
+                for i in range(1, 8):
+                    v = v + term[i, terms[i][g]]
+                prior = math.log(bias) if x == y else math.log(0.5 * (1 + bias))
+                raw.append(v + np.where((ref == bases.index(x)) | (ref == bases.index(y)), prior, 0.0))
+            best = np.argmax(raw, axis=0)
+            top = np.max(raw, axis=0)
+            total = each(math.exp, raw[0] - top)
+            for v in raw[1:]:
+                total = total + each(math.exp, v - top)
+            norm = top + each(math.log, total)
+            ll = [np.zeros(len(ref))] * 10
+            for g, v in zip(some, raw):
+                ll[g] = (v - norm) / (math.log(10) if log10 else 1.0)
+            made = [lists(z0), lists(z1), pa.array(np.array(some, dtype="int32")[best]), lists(ll, set(range(10)) - set(some))]
+            yield pa.RecordBatch.from_arrays([*(batch.column(x) for x in kept), *made], names=[*kept, "z0", "z1", "max_gt", "ll"])
+
+    return sites.select(*[F.col(f"`{x}`") for x in kept]).mapInArrow(run, schema)
 
 
 def estimate(z: Column, under: float = UNDER, over: float = OVER) -> Column:

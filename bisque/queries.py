@@ -33,6 +33,11 @@ def _sites(s: SparkSession, d: str) -> DataFrame:
     return pileup.pileup(fx.observations(s, d))
 
 
+def _round5(x):
+    """Five decimals as the SQL rounds: away from zero at a half of the product, not of the shortest decimal form."""
+    return F.round(x * 1e5) / 1e5
+
+
 C8 = ", ".join(f"c{k}" for k in range(8))
 Q8 = ", ".join(f"q{k}" for k in range(8))
 
@@ -226,7 +231,7 @@ LN10 = "2.302585092994046"
 @query("genotype_likelihood", f"with {MODEL} select tid, p, cast(max_gt as bigint) as max_gt, " + ", ".join(f"round((g{g} - norm) / {LN10}, 5) + 0e0 as ll{g}" for g in range(10)) + " from gt")
 def genotype_likelihood(s, d):
     m = model.likelihoods(_sites(s, d))
-    return m.select("tid", "p", F.col("max_gt").cast("bigint").alias("max_gt"), *[(F.round(F.col("ll")[g], 5) + F.lit(0.0)).alias(f"ll{g}") for g in range(10)])
+    return m.select("tid", "p", F.col("max_gt").cast("bigint").alias("max_gt"), *[(_round5(F.col("ll")[g]) + F.lit(0.0)).alias(f"ll{g}") for g in range(10)])
 
 
 @query("genotype_haploid", f"with {_model_sql(True)} select tid, p, cast(max_gt as bigint) as max_gt, " + ", ".join(f"round((g{g} - norm) / {LN10}, 5) + 0e0 as ll{g}" for g in (0, 4, 7, 9)) + " from gt")
