@@ -107,8 +107,8 @@ def likelihoods(sites: DataFrame, under: float = UNDER, over: float = OVER, bias
 
 def estimate(z: Column, under: float = UNDER, over: float = OVER) -> Column:
     """Methylation of a z: null without data or below zero, at most 1."""
-    lam, theta = 1.0 - under, over
-    m = (z - 1 + lam) / (lam - theta)
+    low, _, span, *_ = _rates(under, over)
+    m = (z - low) / span
     return F.when(z.isNull() | (z < 0), F.lit(None)).when(m < 0, F.lit(None)).otherwise(F.least(F.lit(1.0), m))
 
 

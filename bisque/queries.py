@@ -250,7 +250,7 @@ EST = lambda z: f"(case when {z} < 0 then null when ({z} - 0.01e0) / 0.94e0 < 0
 def methylation_estimate(s, d):
     m = model.likelihoods(_sites(s, d)).where(~F.col("max_gt").isin(0, 3, 9))
     c, g = model.meth(F.col("max_gt"))
-    return m.select("tid", "p", F.col("max_gt").cast("bigint").alias("max_gt"), F.round(c, 5).alias("meth_c"), F.round(g, 5).alias("meth_g"))
+    return m.select("tid", "p", F.col("max_gt").cast("bigint").alias("max_gt"), _round5(c).alias("meth_c"), _round5(g).alias("meth_g"))
 
 
 @query("fisher_strand")

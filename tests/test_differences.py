@@ -94,3 +94,7 @@ def tied(spark, name, given):  # noqa: ARG001
 
 def test_likelihoods_to_the_last_bit(spark, tied_sites):
     assert tied(spark, "genotype_likelihood", tied_sites) == []
+
+
+def test_estimates_to_the_last_bit(spark, tied_sites):
+    assert tied(spark, "methylation_estimate", tied_sites) == []
