@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import atexit
+import ctypes
 import os
 import tempfile
 import uuid
@@ -61,14 +62,16 @@ def clean(spark: SparkSession) -> None:
 
 @contextmanager
 def small_batches(spark: SparkSession) -> Iterator[None]:
-    """Fewer rows in an Arrow batch for what is run inside, as JVM and worker each hold one; the session's setting is put back."""
-    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
-    before = spark.conf.get(key)
-    spark.conf.set(key, str(min(int(before), 1000) if int(before) > 0 else 1000))
+    """Fewer rows and bytes in an Arrow batch for what is run inside, as JVM and worker each hold one; the session's settings are put back."""
+    rows, size = "spark.sql.execution.arrow.maxRecordsPerBatch", "spark.sql.execution.arrow.maxBytesPerBatch"
+    before = {key: spark.conf.get(key) for key in (rows, size)}
+    spark.conf.set(rows, str(min(int(before[rows]), 1000) if int(before[rows]) > 0 else 1000))
+    spark.conf.set(size, "4m")
     try:
         yield
     finally:
-        spark.conf.set(key, before)
+        for key, value in before.items():
+            spark.conf.set(key, value)
 
 
 def stored(df: DataFrame) -> DataFrame:
@@ -79,6 +82,15 @@ def stored(df: DataFrame) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def written(stage: Callable) -> Callable:
+    """``stage`` with its result ``stored``: Arrow batches are as large as the session says when rows are made, so the stage makes them itself."""
+
+    def run(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+        return stored(stage(spark, docs, sf_dir))
+
+    return run
+
+
 def without(df: DataFrame, names: list[str]) -> DataFrame:
     """``df`` without columns whose names clash with ``names`` (case-insensitively)."""
     low = {n.lower() for n in names}
@@ -107,6 +119,15 @@ def _slices(batch: pa.RecordBatch, column: str) -> Iterator[pa.RecordBatch]:
         i = j
 
 
+def give_back() -> None:
+    """Free memory that Arrow and the C library keep goes back to the system: a worker stays between stages, beside the executor's heap."""
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (AttributeError, OSError):  # not the GNU library
+        return
+
+
 def map_text(df: DataFrame, column: str, fields: str, make: Callable[[], Callable[[list], dict]], arrow: bool = False) -> DataFrame:
     """``df`` with the columns that ``fields`` (DDL) names, made from the text column in Arrow batches.
 
@@ -117,8 +138,10 @@ def map_text(df: DataFrame, column: str, fields: str, make: Callable[[], Callabl
     new = T.StructType.fromDDL(fields)
     low = {f.name.lower() for f in new}
     keep = [c for c in df.columns if c.lower() not in low]
-    src = "__text__"
-    given = df.select(*[F.col(f"`{c}`") for c in keep], F.col(f"`{column}`").cast("string").alias(src))
+    src, also = "__text__", [F.col(f"`{column}`").cast("string").alias("__text__")]
+    if column in keep and isinstance(df.schema[column].dataType, T.StringType):  # one copy of the text is enough
+        src, also = column, []
+    given = df.select(*[F.col(f"`{c}`") for c in keep], *also)
     schema = T.StructType([*(given.schema[c] for c in keep), *new])
     from pyspark.sql.pandas.types import to_arrow_type
 
@@ -131,6 +154,11 @@ def map_text(df: DataFrame, column: str, fields: str, make: Callable[[], Callabl
                 f = f or make()
                 made = f(b.column(src) if arrow else b.column(src).to_pylist())
                 arrays = [b.column(c) for c in keep] + [pa.array(made[n], type=k) for n, k in kinds.items()]
-                yield pa.RecordBatch.from_arrays(arrays, names=[*keep, *kinds])
+                out = pa.RecordBatch.from_arrays(arrays, names=[*keep, *kinds])
+                del b, made, arrays
+                yield out
+                del out
+            del whole
+            give_back()
 
     return given.mapInArrow(run, schema)

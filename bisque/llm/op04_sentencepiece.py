@@ -32,8 +32,8 @@ INFINITE = float("inf")
 MODEL = os.environ.get("BISQUE_SENTENCEPIECE_MODEL", "/opt/tokenizers/piece_bpe_32k.model")
 #: Segments remembered by a worker at most, pairs of pieces at most; the tables are emptied when full.
 REMEMBERED, PAIRS = 80_000, 350_000
-#: Segments of at most so many characters are walked side by side; so many segments of a text are looked at together.
-SHORT, TOGETHER = 32, 50_000
+#: Segments of at most so many characters are walked side by side, so many at once; so many segments of a text are looked at together.
+SHORT, ABREAST, TOGETHER = 32, 8_000, 50_000
 #: Fixed value: an odd multiplier for mixing hashes.
 ODD = np.uint64(0x9E3779B97F4A7C15)
 
@@ -437,7 +437,10 @@ class Encoder:
                     continue
                 known[s] = got
             ids[s] = got
-        walked = self.merge_walks(new) if self.v.merges else [np.array(self.walk(s), np.int32).tobytes() for s in new]
+        if self.v.merges:
+            walked = list(chain.from_iterable(self.merge_walks(new[i : i + ABREAST]) for i in range(0, len(new), ABREAST)))
+        else:
+            walked = [np.array(self.walk(s), np.int32).tobytes() for s in new]
         for s, got in zip(new, walked, strict=True):
             ids[s] = got
             if len(s) <= 64:

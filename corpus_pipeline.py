@@ -6,13 +6,15 @@ from pyspark.sql import DataFrame, SparkSession
 
 from bisque.llm import common, op01_pii, op03_mixing, op04_sentencepiece, op09_quality, op10_jaccard
 
+#: Stages of Python workers write their results themselves, in small Arrow batches whatever the session holds when they are read.
 STAGES = [
-    ("quality", op09_quality.stage),
+    ("quality", common.written(op09_quality.stage)),
     ("near_copies", op10_jaccard.stage),
-    ("pii", op01_pii.stage),
+    ("pii", common.written(op01_pii.stage)),
     ("mixing", op03_mixing.stage),
-    ("sentencepiece", op04_sentencepiece.stage),
+    ("sentencepiece", common.written(op04_sentencepiece.stage)),
 ]
+WRITTEN = ("quality", "pii", "sentencepiece")
 
 #: Near copies, pseudonyms, rounding and piece ids cannot be written in SQL; tests/llm holds the stages against brute force.
 ORACLE_SQL = None
@@ -25,6 +27,7 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     are treated as each stage's docstring says; other columns of documents are carried through the stages.
     """
     docs = common.table(spark, sf_dir, "documents")
-    for _, stage in STAGES:
-        docs = common.stored(stage(spark, docs, sf_dir))
+    for name, stage in STAGES:
+        docs = stage(spark, docs, sf_dir)
+        docs = docs if name in WRITTEN else common.stored(docs)
     return docs
